@@ -124,7 +124,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw event texts: (event_no, copy, raw_event_payload), with faults, truncated JSON and repeats."""
     kwh = F.col("kwh").cast("string")
     stamp = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    produced = F.date_format(F.col("event_timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("copy")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    produced = F.date_format(F.col("event_timestamp") + F.make_dt_interval(F.lit(0), F.col("copy")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     text = F.concat(
         F.lit('{"event_id":"'), "event_id",
         F.lit('","meter_id":"'), F.when(_every("n", 17), "  ").otherwise(F.col("meter_id")),
