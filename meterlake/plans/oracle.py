@@ -605,6 +605,23 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, date_trunc('hour', event_ts) AS h, max(event_ts) OVER () - INTERVAL 2 HOUR AS watermark FROM parsed
               WHERE event_ts IS NOT NULL AND kwh >= 0 AND region_name IN ({_REGION_LIST}) AND event_type <> 'heartbeat')
         WHERE h + INTERVAL 1 HOUR <= watermark GROUP BY h, region_name"""),
+    "stream_latest_state": sql(f"""SELECT meter_id, event_id, strftime(event_ts, {_STAMP}) AS event_timestamp, kwh FROM parsed
+        WHERE event_ts IS NOT NULL AND kwh >= 0 AND event_type <> 'heartbeat' QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY event_ts DESC, event_id DESC) = 1"""),
+    # whole pipeline
+    "batch_facts": sql(f"""SELECT row_number() OVER (ORDER BY meter_id, day, customer_id, region_id) AS consumption_id, meter_id, customer_id, CAST(region_id AS BIGINT) AS region_id, tariff_id,
+        CAST({_date_id('day')} AS BIGINT) AS date_id, CAST(day AS VARCHAR) || ' 23:59:59' AS reading_timestamp, CAST(kwh AS DOUBLE) AS kwh,
+        CAST(CAST(round(CAST(kwh * price_per_kwh AS DECIMAL(24,8)) + standing_charge_daily, 4) AS DECIMAL(12,4)) AS DOUBLE) AS estimated_cost,
+        'phase2_gold' AS source_system, 'batch_1' AS batch_id
+        FROM (SELECT g.meter_id, g.customer_id, n.region_id, CAST(g.reading_timestamp AS DATE) AS day, {_TARIFF} AS tariff_id, CAST(sum(CAST(g.kwh AS DECIMAL(12,4))) AS DECIMAL(12,4)) AS kwh
+              FROM judged g JOIN dim_customer c ON c.customer_id = g.customer_id
+              JOIN (SELECT region_name, row_number() OVER (ORDER BY region_name) AS region_id FROM (SELECT DISTINCT region_name FROM dim_customer)) n ON n.region_name = g.region_name
+              WHERE g.rejection_reason = '' GROUP BY ALL) JOIN dim_tariff USING (tariff_id)"""),
+    "batch_gold_daily": sql(f"""SELECT CAST(day AS VARCHAR) AS reading_date, region_name, CAST(sum(k) AS DOUBLE) AS total_kwh, CAST({_mean('sum(k)', 'count(*)')} AS DOUBLE) AS average_kwh,
+        count(*) AS reading_count, count(DISTINCT meter_id) AS unique_meter_count
+        FROM (SELECT *, CAST(reading_timestamp AS DATE) AS day, CAST(kwh AS DECIMAL(12,4)) AS k FROM judged WHERE rejection_reason = '') GROUP BY day, region_name"""),
+    "batch_gate": sql(f"""SELECT 'batch_1' AS pipeline_run_id, 'fact_energy_consumption_' || check_name AS check_name, 'fact_consumption' AS table_name, 'passed' AS status,
+        count(*) FILTER (WHERE kwh < 0 AND rejection_reason = '') AS failed_count, '{AS_OF}' AS checked_at
+        FROM judged, (VALUES ('has_rows'), ('no_negative_kwh'), ('no_null_meter_id'), ('latest_timestamp_present'), ('no_missing_region_reference')) AS v (check_name) GROUP BY check_name"""),
     # sources and sinks
     "io_csv_tree": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
     "io_parquet_table": sql(f"""SELECT meter_id, customer_id, region_name, strftime(event_timestamp, {_STAMP}) AS reading_timestamp, CAST(reading_date AS VARCHAR) AS reading_date,

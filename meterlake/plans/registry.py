@@ -13,7 +13,7 @@ from meterlake import functions as fn
 from meterlake import schemas
 from meterlake.operators import aggregates as agg
 from meterlake.operators import cleaning, dimensions, joins, quality, windows
-from meterlake.plans import runlog, serving, tables, warehouse
+from meterlake.plans import batch, runlog, serving, tables, warehouse
 from meterlake.plans.tables import AS_OF, REGIONS
 from meterlake.session import scratch_path
 from meterlake.sources import readers, sinks
@@ -728,13 +728,60 @@ def stream_hours_closed(s, d):
     return s.read.parquet(_once(s, d, "hours", build))
 
 
+@query
+def stream_latest_state(s, d):
+    """Latest reading per meter kept as stream state; every batch rewrites the small result table."""
+    def build():
+        root = scratch_path(s, "state")
+        events = stateful.typed_event_stream(readers.bronze_event_stream(s, _captured(s, d)))
+        usable = events.where(F.col("event_timestamp").isNotNull() & (F.col("kwh") >= 0))
+        latest = stateful.latest_stream(usable.select("meter_id", "event_id", "event_timestamp", "event_type", "kwh"))
+        run = latest.writeStream.outputMode("complete").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+        run.foreachBatch(lambda df, n: sinks.write_table(df, f"{root}/data")).start().awaitTermination()
+        return f"{root}/data"
+    return s.read.parquet(_once(s, d, "state", build)).select("meter_id", "event_id", "event_timestamp", "kwh")
+
+
+# -- whole pipeline ------------------------------------------------------------------------------------------------------------
+def _write_csv(df: DataFrame, path: str) -> None:
+    # keep blanks as they are: whitespace is part of the dirt
+    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def _pipeline(s, d) -> batch.Result:
+    def build():
+        bronze, root = scratch_path(s, "bronze_csv"), scratch_path(s, "lake")
+        _write_csv(tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names), f"{bronze}/historical_consumption")
+        _write_csv(tables.bronze_weather(s, d).select(*schemas.BRONZE_WEATHER.names), f"{bronze}/weather")
+        for name, df in zip(("customers", "meters", "tariffs"), tables.raw_metadata(s, d, blanks=False), strict=True):
+            _write_csv(df, f"{bronze}/{name}.csv")
+        return batch.run_batch(s, bronze, root, "batch_1", REGIONS, AS_OF)
+    return _once(s, d, "lake", build)
+
+
+@query
+def batch_facts(s, d):
+    """Consumption facts out of the whole pipeline, from CSV to the quality gate."""
+    return _pipeline(s, d).tables["fact_consumption"]
+
+
+@query
+def batch_gold_daily(s, d):
+    return _pipeline(s, d).tables["daily_region_consumption"]
+
+
+@query
+def batch_gate(s, d):
+    return _pipeline(s, d).checks.drop("check_id")
+
+
 # -- sources and sinks: what is read back must equal what was written -------------------------------------------------------------
 @query
 def io_csv_tree(s, d):
     path = scratch_path(s, "csv")
-    raw = tables.dirty_consumption(s, d).withColumn("day", F.substring("ingestion_timestamp", 1, 10))
-    raw.select(*schemas.BRONZE_CONSUMPTION.names, "day").write.partitionBy("day").option("header", True).option(
-        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    raw = tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names)
+    _write_csv(raw.where(F.col("source_file") != "file_resent"), f"{path}/year=2024/month=01")
+    _write_csv(raw.where(F.col("source_file") == "file_resent"), f"{path}/year=2024/month=02")
     return readers.read_csv_tree(s, path, schemas.BRONZE_CONSUMPTION)
 
 

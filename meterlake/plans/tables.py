@@ -160,12 +160,13 @@ def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("0.0").alias("precipitation_mm"), stamp.alias("ingestion_timestamp"))
 
 
-def raw_metadata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Metadata text with repeats (every customer once per signup country, say), blanks and bad casts."""
+def raw_metadata(spark: SparkSession, sf_dir: str, blanks: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Metadata text with repeated customers, dates that are none and, with ``blanks``, blank customer ids."""
+    blank = _every("k", 53) if blanks else F.lit(False)
     c = dim_customer(spark, sf_dir).join(dim_region(spark, sf_dir), "region_id").withColumn("k", F.substring("customer_id", 6, 12).cast("bigint"))
     copies = F.explode(F.when(F.col("customer_segment") == "Residential", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     customers = c.withColumn("copy", copies).select(
-        F.when(_every("k", 53), " ").otherwise(F.concat(F.lit(" "), "customer_id")).alias("customer_id"),
+        F.when(blank, " ").otherwise(F.concat(F.lit(" "), "customer_id")).alias("customer_id"),
         "customer_segment", F.col("household_size"), "dwelling_type", "region_name", "country",
         F.concat("postcode_area", F.col("copy").cast("string")).alias("postcode_area"),
         F.when(_every("k", 11), "soon").otherwise(F.col("signup_date").cast("string")).alias("signup_date"), "is_active")

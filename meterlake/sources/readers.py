@@ -20,6 +20,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
+def _any_file(spark: SparkSession, root: str, suffix: str) -> bool:
+    """Whether a file with this suffix lies below ``root``; stops at the first one."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
 def _csv(spark: SparkSession, schema: T.StructType):
     # a value that does not fit a typed column reads as NULL; the row itself is never dropped
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
@@ -29,10 +39,9 @@ def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataF
     """All ``*.csv`` files below ``root``. Folder names such as ``year=2024`` do not become columns."""
     if not _exists(spark, root):
         raise FileNotFoundError(f"no such folder: {root}")
-    df = _csv(spark, schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
-    if not df.inputFiles():
+    if not _any_file(spark, root, ".csv"):
         raise FileNotFoundError(f"no CSV file below {root}")
-    return df
+    return _csv(spark, schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
 
 
 def read_csv_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
