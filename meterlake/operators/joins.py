@@ -57,7 +57,10 @@ def orphan_count(fact: DataFrame, dim: DataFrame, fk: str, pk: str, skip_null: b
 
 
 class ForeignKey(NamedTuple):
-    """A relationship to check: ``issue`` labels its findings, ``record_id`` names the fact row."""
+    """A relationship: column ``fk`` of table ``fact`` refers to ``pk`` of ``dim``.
+
+    ``record_id`` names a fact row in reports; with ``skip_null`` a NULL reference is no finding.
+    """
 
     issue: str
     fact: str
@@ -68,18 +71,65 @@ class ForeignKey(NamedTuple):
     skip_null: bool = False
 
 
-def referential_report(tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey]) -> DataFrame:
-    """All orphans of all relationships: issue_name, record_id, missing_key (both as text)."""
+def _references(tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey], with_record: bool) -> DataFrame:
+    """All references as rows (number of the relationship, key[, record_id]); each fact is read once."""
+    from meterlake.operators.aggregates import union_all
+
+    def pairs(fact: str) -> Column:
+        def pair(number: int, r: ForeignKey) -> Column:
+            fields = [F.lit(number).alias("__no"), F.col(r.fk).cast("string").alias("missing_key")]
+            if with_record:
+                fields.append(F.col(r.record_id).cast("string").alias("record_id"))
+            return F.struct(*fields)
+
+        return F.array(*[pair(i, r) for i, r in enumerate(relationships) if r.fact == fact])
+
+    facts = dict.fromkeys(r.fact for r in relationships)
+    rows = union_all([tables[fact].select(F.inline(pairs(fact))) for fact in facts])
+    skipping = [i for i, r in enumerate(relationships) if r.skip_null]
+    return rows.where(F.col("missing_key").isNotNull() | ~F.col("__no").isin(*skipping)) if skipping else rows
+
+
+def _by_number(values: Sequence[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), F.col("__no") + 1)
+
+
+def _reference_counts(tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey]) -> DataFrame:
+    """Per relationship and key: how many rows refer to it, and whether the dimension has it.
+
+    Repeated keys collapse before the shuffle, so neither a hot key nor a long fact matters to the join.
+    """
     from meterlake.operators.aggregates import union_all
 
-    return union_all([
-        orphans(tables[r.fact], tables[r.dim], r.fk, r.pk, r.skip_null).select(
-            F.lit(r.issue).alias("issue_name"),
-            F.col(r.record_id).cast("string").alias("record_id"),
-            F.col(r.fk).cast("string").alias("missing_key"),
-        )
-        for r in relationships
-    ])
+    targets = list(dict.fromkeys((r.dim, r.pk) for r in relationships))
+    target_of = F.array(*[F.lit(targets.index((r.dim, r.pk))) for r in relationships])
+    used = _references(tables, relationships, with_record=False).groupBy("__no", "missing_key").agg(F.count("*").alias("__n"))
+    known = union_all([
+        tables[dim].select(F.lit(i).alias("__target"), F.col(pk).cast("string").alias("missing_key")) for i, (dim, pk) in enumerate(targets)
+    ]).distinct().withColumn("__known", F.lit(True))
+    return used.withColumn("__target", F.element_at(target_of, F.col("__no") + 1)).join(known, ["__target", "missing_key"], "left")
+
+
+def referential_report(tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey]) -> DataFrame:
+    """All orphans of all relationships: issue_name, record_id, missing_key (both as text).
+
+    Two passes over each fact, however many keys it has: one finds the unknown keys, one their rows.
+    """
+    unknown = _reference_counts(tables, relationships).where(F.col("__known").isNull()).select(
+        F.col("__no").alias("__unknown_no"), F.col("missing_key").alias("__key"))
+    rows = _references(tables, relationships, with_record=True)
+    match = (F.col("__no") == F.col("__unknown_no")) & F.col("missing_key").eqNullSafe(F.col("__key"))
+    issue = _by_number([r.issue for r in relationships]).alias("issue_name")
+    return rows.join(unknown, match, "left_semi").select(issue, "record_id", "missing_key")
+
+
+def referential_counts(tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey]) -> DataFrame:
+    """Orphans per relationship, zero included: constraint_name, failed_count. One pass over each fact."""
+    orphaned = F.when(F.col("__known").isNull(), F.col("__n")).otherwise(0)
+    found = _reference_counts(tables, relationships).groupBy("__no").agg(F.sum(orphaned).alias("n"))
+    every = found.sparkSession.range(len(relationships)).select(F.col("id").cast("int").alias("__no"))
+    return every.join(found, "__no", "left").select(
+        _by_number([r.issue for r in relationships]).alias("constraint_name"), F.coalesce("n", F.lit(0)).alias("failed_count"))
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from meterlake.functions import now, prefixed_sha1
 from meterlake.operators.aggregates import duplicate_keys, tagged_union, union_all
-from meterlake.operators.joins import orphan_count
+from meterlake.operators.joins import ForeignKey, orphan_count, referential_counts
 
 # -- findings -------------------------------------------------------------------
 Sources = Mapping[str, tuple[DataFrame, str]]  # table name -> (rows, id column)
@@ -68,11 +68,8 @@ def audit_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def audit_fk(tables: Mapping[str, DataFrame], constraints: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
     """Violations per foreign key (name, child, column, parent, key). A NULL reference is allowed, as in SQL."""
-    return union_all([
-        orphan_count(tables[child], tables[parent], fk, pk, skip_null=True)
-        .select(F.lit(name).alias("constraint_name"), "failed_count")
-        for name, child, fk, parent, pk in constraints
-    ])
+    return referential_counts(tables, [
+        ForeignKey(name, child, fk, fk, parent, pk, skip_null=True) for name, child, fk, parent, pk in constraints])
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object | Column]) -> DataFrame:

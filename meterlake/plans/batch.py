@@ -19,7 +19,7 @@ from meterlake.operators.joins import weather_features
 from meterlake.operators.windows import sequence_number
 from meterlake.plans.runlog import observe_counts
 from meterlake.sources.readers import read_csv_file, read_csv_tree
-from meterlake.sources.sinks import write_batch, write_table
+from meterlake.sources.sinks import arranged, write_batch, write_table
 
 
 class Result(NamedTuple):
@@ -38,8 +38,9 @@ class _Store:
         return f"{self.root}/{name}"
 
     def save(self, name: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
-        observed, seen = observe_counts(df, name.replace("/", "_"))
-        write_table(observed, self.path(name), partition_by, sort_by=sort_by)
+        # counted behind the last shuffle: range partitioning samples its input, which would count rows twice
+        observed, seen = observe_counts(arranged(df, partition_by, sort_by), name.replace("/", "_"))
+        write_table(observed, self.path(name), partition_by)
         self.counts[name] = seen.get["rows"]
         return self.load(name, df.schema)
 

@@ -12,6 +12,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterlake import schemas
 from meterlake.functions import choose_tariff, date_id, default_if_falsy, end_of_day, estimated_cost, json_payload, pad_id
@@ -23,8 +24,25 @@ AS_OF = "2024-02-01 00:00:00"  # fixed audit time, so results repeat
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")  # names in the region table
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SCHEMAS: dict[str, StructType] = {}
+_FEW_SPLITS: dict[tuple[str, str], bool] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A provided table. Its schema is read from the file footers once, not on every use.
+
+    ``spread`` is for tables with costly work per row: a file too small to fill the session's cores is dealt out
+    evenly first. A table with at least one split per core is read as it lies, without a shuffle.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    session = (spark.sparkContext.applicationId, path)
+    if spread and session not in _FEW_SPLITS:
+        _FEW_SPLITS[session] = df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if spread and _FEW_SPLITS[session] else df
 
 
 def _every(column: str, n: int) -> Column:
@@ -38,20 +56,34 @@ def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("UK").alias("country"), F.substring("r_name", 1, 2).alias("postcode_area"))
 
 
-def _located_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
-    region = read(spark, sf_dir, "region")
-    return read(spark, sf_dir, "customer").join(nation, "c_nationkey").join(region, "r_regionkey")
+def _with_customers(df: DataFrame | None, spark: SparkSession, sf_dir: str, user: str | None = None) -> DataFrame:
+    """Join customers (all, or those ``df`` names by number in ``user``), their nation and region.
 
+    One table after the other, each by its own number: a small one is broadcast by its file size, so the large
+    side is not shuffled for it, and a large one is shuffled on the key alone.
+    """
+    customer, nation, region = (read(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    if user is not None:
+        customer = df.join(customer, df[user] == customer.c_custkey)
+    located = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    return located.join(region, located.n_regionkey == region.r_regionkey)
 
-def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _customer_columns() -> dict[str, Column]:
     segment = F.when(F.col("c_mktsegment") == "BUILDING", "Small Business").when(
         F.col("c_mktsegment") == "MACHINERY", "Public Sector").otherwise("Residential")
-    return _located_customers(spark, sf_dir).select(
-        pad_id("CUST-", "c_custkey", 6).alias("customer_id"), segment.alias("customer_segment"),
-        (F.col("c_custkey") % 5 + 1).cast("int").alias("household_size"),
-        F.when(F.col("c_acctbal") < 5000, "flat").otherwise("house").alias("dwelling_type"),
-        (F.col("r_regionkey") + 1).cast("int").alias("region_id"),
+    return {
+        "customer_id": pad_id("CUST-", "c_custkey", 6), "customer_segment": segment,
+        "household_size": (F.col("c_custkey") % 5 + 1).cast("int"), "region_id": (F.col("r_regionkey") + 1).cast("int"),
+    }
+
+
+def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = _customer_columns()
+    region_id = shared.pop("region_id")
+    return _with_customers(None, spark, sf_dir).select(
+        *[column.alias(name) for name, column in shared.items()],
+        F.when(F.col("c_acctbal") < 5000, "flat").otherwise("house").alias("dwelling_type"), region_id.alias("region_id"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 1000).cast("int")).alias("signup_date"),
         (F.col("c_acctbal") >= 0).alias("is_active"))
 
@@ -75,14 +107,13 @@ def dim_tariff(spark: SparkSession) -> DataFrame:
 # -- readings ---------------------------------------------------------------------------
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event of a known customer."""
-    place = _located_customers(spark, sf_dir).select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("region_name"))
     kwh = F.col("value").cast("decimal(12,4)") * F.lit("0.05").cast("decimal(3,2)")
     kind = F.when(F.col("event_type") == "error", "anomaly").when(F.col("event_type") == "signup", "heartbeat").otherwise("reading")
     # the provided times carry no zone; the session zone is UTC
     ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    return read(spark, sf_dir, "events").join(place, "user_id").select(
+    return _with_customers(read(spark, sf_dir, "events", spread=True), spark, sf_dir, "user_id").select(
         pad_id("evt_", "event_id", 8).alias("event_id"), pad_id("MTR-", "user_id", 6).alias("meter_id"),
-        pad_id("CUST-", "user_id", 6).alias("customer_id"), "region_name", ts.alias("event_timestamp"),
+        pad_id("CUST-", "user_id", 6).alias("customer_id"), F.col("r_name").alias("region_name"), ts.alias("event_timestamp"),
         kwh.cast("decimal(12,4)").alias("kwh"),
         F.when(~_every("event_id", 7), (230 + F.col("event_id") % 16).cast("double")).alias("voltage"),
         kind.alias("event_type"), F.col("event_id").alias("n"))
@@ -182,14 +213,13 @@ def raw_metadata(spark: SparkSession, sf_dir: str, blanks: bool = True) -> tuple
 def fact_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One consumption row per order line; lines marked N have no tariff yet."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("full_date"))
-    customers = dim_customer(spark, sf_dir).select("customer_id", "region_id", "customer_segment", "household_size")
-    price, standing = (_tariff_value(i) for i in (2, 3))
-    lines = read(spark, sf_dir, "lineitem").select(
+    lines = read(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    price, standing = (_tariff_value(i) for i in (2, 3))
     kwh = F.col("l_quantity").cast("decimal(12,4)")
+    ordered = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .withColumn("customer_id", pad_id("CUST-", "o_custkey", 6)).join(customers, "customer_id")
+        _with_customers(ordered, spark, sf_dir, "o_custkey").withColumns(_customer_columns())
         .withColumn("tariff", choose_tariff("customer_segment", "household_size"))
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("consumption_id"),
@@ -260,7 +290,7 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One check result per order line."""
     failed = F.col("l_returnflag") == "R"
-    return read(spark, sf_dir, "lineitem").select(
+    return read(spark, sf_dir, "lineitem", spread=True).select(
         F.concat(F.lit("DQ-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
                  F.col("l_quantity").cast("int").cast("string")).alias("check_id"),

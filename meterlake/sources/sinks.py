@@ -11,17 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.functions import json_payload
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-                sort_by: Sequence[str] = ()) -> None:
-    """Write Parquet. With ``sort_by``, rows are range-partitioned by (partition columns, sort columns) first.
+def arranged(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+    """Rows range-partitioned and sorted by (partition columns, sort columns), ready to be written.
 
     That gives each day about as many files as it has data, ordered so that row-group statistics
     prune on the sort columns, and it splits a heavy day over several tasks.
     """
-    if sort_by:
-        order = [*partition_by, *sort_by]
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    if not sort_by:
+        return df
+    order = [*partition_by, *sort_by]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+                sort_by: Sequence[str] = ()) -> None:
+    """Write Parquet, laid out by ``arranged`` when ``sort_by`` is given."""
+    arranged(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: object, column: str = "batch_id",
