@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterlake import schemas
@@ -190,16 +191,23 @@ def view_monthly_region(tables: Tables) -> DataFrame:
 
 
 def view_customer_usage(tables: Tables) -> DataFrame:
-    """The mean runs over a customer's days in all regions; totals and times are per region."""
-    fact = tables["fact_consumption"]
-    per_day = fact.groupBy("customer_id", "region_id", "date_id").agg(
+    """The mean runs over a customer's days in all regions; totals and times are per region.
+
+    The fact is read once: summed to days, then a window per customer adds up its days. Such a window holds a
+    customer's days and regions, not its rows. Days of one customer lie together for all that follows.
+    """
+    per_day = tables["fact_consumption"].groupBy("customer_id", "region_id", "date_id").agg(
         F.sum("kwh").alias("kwh"), F.min("reading_timestamp").alias("first"), F.max("reading_timestamp").alias("last"))
-    dated = per_day.join(tables["dim_date"].select("date_id", "full_date"), "date_id")
-    daily = dated.groupBy("customer_id", "full_date").agg(F.sum("kwh").alias("kwh"))
-    means = daily.groupBy("customer_id").agg(_dec(F.avg("kwh")).alias("average_daily_kwh"))
-    totals = per_day.groupBy("customer_id", "region_id").agg(
-        F.sum("kwh").alias("kwh"), F.min("first").alias("first"), F.max("last").alias("last"))
-    joined = _with_dims(totals.join(means, "customer_id"), tables, "dim_customer", "dim_region")
+    dated = per_day.join(tables["dim_date"].select("date_id", "full_date"), "date_id", "left").repartition("customer_id")
+    customer = W.partitionBy("customer_id")
+    new_day = F.row_number().over(W.partitionBy("customer_id", "full_date").orderBy("region_id", "date_id")) == 1
+    known = F.col("full_date").isNotNull()
+    spread = dated.withColumn("new_day", known & new_day).withColumns({
+        "days": F.count_if("new_day").over(customer), "dated_kwh": F.sum(F.when(known, F.col("kwh"))).over(customer)})
+    totals = spread.where(F.col("days") > 0).groupBy("customer_id", "region_id").agg(
+        F.sum("kwh").alias("kwh"), F.min("first").alias("first"), F.max("last").alias("last"),
+        _dec(F.max(F.try_divide("dated_kwh", "days"))).alias("average_daily_kwh"))
+    joined = _with_dims(totals, tables, "dim_customer", "dim_region")
     return joined.groupBy("customer_id", "customer_segment", "region_name").agg(
         _dec(F.sum("kwh")).alias("total_kwh"), F.max("average_daily_kwh").alias("average_daily_kwh"),
         F.min("first").alias("first_reading_timestamp"), F.max("last").alias("last_reading_timestamp"))
@@ -226,25 +234,28 @@ def view_run_summary(tables: Tables, as_of: str | None = None) -> DataFrame:
 
 
 def view_kpis(tables: Tables) -> DataFrame:
-    """One row of scalars, each its own narrow aggregate."""
-    latest = latest_over({
-        "batch": (tables["fact_consumption"], "reading_timestamp"), "events": (tables["fact_reading"], "event_timestamp")})
-
+    """One row out of one narrow aggregate per table."""
     def rows(name: str) -> DataFrame:
         return tables[name].agg(F.count("*"))
 
     def failed(name: str) -> DataFrame:
         return tables[name].agg(F.count_if(F.col("status") == "failed"))
 
-    return scalar_row(tables["fact_consumption"].sparkSession, {
-        "total_kwh": tables["fact_consumption"].agg(_dec(F.coalesce(F.sum("kwh"), F.lit(0)))),
+    consumption = F.struct(
+        _dec(F.coalesce(F.sum("kwh"), F.lit(0))).alias("total_kwh"), F.max("reading_timestamp").alias("latest"))
+    row = scalar_row(tables["fact_consumption"].sparkSession, {
+        "consumption": tables["fact_consumption"].agg(consumption),
+        "latest_event": tables["fact_reading"].agg(F.max("event_timestamp")),
         "total_customers": rows("dim_customer"),
         "total_meters": rows("dim_meter"),
         "total_anomalies": rows("fact_anomaly"),
-        "latest_reading_timestamp": latest.agg(F.max("latest_reading_timestamp")),
         "failed_pipeline_runs": failed("pipeline_run"),
         "failed_data_quality_checks": failed("quality_check"),
     })
+    return row.withColumns({
+        "total_kwh": F.col("consumption.total_kwh"),
+        "latest_reading_timestamp": F.greatest("consumption.latest", "latest_event"),
+    }).select(*schemas.VIEW_CONTRACTS["kpis"].names)
 
 
 def serving_views(tables: Tables, as_of: str | None = None) -> Tables:

@@ -23,8 +23,14 @@ def typed_event_stream(envelopes: DataFrame) -> DataFrame:
 
 
 def dedup_events(stream: DataFrame, delay: str, ts: str = "event_timestamp", key: str = "event_id") -> DataFrame:
-    """Drop repeats of an id over all micro-batches; ids older than the watermark leave the state."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """Drop repeats of an id over all micro-batches; ids older than the watermark leave the state.
+
+    Repeats are dropped per input split first, then over all: an id sent over and over reaches
+    the second step at most once per split, so no task has to take all its copies.
+    """
+    split = "__split"
+    per_split = stream.withColumn(split, F.spark_partition_id()).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key, split])
+    return per_split.dropDuplicatesWithinWatermark([key]).drop(split)
 
 
 def hourly_stream(stream: DataFrame, delay: str, ts: str = "event_timestamp", width: str = "1 hour") -> DataFrame:
