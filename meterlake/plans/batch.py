@@ -105,8 +105,9 @@ def load_warehouse(
     }
     fact = dimensions.build_consumption_fact(daily, customers, regions, tariffs, batch_id)
     numbered = sequence_number(fact, ["meter_id", "date_id", "customer_id", "region_id"], "consumption_id")
-    observed, seen = observe_counts(numbered, "fact_consumption")
-    write_batch(observed, store.path("warehouse/fact_consumption"), batch_id)
+    # a folder per day lets a date filter on the dimension prune the fact (dynamic partition pruning)
+    observed, seen = observe_counts(arranged(numbered, ["date_id"], ["meter_id"]), "fact_consumption")
+    write_batch(observed, store.path("warehouse/fact_consumption"), batch_id, partition_by=["date_id"])
     store.counts["warehouse/fact_consumption"] = seen.get["rows"]
     return {**dims, "fact_consumption": store.load("warehouse/fact_consumption", numbered.schema)}
 

@@ -72,3 +72,18 @@ def test_an_unset_filter_leaves_no_trace(spark, sf_dir):
 
     views = {"daily_region": warehouse.view_daily_region(tables.star(spark, sf_dir))}
     assert "try_cast" not in plan(serving.daily(views)) and "ASIA" in plan(serving.daily(views, "ASIA"))
+
+
+def test_a_date_filter_prunes_the_partitioned_fact(spark, sf_dir, tmp_path):
+    from meterlake.plans import serving
+    from meterlake.sources import sinks
+
+    star = tables.star(spark, sf_dir)
+    stored = dict(star)
+    for name, parts in (("fact_consumption", ["date_id"]), ("dim_date", []), ("dim_region", [])):
+        sinks.write_table(star[name], str(tmp_path / name), parts)
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    january = {"start_date": "1996-01-01", "end_date": "1996-01-31"}
+    pruned = serving.daily({"daily_region": warehouse.view_daily_region(stored)}, "ASIA", **january)
+    assert "dynamicpruning" in plan(pruned)
+    assert pruned.collect() == serving.daily({"daily_region": warehouse.view_daily_region(star)}, "ASIA", **january).collect()
