@@ -7,6 +7,7 @@ costs at most one stage. Rows are counted while they are written.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from meterlake.operators.joins import weather_features
 from meterlake.operators.windows import sequence_number
 from meterlake.plans.runlog import observe_counts
 from meterlake.sources.readers import read_csv_file, read_csv_tree
-from meterlake.sources.sinks import arranged, write_batch, write_table
+from meterlake.sources.sinks import arranged, together, write_batch, write_table
 
 
 class Result(NamedTuple):
@@ -44,6 +45,12 @@ class _Store:
         self.counts[name] = seen.get["rows"]
         return self.load(name, df.schema)
 
+    def save_all(self, layer: str, tables: dict[str, tuple]) -> dict[str, DataFrame]:
+        """Save tables that do not depend on each other; values are (frame, partition columns, sort columns)."""
+        names = list(tables)
+        saved = together([partial(self.save, f"{layer}/{name}", *tables[name]) for name in names])
+        return dict(zip(names, saved, strict=True))
+
     def load(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
@@ -62,31 +69,26 @@ def bronze_to_silver(
         read_csv_file(spark, f"{bronze}/meters.csv", schemas.BRONZE_METER),
         read_csv_file(spark, f"{bronze}/tariffs.csv", schemas.BRONZE_TARIFF), as_of)
     rejects = agg.union_all([cleaning.rejected_consumption(validated, as_of), weather_rejects])
-    return {
-        "clean_consumption": store.save(
-            "silver/clean_consumption", cleaning.clean_consumption(validated, as_of), ["reading_date"], ["meter_id"]),
-        "clean_weather": store.save("silver/clean_weather", weather, ["weather_date"], ["region_name"]),
-        "clean_customer": store.save("silver/clean_customer", customers),
-        "clean_meter": store.save("silver/clean_meter", meters),
-        "clean_tariff": store.save("silver/clean_tariff", tariffs),
-        "rejected_records": store.save("silver/rejected_records", rejects),
-    }
+    return store.save_all("silver", {
+        "clean_consumption": (cleaning.clean_consumption(validated, as_of), ["reading_date"], ["meter_id"]),
+        "clean_weather": (weather, ["weather_date"], ["region_name"]),
+        "clean_customer": (customers,),
+        "clean_meter": (meters,),
+        "clean_tariff": (tariffs,),
+        "rejected_records": (rejects,),
+    })
 
 
 def silver_to_gold(silver: dict[str, DataFrame], store: _Store, as_of: str | None) -> dict[str, DataFrame]:
     consumption = silver["clean_consumption"]
-    gold = {"daily_region_consumption": store.save("gold/daily_region_consumption", agg.daily_region(consumption))}
-    builders = {
-        "daily_customer_consumption": agg.daily_customer(consumption),
-        "monthly_region_consumption": agg.monthly_region(gold["daily_region_consumption"]),
-        "customer_usage_summary": agg.customer_usage(consumption),
-    }
-    for name, df in builders.items():
-        gold[name] = store.save(f"gold/{name}", df)
-    features = weather_features(consumption, silver["clean_weather"], as_of)
-    gold["consumption_weather_features"] = store.save(
-        "gold/consumption_weather_features", features, ["reading_date"], ["region_name", "meter_id"])
-    return gold
+    gold = store.save_all("gold", {
+        "daily_region_consumption": (agg.daily_region(consumption),),
+        "daily_customer_consumption": (agg.daily_customer(consumption),),
+        "customer_usage_summary": (agg.customer_usage(consumption),),
+        "consumption_weather_features": (
+            weather_features(consumption, silver["clean_weather"], as_of), ["reading_date"], ["region_name", "meter_id"]),
+    })
+    return gold | store.save_all("gold", {"monthly_region_consumption": (agg.monthly_region(gold["daily_region_consumption"]),)})
 
 
 def load_warehouse(
@@ -95,15 +97,15 @@ def load_warehouse(
     customers = silver["clean_customer"]
     daily = gold["daily_customer_consumption"]
     regions = store.save("warehouse/dim_region", dimensions.dim_region(customers))
-    tariffs = store.save("warehouse/dim_tariff", silver["clean_tariff"].withColumns(
-        {c: F.col(c).cast("decimal(10,4)") for c in ("price_per_kwh", "standing_charge_daily")}))
-    dims = {
-        "dim_region": regions, "dim_tariff": tariffs,
-        "dim_customer": store.save("warehouse/dim_customer", customers.join(regions.select("region_name", "region_id"), "region_name")),
-        "dim_meter": store.save("warehouse/dim_meter", silver["clean_meter"].join(regions.select("region_name", "region_id"), "region_name")),
-        "dim_date": store.save("warehouse/dim_date", dimensions.dim_date(daily, "reading_date")),
-    }
-    fact = dimensions.build_consumption_fact(daily, customers, regions, tariffs, batch_id)
+    located = regions.select("region_name", "region_id")
+    dims = {"dim_region": regions} | store.save_all("warehouse", {
+        "dim_tariff": (silver["clean_tariff"].withColumns(
+            {c: F.col(c).cast("decimal(10,4)") for c in ("price_per_kwh", "standing_charge_daily")}),),
+        "dim_customer": (customers.join(located, "region_name"),),
+        "dim_meter": (silver["clean_meter"].join(located, "region_name"),),
+        "dim_date": (dimensions.dim_date(daily, "reading_date"),),
+    })
+    fact = dimensions.build_consumption_fact(daily, customers, regions, dims["dim_tariff"], batch_id)
     numbered = sequence_number(fact, ["meter_id", "date_id", "customer_id", "region_id"], "consumption_id")
     # a folder per day lets a date filter on the dimension prune the fact (dynamic partition pruning)
     observed, seen = observe_counts(arranged(numbered, ["date_id"], ["meter_id"]), "fact_consumption")

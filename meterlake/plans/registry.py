@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -751,10 +752,11 @@ def _write_csv(df: DataFrame, path: str) -> None:
 def _pipeline(s, d) -> batch.Result:
     def build():
         bronze, root = scratch_path(s, "bronze_csv"), scratch_path(s, "lake")
-        _write_csv(tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names), f"{bronze}/historical_consumption")
-        _write_csv(tables.bronze_weather(s, d).select(*schemas.BRONZE_WEATHER.names), f"{bronze}/weather")
-        for name, df in zip(("customers", "meters", "tariffs"), tables.raw_metadata(s, d, blanks=False), strict=True):
-            _write_csv(df, f"{bronze}/{name}.csv")
+        customers, meters, tariffs = tables.raw_metadata(s, d, blanks=False)
+        sinks.together([partial(_write_csv, df, f"{bronze}/{name}") for name, df in {
+            "historical_consumption": tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names),
+            "weather": tables.bronze_weather(s, d).select(*schemas.BRONZE_WEATHER.names),
+            "customers.csv": customers, "meters.csv": meters, "tariffs.csv": tariffs}.items()])
         return batch.run_batch(s, bronze, root, "batch_1", REGIONS, AS_OF)
     return _once(s, d, "lake", build)
 

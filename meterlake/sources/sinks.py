@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,15 @@ from pyspark.sql.streaming import StreamingQuery
 from meterlake.functions import json_payload
 
 
+def together(writes: Sequence[Callable[[], object]]) -> list:
+    """Run independent writes at the same time and return their results; the first failure is raised.
+
+    Each is a Spark job of its own; side by side, a small one does not leave the executors idle.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(len(writes), 8))) as pool:
+        return [future.result() for future in [pool.submit(write) for write in writes]]
+
+
 def arranged(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Rows range-partitioned and sorted by (partition columns, sort columns), ready to be written.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from meterlake.functions import now
 from meterlake.operators.aggregates import hourly_region
 from meterlake.operators.cleaning import REASON, clean_events, detect_anomalies, reject_events, split_valid, validate_events
 from meterlake.operators.windows import latest_per_key
-from meterlake.sources.sinks import write_batch
+from meterlake.sources.sinks import together, write_batch
 
 log = logging.getLogger(__name__)
 
@@ -56,10 +57,11 @@ def batch_metrics(validated: DataFrame, batch_id: int, as_of: str | None = None)
 def process_batch(
     batch: DataFrame, batch_id: int, sinks: Sinks, regions: Sequence[str] = schemas.REGIONS, as_of: str | None = None,
 ) -> None:
-    """Validate a batch of envelopes and replace batch ``batch_id`` in all six tables, metrics last.
+    """Validate a batch of envelopes and replace batch ``batch_id`` in all six tables.
 
-    A batch that is retried overwrites its own folders, so every table holds each batch once.
-    A batch without rows writes nothing.
+    The first write fills the cache, the next four run side by side from it, metrics come last and so mark the batch as
+    complete. A batch that is retried overwrites its own folders, so every table holds each batch once. A batch
+    without rows writes nothing.
     """
     if batch.isEmpty():
         log.info("batch %s: no events", batch_id)
@@ -68,16 +70,15 @@ def process_batch(
     try:
         clean = clean_events(validated, as_of)
         _, rejected = split_valid(validated)
-        outputs = {
-            sinks.clean: clean,
+        write_batch(clean, sinks.clean, batch_id)
+        derived = {
             sinks.rejected: reject_events(rejected, as_of=as_of),
             sinks.latest: latest_readings(clean),
             sinks.anomalies: detect_anomalies(clean, as_of=as_of),
             sinks.hourly: hourly_region(clean, as_of=as_of),
-            sinks.metrics: batch_metrics(validated, batch_id, as_of),
         }
-        for path, frame in outputs.items():
-            write_batch(frame, path, batch_id)
+        together([partial(write_batch, frame, path, batch_id) for path, frame in derived.items()])
+        write_batch(batch_metrics(validated, batch_id, as_of), sinks.metrics, batch_id)
     finally:
         validated.unpersist()
 
