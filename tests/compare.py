@@ -21,9 +21,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6)
-    return value
+    """Doubles must agree to the last bit; only NaN is brought to one form."""
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
 
 
 def _rows(names, rows):
