@@ -13,14 +13,14 @@ import sys
 import time
 
 HEADLINE = """
-clean_consumption rejected_consumption rejects_by_reason clean_customers clean_events rejected_events
+clean_consumption rejected_consumption clean_customers clean_events
 daily_region daily_customer monthly_region customer_usage weather_features hourly_region anomalies
-latest_reading dedup_latest_per_key duplicate_keys row_number_per_key running_sum recent_avg_anomaly event_numbers
-star_daily star_monthly top_meters latest_by_meter running_daily segment_average tariff_cost anomaly_by_region weekday_weekend
-view_daily view_monthly view_customer view_latest kpis p_daily p_latest p_anomalies measure_anomaly_rate
-orphan_report quality_suite audit_fk audit_checks audit_unique
-dim_date upsert_dim insert_missing consumption_fact readings_fact replace_batch range_join
-stream_clean stream_hourly stream_dedup stream_hours_closed batch_facts io_parquet_table
+latest_reading duplicate_keys running_sum recent_avg_anomaly event_numbers
+star_daily top_meters running_daily segment_average tariff_cost weekday_weekend
+view_daily view_customer view_latest kpis p_daily p_anomalies
+orphan_report quality_suite audit_fk audit_checks
+upsert_dim insert_missing consumption_fact readings_fact range_join
+stream_clean stream_hours_closed batch_facts
 """.split()
 
 

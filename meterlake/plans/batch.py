@@ -6,11 +6,11 @@ costs at most one stage. Rows are counted while they are written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import schemas
@@ -19,7 +19,7 @@ from meterlake.operators import cleaning, dimensions, quality
 from meterlake.operators.joins import weather_features
 from meterlake.operators.windows import sequence_number
 from meterlake.plans.runlog import observe_counts
-from meterlake.sources.readers import read_csv_file, read_csv_tree
+from meterlake.sources.readers import exists, read_csv_file, read_csv_tree
 from meterlake.sources.sinks import arranged, together, write_batch, write_table
 
 
@@ -92,26 +92,44 @@ def silver_to_gold(silver: dict[str, DataFrame], store: _Store, as_of: str | Non
 
 
 def load_warehouse(
-    silver: dict[str, DataFrame], gold: dict[str, DataFrame], store: _Store, batch_id: str,
+    silver: dict[str, DataFrame], gold: dict[str, DataFrame], store: _Store, batch_id: str, facts: str,
+    previous: Mapping[str, DataFrame],
 ) -> dict[str, DataFrame]:
+    """Dimensions as a new version under the store's root, this batch's facts into the shared folder ``facts``."""
     customers = silver["clean_customer"]
     daily = gold["daily_customer_consumption"]
-    regions = store.save("warehouse/dim_region", dimensions.dim_region(customers))
+
+    def merged(name: str, fresh: DataFrame, key: str) -> tuple[DataFrame]:
+        """Rows of an earlier run that this one does not replace stay."""
+        known = previous.get(name)
+        return (fresh if known is None else dimensions.upsert(known.select(*fresh.columns), fresh, [key]),)
+
+    regions = store.save("warehouse/dim_region", *merged(
+        "dim_region", dimensions.dim_region(customers, previous.get("dim_region")), "region_name"))
     located = regions.select("region_name", "region_id")
+    prices = {c: F.col(c).cast("decimal(10,4)") for c in ("price_per_kwh", "standing_charge_daily")}
     dims = {"dim_region": regions} | store.save_all("warehouse", {
-        "dim_tariff": (silver["clean_tariff"].withColumns(
-            {c: F.col(c).cast("decimal(10,4)") for c in ("price_per_kwh", "standing_charge_daily")}),),
-        "dim_customer": (customers.join(located, "region_name"),),
-        "dim_meter": (silver["clean_meter"].join(located, "region_name"),),
-        "dim_date": (dimensions.dim_date(daily, "reading_date"),),
+        "dim_tariff": merged("dim_tariff", silver["clean_tariff"].withColumns(prices), "tariff_id"),
+        "dim_customer": merged("dim_customer", customers.join(located, "region_name"), "customer_id"),
+        "dim_meter": merged("dim_meter", silver["clean_meter"].join(located, "region_name"), "meter_id"),
+        "dim_date": (dimensions.dim_date(daily, "reading_date", previous.get("dim_date")),),
     })
     fact = dimensions.build_consumption_fact(daily, customers, regions, dims["dim_tariff"], batch_id)
-    numbered = sequence_number(fact, ["meter_id", "date_id", "customer_id", "region_id"], "consumption_id")
+    numbered = sequence_number(fact, ["meter_id", "date_id", "customer_id", "region_id"], "consumption_id").withColumn(
+        "consumption_id", F.col("consumption_id") + _highest_id(store.spark, facts, batch_id))
     # a folder per day lets a date filter on the dimension prune the fact (dynamic partition pruning)
     observed, seen = observe_counts(arranged(numbered, ["date_id"], ["meter_id"]), "fact_consumption")
-    write_batch(observed, store.path("warehouse/fact_consumption"), batch_id, partition_by=["date_id"])
+    write_batch(observed, facts, batch_id, partition_by=["date_id"])
     store.counts["warehouse/fact_consumption"] = seen.get["rows"]
-    return {**dims, "fact_consumption": store.load("warehouse/fact_consumption", numbered.schema)}
+    return {**dims, "fact_consumption": store.spark.read.schema(numbered.schema).parquet(facts)}
+
+
+def _highest_id(spark: SparkSession, facts: str, batch_id: str) -> Column:
+    """The greatest fact id of all other batches, 0 when there are none."""
+    if not exists(spark, facts):
+        return F.lit(0)
+    others = spark.read.parquet(facts).where(F.col("batch_id").cast("string") != batch_id)
+    return others.agg(F.coalesce(F.max("consumption_id"), F.lit(0))).scalar()
 
 
 def warehouse_checks(tables: dict[str, DataFrame]) -> list:
@@ -128,13 +146,17 @@ def warehouse_checks(tables: dict[str, DataFrame]) -> list:
 
 def run_batch(
     spark: SparkSession, bronze: str, root: str, batch_id: str, regions: Sequence[str] = schemas.REGIONS,
-    as_of: str | None = None, gated: bool = True,
+    as_of: str | None = None, gated: bool = True, facts: str | None = None, previous: Mapping[str, DataFrame] | None = None,
 ) -> Result:
-    """Run all layers. ``bronze`` holds ``historical_consumption/``, ``weather/`` and three metadata CSVs."""
+    """Run all layers. ``bronze`` holds ``historical_consumption/``, ``weather/`` and three metadata CSVs.
+
+    ``root`` is a new folder for this run. To add to an earlier run give its tables as ``previous``, so that dimension rows and
+    surrogate keys live on, and one folder for all runs as ``facts``; the batch replaces itself there and nothing else.
+    """
     store = _Store(spark, root)
     silver = bronze_to_silver(spark, bronze.rstrip("/"), store, regions, as_of)
     gold = silver_to_gold(silver, store, as_of)
-    warehouse = load_warehouse(silver, gold, store, batch_id)
+    warehouse = load_warehouse(silver, gold, store, batch_id, facts or store.path("warehouse/fact_consumption"), previous or {})
     checks = store.save("warehouse/quality_check", quality.run_checks(warehouse, warehouse_checks(warehouse), batch_id, as_of))
     if gated:
         quality.gate(checks)

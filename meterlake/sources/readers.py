@@ -12,7 +12,7 @@ from meterlake import schemas
 from meterlake.functions import now
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or glob) exists, on whatever file system it names."""
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -37,7 +37,7 @@ def _csv(spark: SparkSession, schema: T.StructType):
 
 def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """All ``*.csv`` files below ``root``. Folder names such as ``year=2024`` do not become columns."""
-    if not _exists(spark, root):
+    if not exists(spark, root):
         raise FileNotFoundError(f"no such folder: {root}")
     if not _any_file(spark, root, ".csv"):
         raise FileNotFoundError(f"no CSV file below {root}")
@@ -45,7 +45,7 @@ def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataF
 
 
 def read_csv_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if not _exists(spark, path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"no such file: {path}")
     return _csv(spark, schema).csv(path)
 
@@ -57,7 +57,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def read_limited(spark: SparkSession, path: str, order_by: Sequence[str | Column], limit: int = 10_000) -> DataFrame:
     """The first ``limit`` rows in ``order_by``: the same rows on every run."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"no such table: {path}")
     return spark.read.parquet(path).orderBy(*order_by).limit(limit)
 

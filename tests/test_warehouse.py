@@ -201,3 +201,35 @@ def test_pipeline_counts_match_the_files(spark, sf_dir):
     for name in ("clean_consumption", "rejected_records", "consumption_weather_features", "fact_consumption"):
         layer = next(k for k in result.counts if k.endswith("/" + name))
         assert result.counts[layer] == result.tables[name].count(), name
+
+
+def test_a_second_run_adds_to_the_first(spark, tmp_path):
+    """Two days by two runs, then the second again: keys live on, ids stay unique, a rerun replaces itself."""
+    from meterlake.plans.batch import run_batch
+
+    def bronze(name, day, customers):
+        folder = tmp_path / name
+        for sub in ("historical_consumption", "weather"):
+            (folder / sub).mkdir(parents=True)
+        lines = [f"f,{name},M-{c},C-{c},{r},2026-01-{day} {h:02d}:30:00,1.5,2026-02-01 00:00:00" for c, r in customers for h in range(4)]
+        (folder / "historical_consumption" / "a.csv").write_text("\n".join([",".join(schemas.BRONZE_CONSUMPTION.names), *lines, lines[0], "f,x,,C-1,Mars,never,-1,now"]) + "\n")
+        (folder / "weather" / "w.csv").write_text(",".join(schemas.BRONZE_WEATHER.names) + f"\n2026-01-{day} 00:00:00,{customers[0][1]},7.5,80,10,0.0,2026-02-01 00:00:00\n")
+        (folder / "customers.csv").write_text("\n".join([",".join(schemas.BRONZE_CUSTOMER.names), *[f"C-{c},Residential,2,flat,{r},UK,N,2020-01-01,true" for c, r in customers]]) + "\n")
+        (folder / "meters.csv").write_text("\n".join([",".join(schemas.BRONZE_METER.names), *[f"M-{c},C-{c},{r},smart,2020-01-01,true" for c, r in customers]]) + "\n")
+        (folder / "tariffs.csv").write_text(",".join(schemas.BRONZE_TARIFF.names) + "\n" + "\n".join(f"{t},{n},2026-01-01,,{p},{s},true" for t, n, p, s in schemas.TARIFFS) + "\n")
+        return str(folder)
+
+    facts = str(tmp_path / "facts")
+    first = run_batch(spark, bronze("b1", 14, [(1, "South London"), (2, "West London")]), str(tmp_path / "r1"), "b1", as_of=AS_OF, facts=facts)
+    assert first.counts["silver/rejected_records"] == 2 and first.counts["warehouse/fact_consumption"] == 2
+    matched = first.tables["consumption_weather_features"].where("temperature_c is not null").collect()
+    assert [(r["region_name"], r["reading_hour"]) for r in matched] == [("South London", 0)]
+    source = bronze("b2", 15, [(1, "South London"), (3, "East London")])
+    for attempt in ("r2", "r3"):
+        second = run_batch(spark, source, str(tmp_path / attempt), "b2", as_of=AS_OF, facts=facts, previous=first.tables)
+        tables = second.tables
+        assert {r["region_name"]: r["region_id"] for r in tables["dim_region"].collect()} == {"South London": 1, "West London": 2, "East London": 3}
+        assert (tables["dim_customer"].count(), tables["dim_meter"].count(), tables["dim_date"].count()) == (3, 3, 2)
+        rows = tables["fact_consumption"].collect()
+        assert sorted(r["consumption_id"] for r in rows) == [1, 2, 3, 4]
+        assert sorted((r["batch_id"], r["customer_id"], float(r["kwh"])) for r in rows) == [("b1", "C-1", 6.0), ("b1", "C-2", 6.0), ("b2", "C-1", 6.0), ("b2", "C-3", 6.0)]
