@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas
 from meterlake.functions import (
-    BATCH_SEPARATOR, STREAM_SEPARATOR, as_column, clean_text, consumption_rules, event_rules, event_timestamp,
+    BATCH_SEPARATOR, STREAM_SEPARATOR, clean_text, consumption_rules, event_rules, event_timestamp,
     is_malformed_json, iso_z, json_payload, now, pad_id, record_hash, rejection_reason, weather_rules,
 )
 from meterlake.operators.windows import distinct_by, mark_duplicates, sequence_number

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas
 from meterlake.functions import (
-    as_column, choose_tariff, date_id, date_parts, default_if_falsy, end_of_day, estimated_cost, now,
+    choose_tariff, date_id, date_parts, default_if_falsy, end_of_day, estimated_cost,
 )
 from meterlake.operators.joins import insert_missing, lookup
 from meterlake.operators.windows import distinct_by, sequence_number
@@ -133,7 +133,3 @@ def load_readings(target: DataFrame, events: DataFrame, regions: DataFrame) -> t
 def load_anomalies(target: DataFrame, anomalies: DataFrame, regions: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, unknown = anomaly_rows(anomalies, regions)
     return insert_missing(target, rows, ["anomaly_id"]), unknown
-
-
-def with_created_at(df: DataFrame, as_of: str | None = None, column: str = "created_at") -> DataFrame:
-    return df.withColumn(column, F.coalesce(as_column(column), now(as_of)) if column in df.columns else now(as_of))

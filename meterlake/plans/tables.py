@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlake import schemas
-from meterlake.functions import choose_tariff, date_id, default_if_falsy, end_of_day, estimated_cost, json_payload, pad_id
+from meterlake.functions import choose_tariff, date_id, default_if_falsy, end_of_day, estimated_cost, pad_id
 from meterlake.operators.cleaning import detect_anomalies
 from meterlake.operators.dimensions import dim_date
 from meterlake.plans.planned import Planned
