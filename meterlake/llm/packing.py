@@ -97,7 +97,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids (unsigned 32-bit), and (task, rank): the piece's number among those of its length in its task.
+    """doc_id, piece, start, length, ids (unsigned, 2 bytes each where the vocabulary fits, else 4), and (task, rank): the piece's number among those of its length in its task.
 
     A document longer than the capacity is cut into whole pieces from its end, so only its first piece may be shorter.
     """
@@ -105,11 +105,12 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
         from pyspark import TaskContext
 
         tokens, task = encoder(tokenizer), TaskContext.get().partitionId()
+        kind = "<u2" if max(tokens.vocabulary, end_id + 1) <= 1 << 16 else "<u4"
         seen = np.zeros(capacity + 1, np.int64)
         for part in slices(batches, "text"):
             rows: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids", "rank")}
             for i, ids in zip(part.column("id").to_pylist(), tokens.encode([x or "" for x in part.column("text").to_pylist()]), strict=True):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4", copy=False)
+                ids = np.append(ids, np.uint32(end_id)).astype(kind, copy=False)
                 short = len(ids) % capacity
                 for k, at in enumerate([0, *range(short, len(ids), capacity)] if short else range(0, len(ids), capacity)):
                     own = ids[at : short if short and k == 0 else at + capacity]
@@ -127,7 +128,7 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 
 
 def pack(cut: DataFrame, capacity: int) -> DataFrame:
-    """The rows of a stored ``pieces`` table with sequence_id and offset instead of rank and task.
+    """The rows of a stored ``pieces`` table with sequence_id and offset instead of rank and task, and ids of 4 bytes.
 
     Pieces are read twice: their lengths are counted by task, which gives each task its first rank of every length; then each
     piece is placed by its rank. To the driver come at most ``capacity`` counts.
@@ -146,7 +147,8 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
             length, rank = (part.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             run = runs[np.searchsorted(lengths, length * (1 << 48) + rank, "right") - 1] if len(length) else np.zeros((0, 5), np.int64)
             into = rank - run[:, 1]
-            kept = {c: part.column(c) for c in ("doc_id", "piece", "start", "length", "ids")}
+            kept = {c: part.column(c) for c in ("doc_id", "piece", "start", "length")}
+            kept["ids"] = [np.frombuffer(x, f"<u{len(x) // n}").astype("<u4").tobytes() for x, n in zip(part.column("ids").to_pylist(), length.tolist())]
             yield pa.RecordBatch.from_pydict(kept | {"sequence_id": run[:, 2] + into // run[:, 3], "offset": run[:, 4] + into % run[:, 3] * length})
 
     ranked = cut.join(offsets, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "task")
