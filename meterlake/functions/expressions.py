@@ -11,10 +11,10 @@ from meterlake import schemas
 
 __all__ = [
     "as_column", "boundary_diff", "choose_tariff", "clean_text", "date_id", "date_parts",
-    "default_if_falsy", "end_of_day", "estimated_cost", "event_timestamp", "exact", "expected_kwh",
-    "future_rows", "iso_z", "json_payload", "key_number", "kwh_average", "kwh_total", "now",
+    "default_if_falsy", "end_of_day", "estimated_cost", "event_timestamp", "exact",
+    "future_rows", "iso_z", "json_payload", "kwh_average", "kwh_total", "now",
     "optional_date_range", "optional_eq", "optional_ts_range", "pad_id", "prefixed_sha1",
-    "record_hash", "region_of_key", "safe_divide", "truncate_text", "typed",
+    "record_hash", "safe_divide", "typed",
 ]
 
 
@@ -40,27 +40,12 @@ def typed(df: DataFrame, types: Mapping[str, str], suffix: str = "") -> DataFram
     return df.withColumns({name + suffix: F.col(name).try_cast(kind) for name, kind in types.items()})
 
 
-def truncate_text(col: str | Column, length: int = 4000) -> Column:
-    return F.substring(as_column(col), 1, length)
-
-
 def pad_id(prefix: str, number: str | Column, width: int) -> Column:
     """``prefix`` plus a zero-padded number; a longer number keeps all its digits."""
     digits = as_column(number).cast("string")
     return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
-def key_number(key: str | Column) -> Column:
-    """Trailing integer of a key such as ``MTR-LON-042``; NULL when there is none."""
-    return F.nullif(F.regexp_extract(as_column(key), r"(\d+)$", 1), F.lit("")).try_cast("bigint")
-
-
-def region_of_key(key: str | Column, regions: Sequence[str] = schemas.REGIONS) -> Column:
-    """Spread keys 1, 2, 3, ... over the regions in order, wrapping around."""
-    slot = F.pmod(key_number(key) - 1, F.lit(len(regions)))
-    return F.element_at(F.array(*map(F.lit, regions)), (slot + 1).cast("int"))
-
-
 def record_hash(*cols: str | Column) -> Column:
     """SHA-256 over the fields joined by ``||``; NULL fields are skipped."""
     return F.sha2(F.concat_ws("||", *map(as_column, cols)), 256)
@@ -77,9 +62,16 @@ def json_payload(columns: Sequence[str], keep_nulls: bool = True) -> Column:
 
 
 # -- time -------------------------------------------------------------------
+_EVENT_TIMES = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]", "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd HH:mm:ss[.SSS]", "yyyy-MM-dd")
+
+
 def event_timestamp(col: str | Column) -> Column:
-    """Parse ``2024-01-01T10:00:00Z`` and ``2024-01-01 10:00:00`` text; NULL when neither."""
-    return F.regexp_replace(F.regexp_replace(as_column(col), "T", " "), "Z", "").try_cast("timestamp")
+    """Parse ``2024-01-01T10:00:00Z``, with another offset or none, ``2024-01-01 10:00:00`` and plain days; NULL for anything else.
+
+    Text without an offset is taken in the session's zone. A bare year is no time.
+    """
+    text = F.trim(as_column(col))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(pattern)) for pattern in _EVENT_TIMES])
 
 
 def iso_z(ts: str | Column) -> Column:
@@ -190,45 +182,3 @@ def estimated_cost(kwh: str | Column, price: str | Column, standing: str | Colum
     """``kwh * price + standing charge`` in decimals, half up to four places."""
     energy = as_column(kwh).cast("decimal(12,4)") * as_column(price).cast("decimal(10,4)")
     return F.round(energy + as_column(standing).cast("decimal(10,4)"), 4).cast("decimal(12,4)")
-
-
-# Fixed values of the load profile, kWh per half hour.
-_PROFILE = {
-    "business": {"base": 0.35, "open": 1.15, "closed": 0.20, "hours": (8, 18)},
-    "public": {"base": 0.55, "open": 1.65, "closed": 0.35, "hours": (7, 20), "weekend": -0.30},
-    "home": {"base": 0.16, "person": 0.085, "morning": (6, 9, 0.42), "evening": (17, 23, 0.78), "weekend": 0.22},
-    "floor": 0.02,
-}
-
-
-def expected_kwh(segment: str | Column, household_size: str | Column, ts: str | Column) -> Column:
-    """Expected half-hourly load by customer segment, time of day, weekend and household size."""
-    segment, size, ts = as_column(segment), as_column(household_size), as_column(ts)
-    hour, weekend = F.hour(ts), F.weekday(ts) >= 5
-
-    def within(low: int, high: int) -> Column:
-        return (hour >= low) & (hour < high)
-
-    def amount(value: float) -> Column:
-        return F.lit(str(value)).cast("decimal(8,4)")
-
-    def only_if(condition: Column, value: float) -> Column:
-        return F.when(condition, amount(value)).otherwise(amount(0))
-
-    def opening(kind: dict) -> Column:
-        hours = F.when(within(*kind["hours"]), amount(kind["open"])).otherwise(amount(kind["closed"]))
-        return amount(kind["base"]) + hours + only_if(weekend, kind.get("weekend", 0))
-
-    home = _PROFILE["home"]
-    (m_from, m_to, m_load), (e_from, e_to, e_load) = home["morning"], home["evening"]
-    household = (
-        amount(home["base"]) + size.cast("decimal(4,0)") * amount(home["person"])
-        + only_if(within(m_from, m_to), m_load) + only_if(within(e_from, e_to), e_load)
-        + only_if(weekend, home["weekend"])
-    )
-    load = (
-        F.when(segment == "Small Business", opening(_PROFILE["business"]))
-        .when(segment == "Public Sector", opening(_PROFILE["public"]))
-        .otherwise(household)
-    )
-    return F.round(F.greatest(load, amount(_PROFILE["floor"])), 4).cast("decimal(12,4)")

@@ -44,9 +44,9 @@ def not_in(col: str | Column, domain: Sequence[str], trim: bool = False) -> Colu
     return ~F.coalesce(col.isin(*domain), F.lit(False))
 
 
-def _not_finite(number: Column) -> Column:
-    """NULL, NaN and both infinities: not a usable measure, and no decimal could hold it."""
-    return number.isNull() | F.isnan(number) | F.abs(number).eqNullSafe(F.lit(float("inf")))
+def _unstorable(number: Column) -> Column:
+    """Not a usable measure: NULL, NaN, an infinity, or a value the measure type of the facts cannot hold."""
+    return number.try_cast(schemas.MEASURE).isNull()
 
 
 def is_malformed_json(raw: str | Column) -> Column:
@@ -59,6 +59,7 @@ def consumption_rules(
     regions: Sequence[str] = schemas.REGIONS,
     meter: str = "meter_id", customer: str = "customer_id", ts: str = "reading_timestamp",
     kwh: str = "kwh", region: str = "region_name", duplicate: Column | None = None, style: str = "batch",
+    malformed: Column | None = None,
 ) -> list[Rule]:
     """Rules for consumption rows.
 
@@ -72,7 +73,7 @@ def consumption_rules(
             Rule(~present(customer), "Missing customer_id"),
             Rule(F.trim(F.col(ts)).try_cast("timestamp").isNull(), "Invalid reading_timestamp"),
             Rule(~present(kwh), "Missing kwh"),
-            Rule(present(kwh) & (_not_finite(number) | (number < 0)), "Negative or invalid kwh"),
+            Rule(present(kwh) & (_unstorable(number) | (number < 0)), "Negative or invalid kwh"),
             Rule(not_in(region, regions, trim=True), "Invalid region_name"),
         ]
     if style != "batch":
@@ -81,10 +82,12 @@ def consumption_rules(
         Rule(F.col(meter).isNull(), "Missing meter_id"),
         Rule(F.col(customer).isNull(), "Missing customer_id"),
         Rule(F.col(ts).isNull(), "Invalid reading_timestamp"),
-        Rule(_not_finite(F.col(kwh)), "Missing or invalid kwh"),
+        Rule(_unstorable(F.col(kwh)), "Missing or invalid kwh"),
         Rule(F.col(kwh) < 0, "Negative kwh"),
         Rule(not_in(region, regions), "Invalid region_name"),
     ]
+    if malformed is not None:
+        rules.insert(0, Rule(malformed, "Malformed CSV row"))
     if duplicate is not None:
         rules.append(Rule(duplicate, "Duplicate meter_id and reading_timestamp"))
     return rules
@@ -114,7 +117,7 @@ def event_rules(
         Rule(not_in("region_name", regions, trim), "Invalid region_name"),
         Rule(F.col(event_ts).isNull(), "Invalid event_timestamp"),
         Rule(F.col(producer_ts).isNull(), "Invalid producer_timestamp"),
-        Rule(_not_finite(F.col("kwh")), "Missing or invalid kwh"),
+        Rule(_unstorable(F.col("kwh")), "Missing or invalid kwh"),
         Rule(F.col("kwh") < 0, "Negative kwh"),
         Rule(F.col("voltage") <= 0, "Invalid voltage"),
         Rule(not_in("event_type", event_types, trim), "Invalid event_type"),
@@ -136,7 +139,7 @@ def event_row_rules(
         Rule(missing != "", F.concat(F.lit("Missing required fields: "), missing)),
         Rule(present("region_name") & not_in("region_name", regions, trim=True), "Invalid region_name"),
         Rule(present("event_timestamp") & event_timestamp("event_timestamp").isNull(), "Invalid event_timestamp"),
-        Rule(present("kwh") & (_not_finite(kwh) | (kwh < 0)), "Negative or invalid kwh"),
+        Rule(present("kwh") & (_unstorable(kwh) | (kwh < 0)), "Negative or invalid kwh"),
         Rule(present("voltage") & ~F.coalesce(voltage > 0, F.lit(False)), "Invalid voltage"),
         Rule(present("event_type") & not_in("event_type", event_types, trim=True), "Invalid event_type"),
     ]

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas
 from meterlake.functions import (
-    BATCH_SEPARATOR, STREAM_SEPARATOR, clean_text, consumption_rules, event_rules, event_timestamp,
+    BATCH_SEPARATOR, STREAM_SEPARATOR, Rule, clean_text, consumption_rules, event_rules, event_timestamp,
     is_malformed_json, iso_z, json_payload, now, pad_id, record_hash, rejection_reason, weather_rules,
 )
+from meterlake.operators.aggregates import union_all
 from meterlake.operators.windows import distinct_by, mark_duplicates, sequence_number
 
 REASON = "rejection_reason"
@@ -51,12 +52,15 @@ def reject_events(
 def validate_consumption(raw: DataFrame, regions: Sequence[str] = schemas.REGIONS) -> DataFrame:
     """Typed bronze consumption with ``rejection_reason``, one output row per input row.
 
-    Among rows of one meter and time the first by file, batch, validity and payload stays; the others
-    are duplicates. A good row is therefore never lost to a bad one of the same file and batch.
+    Among rows of one meter and time the first by file, batch, validity and fields stays; the others
+    are duplicates. A good row is therefore never lost to a bad one of the same file and batch. The payload's JSON is
+    built for rejects alone, after the ranking.
     """
-    payload = raw.columns
+    corrupt = F.col(schemas.CORRUPT) if schemas.CORRUPT in raw.columns else F.lit(None).cast("string")
+    fields = [c for c in raw.columns if c != schemas.CORRUPT]
     typed = raw.withColumns({
-        "raw_payload": json_payload(payload),
+        "raw_fields": F.struct(*sorted(fields)),
+        "raw_text": corrupt,
         "raw_meter_id": F.col("meter_id"),
         "meter_id": clean_text("meter_id"),
         "customer_id": clean_text("customer_id"),
@@ -65,13 +69,14 @@ def validate_consumption(raw: DataFrame, regions: Sequence[str] = schemas.REGION
         "kwh": F.col("kwh").try_cast("double"),
         "ingestion_timestamp": F.col("ingestion_timestamp").try_cast("timestamp"),
     })
-    is_bad = rejection_reason(consumption_rules(regions)) != ""
+    malformed = F.col("raw_text").isNotNull()
+    is_bad = rejection_reason(consumption_rules(regions, malformed=malformed)) != ""
     marked = mark_duplicates(
         typed.withColumn("__bad", is_bad), ["meter_id", "reading_timestamp"],
-        [F.asc_nulls_last("source_file"), F.asc_nulls_last("batch_id"), "__bad", "raw_payload"],
+        [F.asc_nulls_last("source_file"), F.asc_nulls_last("batch_id"), "__bad", *[F.asc_nulls_last(f"raw_fields.{c}") for c in sorted(fields)]],
     )
-    rules = consumption_rules(regions, duplicate=F.col("is_duplicate"))
-    return marked.withColumn(REASON, rejection_reason(rules, BATCH_SEPARATOR)).drop("__bad", "is_duplicate")
+    rules = consumption_rules(regions, duplicate=F.col("is_duplicate"), malformed=malformed)
+    return marked.withColumn(REASON, rejection_reason(rules, BATCH_SEPARATOR)).drop("__bad", "is_duplicate", schemas.CORRUPT)
 
 
 def clean_consumption(validated: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -90,6 +95,7 @@ def clean_consumption(validated: DataFrame, as_of: str | None = None) -> DataFra
 
 def rejected_consumption(validated: DataFrame, as_of: str | None = None) -> DataFrame:
     _, rejected = split_valid(validated)
+    rejected = rejected.withColumn("raw_payload", F.coalesce("raw_text", F.to_json("raw_fields", {"ignoreNullFields": "false"})))
     reference = [F.coalesce("source_file", F.lit("unknown_file")), F.coalesce("raw_meter_id", F.lit("missing_meter"))]
     return reject_records(rejected, "bronze_historical_consumption", reference, as_of=as_of)
 
@@ -105,15 +111,17 @@ def transform_weather(
     raw: DataFrame, regions: Sequence[str] = schemas.REGIONS, as_of: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     measures = ["temperature_c", "humidity_percent", "wind_speed_kph", "precipitation_mm"]
+    corrupt = F.col(schemas.CORRUPT) if schemas.CORRUPT in raw.columns else F.lit(None).cast("string")
     typed = raw.withColumns({
-        "raw_payload": json_payload(raw.columns),
+        "raw_payload": F.coalesce(corrupt, json_payload([c for c in raw.columns if c != schemas.CORRUPT])),
+        "malformed": corrupt.isNotNull(),
         "raw_region_name": F.col("region_name"),
         "region_name": clean_text("region_name"),
         "weather_timestamp": F.col("weather_timestamp").try_cast("timestamp"),
         "ingestion_timestamp": F.col("ingestion_timestamp").try_cast("timestamp"),
         **{m: F.col(m).try_cast("double") for m in measures},
     })
-    valid, rejected = split_valid(typed.withColumn(REASON, rejection_reason(weather_rules(regions))))
+    valid, rejected = split_valid(typed.withColumn(REASON, rejection_reason([Rule(F.col("malformed"), "Malformed CSV row"), *weather_rules(regions)])))
     clean = valid.select(
         "region_name", "weather_timestamp", F.to_date("weather_timestamp").alias("weather_date"),
         F.hour("weather_timestamp").alias("weather_hour"), *measures, "ingestion_timestamp",
@@ -150,6 +158,29 @@ def transform_metadata(
     )
 
 
+def rejected_metadata(customers: DataFrame, meters: DataFrame, tariffs: DataFrame, as_of: str | None = None) -> DataFrame:
+    """What ``transform_metadata`` leaves out or cannot read, one record per row with its reasons.
+
+    A row without its key, or one whose text does not fit its header, is missing from silver; a row with a value that does not parse is there
+    with NULL in its place.
+    """
+    tables = {
+        "customers": (customers, "customer_id", {"household_size": "int", "signup_date": "date", "is_active": "boolean"}),
+        "meters": (meters, "meter_id", {"installation_date": "date", "is_active": "boolean"}),
+        "tariffs": (tariffs, "tariff_id", {"valid_from": "date", "valid_to": "date", "price_per_kwh": "double", "standing_charge_daily": "double", "is_active": "boolean"}),
+    }
+    found = []
+    for name, (df, key, kinds) in tables.items():
+        corrupt = F.col(schemas.CORRUPT) if schemas.CORRUPT in df.columns else F.lit(None).cast("string")
+        fields = [c for c in df.columns if c != schemas.CORRUPT]
+        rules = [Rule(corrupt.isNotNull(), "Malformed CSV row"), Rule(clean_text(key).isNull(), f"Missing {key}")]
+        rules += [Rule(clean_text(F.col(c).cast("string")).isNotNull() & F.col(c).try_cast(kind).isNull(), f"Invalid {c}") for c, kind in kinds.items()]
+        checked = df.withColumns({REASON: rejection_reason(rules), "raw_payload": F.coalesce(corrupt, json_payload(fields))})
+        _, bad = split_valid(checked)
+        found.append(reject_records(bad, f"bronze_{name}", [F.lit(name), F.coalesce(clean_text(key), F.lit(f"missing_{key}"))], batch_id=None, as_of=as_of))
+    return union_all(found)
+
+
 # -- events ---------------------------------------------------------------------
 def parse_events(envelope: DataFrame, schema=schemas.EVENT) -> DataFrame:
     """Flatten the JSON payload beside the envelope.

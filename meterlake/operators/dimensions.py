@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from meterlake import schemas
 from meterlake.functions import (
-    choose_tariff, date_id, date_parts, default_if_falsy, end_of_day, estimated_cost,
+    choose_tariff, date_id, date_parts, default_if_falsy, end_of_day, estimated_cost, json_payload, now,
 )
+from meterlake.operators.aggregates import union_all
 from meterlake.operators.joins import insert_missing, lookup
 from meterlake.operators.windows import distinct_by, sequence_number
 
@@ -84,19 +85,44 @@ def replace_batch(target: DataFrame, rows: DataFrame, batch_id: str, column: str
 def build_consumption_fact(
     daily: DataFrame, customers: DataFrame, regions: DataFrame, tariffs: DataFrame, batch_id: str,
     source_system: str = "phase2_gold", on_missing: str = "error",
-) -> DataFrame:
-    """Daily totals to warehouse facts: surrogate region, tariff by rule, cost, date key, end-of-day time."""
-    facts = lookup(daily, customers, "customer_id", ["customer_segment", "household_size"], on_missing)
-    facts = lookup(facts, regions, "region_name", ["region_id"], on_missing)
+) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Daily totals to warehouse facts: surrogate region, tariff by rule, cost, date key, end-of-day time.
+
+    With ``on_missing="reject"`` also the daily rows that found no dimension row or whose total no fact can hold.
+    """
+    lost = []
+
+    def found(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
+        result = lookup(df, dim, key, columns, on_missing)
+        if on_missing != "reject":
+            return result
+        lost.append(result[1].select(*daily.columns))
+        return result[0]
+
+    facts = found(daily, customers, "customer_id", ["customer_segment", "household_size"])
+    facts = found(facts, regions, "region_name", ["region_id"])
     facts = facts.withColumn("tariff_id", choose_tariff("customer_segment", "household_size"))
-    facts = lookup(facts, tariffs, "tariff_id", ["price_per_kwh", "standing_charge_daily"], on_missing)
-    return facts.select(
+    facts = found(facts, tariffs, "tariff_id", ["price_per_kwh", "standing_charge_daily"])
+    fits = F.col("total_kwh").try_cast(schemas.MEASURE).isNotNull()
+    if on_missing == "reject":
+        lost.append(facts.where(~fits).select(*daily.columns))
+        facts = facts.where(fits)
+    rows = facts.select(
         "meter_id", "customer_id", "region_id", "tariff_id", date_id("reading_date").alias("date_id"),
         end_of_day("reading_date").alias("reading_timestamp"),
         F.col("total_kwh").cast("decimal(12,4)").alias("kwh"),
         estimated_cost("total_kwh", "price_per_kwh", "standing_charge_daily").alias("estimated_cost"),
         F.lit(source_system).alias("source_system"), F.lit(batch_id).alias("batch_id"),
     )
+    return (rows, union_all(lost)) if on_missing == "reject" else rows
+
+
+def lookup_rejects(rows: DataFrame, table: str, key: str, batch_id: str | None = None, as_of: str | None = None) -> DataFrame:
+    """Rows that could not be loaded into ``table`` as dead-letter records."""
+    return rows.select(
+        F.lit(table).alias("source_system"), F.concat_ws(":", F.lit(table), F.coalesce(F.col(key).cast("string"), F.lit(f"missing_{key}"))).alias("source_reference"),
+        json_payload(rows.columns).alias("raw_payload"), F.lit("No dimension row, or a total that cannot be stored").alias("rejection_reason"),
+        now(as_of).alias("rejected_at"), F.lit(batch_id).cast("string").alias("batch_id"))
 
 
 def reading_rows(events: DataFrame, regions: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -166,11 +166,14 @@ def lookup(
 def range_join(left: DataFrame, right: DataFrame, day: str, low: str | Column, high: str | Column) -> DataFrame:
     """Rows of ``left`` with each row of ``right`` whose date ``day`` lies between low and high (inclusive).
 
-    A left row is expanded to the days of its own range and equi-joined, so no row pair is tested in vain.
-    A NULL or reversed range matches nothing.
+    A left row is expanded to the days of its own range that lie between the other side's first and last day, and equi-joined, so
+    no row pair is tested in vain and a range of centuries makes no more days than the other side spans. A NULL high is an
+    open end; a NULL low or a reversed range matches nothing.
     """
-    low, high = (F.col(c) if isinstance(c, str) else c for c in (low, high))
-    days = F.explode(F.when(low <= high, F.sequence(low.cast("date"), high.cast("date"))))
+    low, high = ((F.col(c) if isinstance(c, str) else c).cast("date") for c in (low, high))
+    first, last = (right.agg(f(day)).scalar() for f in (F.min, F.max))
+    start, end = F.greatest(low, first), F.least(F.coalesce(high, last), last)
+    days = F.explode(F.when(low.isNotNull() & (start <= end), F.sequence(start, end)))
     return left.select("*", days.alias(day)).join(right, day)
 
 

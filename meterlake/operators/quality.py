@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.functions import now, prefixed_sha1
+from meterlake.functions import future_rows, now, prefixed_sha1
 from meterlake.operators.aggregates import duplicate_keys, tagged_union, union_all
 from meterlake.operators.joins import ForeignKey, orphan_count, referential_counts
 
@@ -33,7 +33,7 @@ def negative_check(tables: Sources, column: str = "kwh") -> DataFrame:
 
 def future_check(tables: Mapping[str, tuple[DataFrame, str, str]], as_of: str | None = None) -> DataFrame:
     """Rows dated after ``as_of``; each table names its own time column."""
-    hits = {name: (df.where(F.col(ts) > now(as_of)), id_col) for name, (df, id_col, ts) in tables.items()}
+    hits = {name: (future_rows(df, ts, as_of), id_col) for name, (df, id_col, ts) in tables.items()}
     return tagged_union(hits, {name: ts for name, (_, _, ts) in tables.items()}, "timestamp_value")
 
 

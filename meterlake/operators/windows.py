@@ -147,7 +147,7 @@ def recent_average(
 ) -> DataFrame:
     """Average of ``value`` over the ``n`` rows of the key before this one; NULL for the first row.
 
-    Rows are numbered per key and cut into blocks of ``block_rows``. A block borrows the last ``n`` rows of
+    Rows are numbered per key and cut into blocks of ``block_rows``, whose size changes the work of a task, not the result. A block borrows the last ``n`` rows of
     the block before it, so a window never needs more than its own group.
     """
     block_rows = max(block_rows, n)
@@ -175,16 +175,8 @@ def recent_avg_anomaly(
 
 
 # -- limits --------------------------------------------------------------------
-DEFAULT_LIMIT, MAX_LIMIT = 100, 1000  # fixed values of the serving interface
-
-
-def normalize_limit(limit: int | None, default: int = DEFAULT_LIMIT) -> int:
-    """The serving row limit: 100 when not given, never below 1 or above 1000."""
-    return max(1, min(default if limit is None else limit, MAX_LIMIT))
-
-
 def top_k(df: DataFrame, by: str, k: int = 5, tie_break: Sequence[str] = ()) -> DataFrame:
-    """The ``k`` greatest rows; every task keeps ``k``, the driver merges those."""
+    """The ``k`` greatest rows, for a report: every task keeps ``k`` and one task merges those, so ``k`` should fit in memory."""
     return df.orderBy(F.col(by).desc(), *tie_break).limit(k)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from meterlake import schemas
 from meterlake.operators import aggregates as agg
 from meterlake.operators import cleaning, dimensions, quality
-from meterlake.operators.joins import weather_features
+from meterlake.operators.joins import lookup, weather_features
 from meterlake.operators.windows import sequence_number
 from meterlake.plans.runlog import observe_counts
 from meterlake.sources.readers import exists, read_csv_file, read_csv_tree
@@ -64,11 +64,10 @@ def bronze_to_silver(
     validated = store.save("staging/consumption", consumption)
     weather, weather_rejects = cleaning.transform_weather(
         read_csv_tree(spark, f"{bronze}/weather", schemas.BRONZE_WEATHER), regions, as_of)
-    customers, meters, tariffs = cleaning.transform_metadata(
-        read_csv_file(spark, f"{bronze}/customers.csv", schemas.BRONZE_CUSTOMER),
-        read_csv_file(spark, f"{bronze}/meters.csv", schemas.BRONZE_METER),
-        read_csv_file(spark, f"{bronze}/tariffs.csv", schemas.BRONZE_TARIFF), as_of)
-    rejects = agg.union_all([cleaning.rejected_consumption(validated, as_of), weather_rejects])
+    raw = [read_csv_file(spark, f"{bronze}/{name}.csv", schema) for name, schema in (
+        ("customers", schemas.BRONZE_CUSTOMER), ("meters", schemas.BRONZE_METER), ("tariffs", schemas.BRONZE_TARIFF))]
+    customers, meters, tariffs = cleaning.transform_metadata(*raw, as_of)
+    rejects = agg.union_all([cleaning.rejected_consumption(validated, as_of), weather_rejects, cleaning.rejected_metadata(*raw, as_of)])
     return store.save_all("silver", {
         "clean_consumption": (cleaning.clean_consumption(validated, as_of), ["reading_date"], ["meter_id"]),
         "clean_weather": (weather, ["weather_date"], ["region_name"]),
@@ -93,7 +92,7 @@ def silver_to_gold(silver: dict[str, DataFrame], store: _Store, as_of: str | Non
 
 def load_warehouse(
     silver: dict[str, DataFrame], gold: dict[str, DataFrame], store: _Store, batch_id: str, facts: str,
-    previous: Mapping[str, DataFrame],
+    previous: Mapping[str, DataFrame], as_of: str | None = None,
 ) -> dict[str, DataFrame]:
     """Dimensions as a new version under the store's root, this batch's facts into the shared folder ``facts``."""
     customers = silver["clean_customer"]
@@ -108,13 +107,17 @@ def load_warehouse(
         "dim_region", dimensions.dim_region(customers, previous.get("dim_region")), "region_name"))
     located = regions.select("region_name", "region_id")
     prices = {c: F.col(c).cast("decimal(10,4)") for c in ("price_per_kwh", "standing_charge_daily")}
+    known_customers, lost_customers = lookup(customers, located, "region_name", ["region_id"], "reject")
+    known_meters, lost_meters = lookup(silver["clean_meter"], located, "region_name", ["region_id"], "reject")
     dims = {"dim_region": regions} | store.save_all("warehouse", {
         "dim_tariff": merged("dim_tariff", silver["clean_tariff"].withColumns(prices), "tariff_id"),
-        "dim_customer": merged("dim_customer", customers.join(located, "region_name"), "customer_id"),
-        "dim_meter": merged("dim_meter", silver["clean_meter"].join(located, "region_name"), "meter_id"),
+        "dim_customer": merged("dim_customer", known_customers, "customer_id"),
+        "dim_meter": merged("dim_meter", known_meters, "meter_id"),
         "dim_date": (dimensions.dim_date(daily, "reading_date", previous.get("dim_date")),),
     })
-    fact = dimensions.build_consumption_fact(daily, customers, regions, dims["dim_tariff"], batch_id)
+    fact, lost_facts = dimensions.build_consumption_fact(daily, customers, regions, dims["dim_tariff"], batch_id, on_missing="reject")
+    lost = {"dim_customer": (lost_customers, "customer_id"), "dim_meter": (lost_meters, "meter_id"), "fact_consumption": (lost_facts, "customer_id")}
+    dims["rejected_rows"] = store.save("warehouse/rejected_rows", agg.union_all([dimensions.lookup_rejects(df, name, key, batch_id, as_of) for name, (df, key) in lost.items()]))
     numbered = sequence_number(fact, ["meter_id", "date_id", "customer_id", "region_id"], "consumption_id").withColumn(
         "consumption_id", F.col("consumption_id") + _highest_id(store.spark, facts, batch_id))
     # a folder per day lets a date filter on the dimension prune the fact (dynamic partition pruning)
@@ -128,7 +131,8 @@ def _highest_id(spark: SparkSession, facts: str, batch_id: str) -> Column:
     """The greatest fact id of all other batches, 0 when there are none."""
     if not exists(spark, facts):
         return F.lit(0)
-    others = spark.read.parquet(facts).where(F.col("batch_id").cast("string") != batch_id)
+    # the schema is given, so that a batch id such as 00042 is not read back as a number
+    others = spark.read.schema("consumption_id bigint, batch_id string").parquet(facts).where(F.col("batch_id") != batch_id)
     return others.agg(F.coalesce(F.max("consumption_id"), F.lit(0))).scalar()
 
 
@@ -139,8 +143,8 @@ def warehouse_checks(tables: dict[str, DataFrame]) -> list:
         quality.no_row_where(f"{name}_no_negative_kwh", "fact_consumption", F.col("kwh") < 0),
         quality.no_row_where(f"{name}_no_null_meter_id", "fact_consumption", F.col("meter_id").isNull()),
         quality.any_value(f"{name}_latest_timestamp_present", "fact_consumption", "reading_timestamp"),
-        quality.no_orphans(f"{name}_no_missing_region_reference", "fact_consumption",
-                           tables["fact_consumption"], tables["dim_region"], "region_id", "region_id"),
+        *[quality.no_orphans(f"{name}_no_missing_{d}_reference", "fact_consumption", tables["fact_consumption"], tables[f"dim_{d}"], f"{d}_id", f"{d}_id")
+          for d in ("region", "customer", "meter", "tariff", "date")],
     ]
 
 
@@ -156,7 +160,7 @@ def run_batch(
     store = _Store(spark, root)
     silver = bronze_to_silver(spark, bronze.rstrip("/"), store, regions, as_of)
     gold = silver_to_gold(silver, store, as_of)
-    warehouse = load_warehouse(silver, gold, store, batch_id, facts or store.path("warehouse/fact_consumption"), previous or {})
+    warehouse = load_warehouse(silver, gold, store, batch_id, facts or store.path("warehouse/fact_consumption"), previous or {}, as_of)
     checks = store.save("warehouse/quality_check", quality.run_checks(warehouse, warehouse_checks(warehouse), batch_id, as_of))
     if gated:
         quality.gate(checks)

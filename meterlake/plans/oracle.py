@@ -190,7 +190,7 @@ _BASE["weather_raw"] = """
                CAST(high AS VARCHAR) AS humidity_percent, CAST(c AS VARCHAR) AS wind_speed_kph, '0.0' AS precipitation_mm,
                strftime(hour_at, '%Y-%m-%d %H:%M:%S') AS ingestion_timestamp
         FROM (SELECT region_name, date_trunc('hour', event_timestamp) AS hour_at, min(kwh) AS low, max(kwh) AS high, count(*) AS c, min(n) AS n
-              FROM readings WHERE voltage IS NOT NULL GROUP BY ALL)"""
+              FROM readings GROUP BY ALL)"""
 _BASE["weather"] = f"""
         SELECT *, {_reasons([("weather_at IS NULL", "Invalid weather_timestamp"), ("temperature IS NULL", "Missing or invalid temperature_c"),
                              (f"region IS NULL OR region NOT IN ({_REGION_LIST})", "Invalid region_name")], '; ')} AS rejection_reason
@@ -410,7 +410,7 @@ ORACLE: dict[str, str] = {
     # joins
     "range_join": sql(f"""SELECT customer_id, CAST(signup_date AS VARCHAR) AS signup_date, CAST(signup_date + household_size * 7 AS VARCHAR) AS trial_end,
         CAST(CAST(g.day AS DATE) AS VARCHAR) AS full_date, CAST({_date_id('g.day')} AS BIGINT) AS date_id, isodow(g.day) >= 6 AS is_weekend
-        FROM dim_customer JOIN (SELECT unnest(generate_series(TIMESTAMP '2020-03-01', TIMESTAMP '2021-06-30', INTERVAL 1 DAY)) AS day) g
+        FROM dim_customer JOIN (SELECT unnest(generate_series(min(signup_date)::TIMESTAMP, max(signup_date + household_size * 7)::TIMESTAMP, INTERVAL 1 DAY)) AS day FROM dim_customer) g
         ON g.day BETWEEN signup_date AND signup_date + household_size * 7"""),
     "meter_slots": sql(f"""SELECT meter_id, CAST(slot_number AS BIGINT) AS slot_number,
         strftime(TIMESTAMP '2026-01-14' + to_hours(CAST((slot_number - 1) * 4 AS INTEGER)), {_STAMP}) AS event_timestamp,
@@ -443,13 +443,6 @@ ORACLE: dict[str, str] = {
         anomaly_type, CAST(anomaly_score AS DOUBLE) AS anomaly_score, CAST(kwh AS DOUBLE) AS kwh, '{AS_OF}' AS detected_at, source_system
         FROM found WHERE region_name <> 'ASIA'"""),
     "replace_batch": sql("""SELECT consumption_id, meter_id, CAST(kwh + CASE WHEN batch_id = 'batch_1996' THEN 1 ELSE 0 END AS DOUBLE) AS kwh, batch_id FROM fact_consumption"""),
-    "expected_kwh": sql("""SELECT event_id, CAST(greatest(CASE
-          WHEN customer_segment = 'Small Business' THEN 0.35 + CASE WHEN h >= 8 AND h < 18 THEN 1.15 ELSE 0.20 END
-          WHEN customer_segment = 'Public Sector' THEN 0.55 + CASE WHEN h >= 7 AND h < 20 THEN 1.65 ELSE 0.35 END - CASE WHEN weekend THEN 0.30 ELSE 0 END
-          ELSE 0.16 + household_size * 0.085 + CASE WHEN h >= 6 AND h < 9 THEN 0.42 ELSE 0 END + CASE WHEN h >= 17 AND h < 23 THEN 0.78 ELSE 0 END
-               + CASE WHEN weekend THEN 0.22 ELSE 0 END END, 0.02) AS DOUBLE) AS expected_kwh
-        FROM (SELECT r.event_id, c.customer_segment, c.household_size, hour(r.event_timestamp) AS h, isodow(r.event_timestamp) >= 6 AS weekend
-              FROM readings r JOIN dim_customer c ON c.customer_id = r.customer_id)"""),
     "replay_events": sql(f"""SELECT event_id, '{{"event_id":"' || event_id || '","meter_id":"' || meter_id || '","customer_id":"' || customer_id || '","region_name":"' || region_name
           || '","event_timestamp":"' || coalesce(strftime(try_cast(reading_timestamp AS TIMESTAMP), '%Y-%m-%dT%H:%M:%SZ'), reading_timestamp)
           || '","voltage":230.0,"event_type":"' || CASE WHEN kwh > 10 THEN 'anomaly' ELSE 'reading' END
@@ -458,8 +451,6 @@ ORACLE: dict[str, str] = {
         FROM (SELECT * REPLACE (try_cast(kwh AS DOUBLE) AS kwh), kwh AS raw_kwh,
                      'replay_evt_' || lpad(CAST(row_number() OVER (ORDER BY source_file, customer_id, ingestion_timestamp, kwh, meter_id) AS VARCHAR), 8, '0') AS event_id
               FROM dirty)"""),
-    "key_regions": sql("""SELECT meter_id, CAST(k AS BIGINT) AS meter_number,
-        ['North London', 'South London', 'East London', 'West London', 'Central London'][CAST(((k - 1) % 5 + 5) % 5 + 1 AS BIGINT)] AS region_name FROM dim_meter"""),
     # analytics
     "star_daily": sql(f"""SELECT CAST(full_date AS VARCHAR) AS full_date, region_name, CAST(sum(kwh) AS DOUBLE) AS total_kwh,
         CAST(sum(estimated_cost) AS DOUBLE) AS total_estimated_cost, count(*) AS reading_count {_FACT} GROUP BY ALL"""),
@@ -509,7 +500,7 @@ ORACLE: dict[str, str] = {
     "p_daily_bad_date": _rows("v_daily v", _VIEW_DAILY, "WHERE v.reading_date >= try_cast('not a date' AS DATE)"),
     "p_monthly": _rows("v_monthly", _VIEW_MONTHLY, "WHERE region_name = 'EUROPE' ORDER BY year_number, month_number LIMIT 100"),
     "p_customer": _rows("v_customer", _VIEW_CUSTOMER, "WHERE customer_id = 'CUST-000042'"),
-    "p_latest": _rows("v_latest v", _VIEW_LATEST, "ORDER BY v.event_timestamp DESC, meter_id LIMIT 1000"),
+    "p_latest": _rows("v_latest v", _VIEW_LATEST, "ORDER BY v.event_timestamp DESC, meter_id LIMIT 5000"),
     "p_latest_meter": _rows("v_latest", _VIEW_LATEST, "WHERE meter_id = 'MTR-000007'"),
     "p_anomalies": _rows("v_anomaly v", _ANOMALY, """WHERE region_name = 'AFRICA' AND v.detected_at >= TIMESTAMP '2024-01-05' AND v.detected_at < TIMESTAMP '2024-01-21'
         ORDER BY v.detected_at DESC, anomaly_id LIMIT 500"""),
@@ -602,9 +593,8 @@ ORACLE: dict[str, str] = {
     "stream_dedup": sql(f"""SELECT DISTINCT event_id, customer_id, strftime(event_ts, {_STAMP}) AS event_timestamp FROM parsed WHERE event_ts IS NOT NULL"""),
     "stream_hours_closed": sql(f"""SELECT strftime(h, {_STAMP}) AS window_start, strftime(h + INTERVAL 1 HOUR, {_STAMP}) AS window_end, region_name,
         CAST(sum(CAST(kwh AS DECIMAL(12,4))) AS DOUBLE) AS total_kwh, count(*) AS event_count, count(DISTINCT meter_id) AS unique_meter_count
-        FROM (SELECT *, date_trunc('hour', event_ts) AS h, max(event_ts) OVER () - INTERVAL 2 HOUR AS watermark FROM parsed
-              WHERE event_ts IS NOT NULL AND kwh >= 0 AND region_name IN ({_REGION_LIST}) AND event_type <> 'heartbeat')
-        WHERE h + INTERVAL 1 HOUR <= watermark GROUP BY h, region_name"""),
+        FROM (SELECT *, date_trunc('hour', event_timestamp) AS h, max(event_timestamp) OVER () - INTERVAL 2 HOUR AS watermark FROM good_events)
+        WHERE event_type <> 'heartbeat' AND h + INTERVAL 1 HOUR <= watermark GROUP BY h, region_name"""),
     "stream_latest_state": sql(f"""SELECT meter_id, event_id, strftime(event_ts, {_STAMP}) AS event_timestamp, kwh FROM parsed
         WHERE event_ts IS NOT NULL AND kwh >= 0 AND event_type <> 'heartbeat' QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY event_ts DESC, event_id DESC) = 1"""),
     # whole pipeline
@@ -621,14 +611,29 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, CAST(reading_timestamp AS DATE) AS day, CAST(kwh AS DECIMAL(12,4)) AS k FROM judged WHERE rejection_reason = '') GROUP BY day, region_name"""),
     "batch_gate": sql(f"""SELECT 'batch_1' AS pipeline_run_id, 'fact_energy_consumption_' || check_name AS check_name, 'fact_consumption' AS table_name, 'passed' AS status,
         count(*) FILTER (WHERE kwh < 0 AND rejection_reason = '') AS failed_count, '{AS_OF}' AS checked_at
-        FROM judged, (VALUES ('has_rows'), ('no_negative_kwh'), ('no_null_meter_id'), ('latest_timestamp_present'), ('no_missing_region_reference')) AS v (check_name) GROUP BY check_name"""),
+        FROM judged, (VALUES ('has_rows'), ('no_negative_kwh'), ('no_null_meter_id'), ('latest_timestamp_present'), ('no_missing_region_reference'),
+          ('no_missing_customer_reference'), ('no_missing_meter_reference'), ('no_missing_tariff_reference'), ('no_missing_date_reference')) AS v (check_name) GROUP BY check_name"""),
+    # bad values and lost rows
+    "reject_unstorable_kwh": sql("""SELECT event_id, CASE WHEN n % 59 = 0 THEN '1e300' WHEN n % 61 = 0 THEN '1e12' ELSE 'Infinity' END AS kwh,
+        'Missing or invalid kwh' AS rejection_reason FROM readings WHERE n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0"""),
+    "csv_reordered_header": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
+    "csv_surplus_fields": sql("""SELECT meter_id || ',' || customer_id || ',EUROPE,smart,2020-01-01,true,too much' AS corrupt_record FROM dim_meter"""),
+    "rejected_metadata": sql("""SELECT 'bronze_customers' AS source_system, 'customers:' || CASE WHEN k % 53 = 0 THEN 'missing_customer_id' ELSE customer_id END AS source_reference,
+        concat_ws('; ', CASE WHEN k % 53 = 0 THEN 'Missing customer_id' END, CASE WHEN k % 11 = 0 THEN 'Invalid signup_date' END) AS rejection_reason
+        FROM dim_customer, (VALUES (0), (1)) v(copy) WHERE (k % 53 = 0 OR k % 11 = 0) AND (copy = 0 OR customer_segment = 'Residential')"""),
+    "batch_dimension_rejects": sql("""SELECT 'dim_customer:' || customer_id AS source_reference, 'No dimension row, or a total that cannot be stored' AS rejection_reason
+        FROM dim_customer WHERE region_name = 'ASIA'"""),
+    "late_rows": sql(f"""SELECT event_id, CAST(n % 3 AS BIGINT) AS batch_id FROM (SELECT *, max(CASE WHEN n % 3 = 0 THEN event_timestamp END) OVER () AS m0, max(CASE WHEN n % 3 <= 1 THEN event_timestamp END) OVER () AS m1 FROM readings)
+        WHERE n % 3 = 1 AND event_timestamp < m0 - INTERVAL 10 DAY OR n % 3 = 2 AND event_timestamp < m1 - INTERVAL 10 DAY"""),
+    "lookup_drop": sql("""SELECT meter_id, r.region_name FROM dim_meter JOIN dim_region r USING (region_id) WHERE r.region_name <> 'ASIA'"""),
+    "load_anomalies": sql("""SELECT anomaly_id, meter_id, CAST(region_id AS BIGINT) AS region_id FROM found"""),
+    "unknown_regions": sql("""SELECT anomaly_id, region_name FROM found WHERE region_name = 'ASIA'"""),
     # sources and sinks
     "io_csv_tree": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
     "io_parquet_table": sql(f"""SELECT meter_id, customer_id, region_name, strftime(event_timestamp, {_STAMP}) AS reading_timestamp, CAST(reading_date AS VARCHAR) AS reading_date,
         hour(event_timestamp) AS reading_hour, CAST(kwh AS DOUBLE) AS kwh FROM readings"""),
     "io_replace_batch": sql("""SELECT consumption_id, meter_id, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE kwh END AS DOUBLE) AS kwh, l_returnflag AS batch_id FROM fact_consumption"""),
     "io_json_events": _rows("readings", "event_id meter_id event_type n"),
-    "io_limited": sql(f"""SELECT event_id, meter_id, strftime(event_timestamp, {_STAMP}) AS event_timestamp FROM readings ORDER BY readings.event_timestamp, event_id LIMIT 10000"""),
     "kafka_envelopes": sql(f"""SELECT raw_event_payload, '{AS_OF}' AS ingestion_timestamp, 'eventhubs_emulator_kafka' AS source_system, CAST(copy AS VARCHAR) AS partition_id,
         CAST(n AS VARCHAR) AS "offset", '{{"topic":"meter-events","kafka_timestamp":"{AS_OF}","timestamp_type":0}}' AS producer_metadata FROM payloads"""),
 }

@@ -285,7 +285,8 @@ def range_join(s, d):
     star = tables.star(s, d)
     active = star["dim_customer"].select(
         "customer_id", "signup_date", F.date_add("signup_date", F.col("household_size") * 7).alias("trial_end"))
-    days = dimensions.dim_date(dimensions.date_spine(s, "2020-03-01", "2021-06-30"), "full_date")
+    spine = active.agg(F.min("signup_date").alias("a"), F.max("trial_end").alias("b")).select(F.explode(F.sequence("a", "b")).alias("full_date"))
+    days = dimensions.dim_date(spine, "full_date")
     return joins.range_join(active, days.select("full_date", "date_id", "is_weekend"), "full_date", "signup_date", "trial_end")
 
 
@@ -384,26 +385,12 @@ def replace_batch(s, d):
     return dimensions.replace_batch(fact, redone, "batch_1996")
 
 
-@query
-def expected_kwh(s, d):
-    r = tables.readings(s, d).select("event_id", "customer_id", "event_timestamp", "kwh")
-    c = tables.dim_customer(s, d).select("customer_id", "customer_segment", "household_size")
-    return r.join(c, "customer_id").select(
-        "event_id", fn.expected_kwh("customer_segment", "household_size", "event_timestamp").alias("expected_kwh"))
-
-
 @query
 def replay_events(s, d):
     raw = tables.dirty_consumption(s, d)
     return cleaning.rows_to_events(raw, ["source_file", "customer_id", "ingestion_timestamp", "kwh", "meter_id"], AS_OF)
 
 
-@query
-def key_regions(s, d):
-    meters = tables.dim_meter(s, d).select("meter_id")
-    return meters.select("meter_id", fn.key_number("meter_id").alias("meter_number"), fn.region_of_key("meter_id").alias("region_name"))
-
-
 # -- analytics, views, serving ---------------------------------------------------------------------------------
 def _analytics(name: str, function: Callable[..., DataFrame]) -> None:
     def run(s, d):
@@ -439,7 +426,7 @@ def _serving(name: str, function: Callable[..., DataFrame]) -> None:
 for _name, _function in {
     "p_regions": serving.regions,
     "p_daily": lambda v: serving.daily(v, "ASIA", "1996-01-01", "1996-12-31", 1000),
-    "p_daily_default": lambda v: serving.daily(v),
+    "p_daily_default": lambda v: serving.daily(v, limit=100),
     "p_daily_bad_date": lambda v: serving.daily(v, start_date="not a date"),
     "p_monthly": lambda v: serving.monthly(v, "EUROPE"),
     "p_customer": lambda v: serving.customer(v, "CUST-000042"),
@@ -448,7 +435,7 @@ for _name, _function in {
     "p_anomalies": lambda v: serving.anomalies(v, "AFRICA", "2024-01-05", "2024-01-20", 500).drop("expected_kwh"),
     "p_kpis": serving.kpis,
     "p_runs": lambda v: serving.runs(v, "failed", 50),
-    "p_checks": lambda v: serving.checks(v, "failed"),
+    "p_checks": lambda v: serving.checks(v, "failed", 100),
     "p_freshness": lambda v: serving.freshness(v, AS_OF),
     "measure_total_kwh": serving.total_kwh,
     "measure_average_daily_kwh": serving.average_daily_kwh,
@@ -659,6 +646,11 @@ def _medallion(s, d) -> micro_batch.Sinks:
     return _once(s, d, "medallion", build)
 
 
+def _complete(s, d, name: str) -> DataFrame:
+    out = _medallion(s, d)
+    return micro_batch.read_batches(s, getattr(out, name), out.metrics)
+
+
 def _captured(s, d) -> str:
     def build():
         root = scratch_path(s, "bronze")
@@ -675,28 +667,28 @@ def stream_capture(s, d):
 
 @query
 def stream_clean(s, d):
-    return micro_batch.read_batches(s, _medallion(s, d).clean).drop("batch_id")
+    return _complete(s, d, "clean").drop("batch_id")
 
 
 @query
 def stream_rejected(s, d):
-    return micro_batch.read_batches(s, _medallion(s, d).rejected).drop("batch_id")
+    return _complete(s, d, "rejected").drop("batch_id")
 
 
 @query
 def stream_anomalies(s, d):
-    return micro_batch.read_batches(s, _medallion(s, d).anomalies).select("anomaly_id", "region_name", "anomaly_type", "anomaly_score", "kwh")
+    return _complete(s, d, "anomalies").select("anomaly_id", "region_name", "anomaly_type", "anomaly_score", "kwh")
 
 
 @query
 def stream_latest(s, d):
-    parts = micro_batch.read_batches(s, _medallion(s, d).latest)
+    parts = _complete(s, d, "latest")
     return micro_batch.merge_latest(parts).select("meter_id", "event_id", "event_timestamp", "kwh")
 
 
 @query
 def stream_hourly(s, d):
-    return _without_audit(micro_batch.merge_hourly(micro_batch.read_batches(s, _medallion(s, d).clean)))
+    return _without_audit(micro_batch.merge_hourly(_complete(s, d, "clean")))
 
 
 @query
@@ -719,12 +711,12 @@ def stream_dedup(s, d):
 
 @query
 def stream_hours_closed(s, d):
-    """Hours the watermark has closed, out of a stateful two-step aggregation."""
+    """Hours the watermark has closed: valid events, each id once, summed in two stateful steps."""
     def build():
         root = scratch_path(s, "hours")
-        events = stateful.typed_event_stream(readers.bronze_event_stream(s, _captured(s, d)))
-        usable = events.where(F.col("event_timestamp").isNotNull() & (F.col("kwh") >= 0) & F.col("region_name").isin(*REGIONS))
-        stateful.to_table(stateful.hourly_stream(usable, "2 hours"), f"{root}/data", f"{root}/checkpoint")
+        events = stateful.valid_event_stream(readers.bronze_event_stream(s, _captured(s, d)), REGIONS)
+        once = stateful.dedup_events(events, "2 hours")
+        stateful.to_table(stateful.hourly_stream(once, None), f"{root}/data", f"{root}/checkpoint")
         return f"{root}/data"
     return s.read.parquet(_once(s, d, "hours", build))
 
@@ -784,7 +776,83 @@ def io_csv_tree(s, d):
     raw = tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names)
     _write_csv(raw.where(F.col("source_file") != "file_resent"), f"{path}/year=2024/month=01")
     _write_csv(raw.where(F.col("source_file") == "file_resent"), f"{path}/year=2024/month=02")
-    return readers.read_csv_tree(s, path, schemas.BRONZE_CONSUMPTION)
+    return readers.read_csv_tree(s, path, schemas.BRONZE_CONSUMPTION).drop(schemas.CORRUPT)
+
+
+@query
+def csv_reordered_header(s, d):
+    """Three files of one tree: as declared, turned round, and with a column nobody asked for."""
+    path, names = scratch_path(s, "csv"), schemas.BRONZE_CONSUMPTION.names
+    raw = tables.dirty_consumption(s, d).select(*names)
+    _write_csv(raw.where("source_file = 'file_resent'"), f"{path}/a")
+    _write_csv(raw.where("source_file in ('file_0', 'file_1')").select(*reversed(names)), f"{path}/b")
+    _write_csv(raw.where("source_file in ('file_2', 'file_3')").select(F.lit("note").alias("note"), *names), f"{path}/c")
+    return readers.read_csv_tree(s, path, schemas.BRONZE_CONSUMPTION).drop(schemas.CORRUPT)
+
+
+@query
+def csv_surplus_fields(s, d):
+    """Rows with one field more than their header stay as text."""
+    path = scratch_path(s, "csv")
+    meters = tables.dim_meter(s, d)
+    line = F.concat_ws(",", "meter_id", "customer_id", F.lit("EUROPE"), F.lit("smart"), F.lit("2020-01-01"), F.lit("true"), F.lit("too much"))
+    head = s.range(1).select(F.lit(",".join(schemas.BRONZE_METER.names)).alias("value"))
+    head.unionByName(meters.select(line.alias("value"))).coalesce(1).write.text(f"{path}/meters.csv")
+    return readers.read_csv_file(s, f"{path}/meters.csv", schemas.BRONZE_METER).select(schemas.CORRUPT)
+
+
+@query
+def reject_unstorable_kwh(s, d):
+    """Values no fact can hold are rejected, not a failed job."""
+    n = F.col("n")
+    kwh = F.when(n % 59 == 0, "1e300").when(n % 61 == 0, "1e12").when(n % 67 == 0, "Infinity").otherwise(F.col("kwh").cast("string"))
+    typed = tables.readings(s, d).withColumns({"raw": kwh, "kwh": kwh.try_cast("double")}).withColumnRenamed("event_timestamp", "reading_timestamp")
+    judged = typed.withColumn("rejection_reason", fn.rejection_reason(fn.consumption_rules(REGIONS)))
+    return judged.where("rejection_reason != ''").select("event_id", F.col("raw").alias("kwh"), "rejection_reason")
+
+
+@query
+def rejected_metadata(s, d):
+    return cleaning.rejected_metadata(*tables.raw_metadata(s, d), AS_OF).select("source_system", "source_reference", "rejection_reason")
+
+
+@query
+def batch_dimension_rejects(s, d):
+    customers = tables.dim_customer(s, d).join(tables.dim_region(s, d).select("region_id", "region_name"), "region_id").drop("region_id")
+    known = tables.dim_region(s, d).where("region_name != 'ASIA'")
+    _, lost = joins.lookup(customers, known, "region_name", ["region_id"], "reject")
+    return dimensions.lookup_rejects(lost, "dim_customer", "customer_id", "batch_1", AS_OF).select("source_reference", "rejection_reason")
+
+
+@query
+def late_rows(s, d):
+    """Every third reading as a batch of its own; what a watermark of ten days would have dropped."""
+    silver = tables.readings(s, d).withColumn("batch_id", F.col("n") % 3)
+    return micro_batch.late_rows(silver, "10 DAYS").select("event_id", "batch_id")
+
+
+@query
+def lookup_drop(s, d):
+    known = tables.dim_region(s, d).where("region_name != 'ASIA'")
+    return joins.lookup(tables.dim_meter(s, d).select("meter_id", "region_id"), known, "region_id", ["region_name"], "drop").select("meter_id", "region_name")
+
+
+@query
+def load_anomalies(s, d):
+    """Half of the anomalies are there; loading all of them twice adds the other half once."""
+    regions = tables.dim_region(s, d)
+    found = cleaning.detect_anomalies(tables.clean_stream_events(s, d), as_of=AS_OF)
+    there, _ = dimensions.anomaly_rows(found.where("kwh > 10"), regions)
+    once, _ = dimensions.load_anomalies(there, found, regions)
+    twice, _ = dimensions.load_anomalies(once, found, regions)
+    return twice.select("anomaly_id", "meter_id", "region_id")
+
+
+@query
+def unknown_regions(s, d):
+    found = cleaning.detect_anomalies(tables.clean_stream_events(s, d), as_of=AS_OF)
+    _, unknown = dimensions.anomaly_rows(found, tables.dim_region(s, d).where("region_name != 'ASIA'"))
+    return unknown.select("anomaly_id", "region_name")
 
 
 @query
@@ -816,13 +884,6 @@ def io_json_events(s, d):
     return s.read.text(path).select(F.from_json("value", schema).alias("e")).select("e.*")
 
 
-@query
-def io_limited(s, d):
-    path = scratch_path(s, "limited")
-    tables.readings(s, d).select("event_id", "meter_id", "event_timestamp").write.parquet(path)
-    return readers.read_limited(s, path, ["event_timestamp", "event_id"], 10_000)
-
-
 @query
 def kafka_envelopes(s, d):
     payloads = tables.event_payloads(s, d)

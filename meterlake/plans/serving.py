@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 from meterlake import schemas
 from meterlake.functions import optional_date_range, optional_eq, optional_ts_range, safe_divide
 from meterlake.operators.aggregates import distinct_regions, hours_since, scalar_row
-from meterlake.operators.windows import normalize_limit
 
 Views = Mapping[str, DataFrame]
 
 
 def _page(df: DataFrame, limit: int | None, *order: Column | str) -> DataFrame:
-    return df.orderBy(*order).limit(normalize_limit(limit))
+    """All rows in order, or the page of ``limit`` rows that the caller asks for."""
+    if limit is None:
+        return df.orderBy(*order)
+    if limit < 1:
+        raise ValueError(f"a page has at least one row, not {limit}")
+    return df.orderBy(*order).limit(limit)
 
 
 def regions(views: Views) -> DataFrame:

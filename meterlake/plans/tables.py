@@ -12,7 +12,6 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from meterlake import schemas
 from meterlake.functions import choose_tariff, date_id, default_if_falsy, end_of_day, estimated_cost, pad_id
@@ -24,25 +23,9 @@ AS_OF = "2024-02-01 00:00:00"  # fixed audit time, so results repeat
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")  # names in the region table
 
 
-_SCHEMAS: dict[str, StructType] = {}
-_FEW_SPLITS: dict[tuple[str, str], bool] = {}
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A provided table. Its schema is read from the file footers once, not on every use.
-
-    ``spread`` is for tables with costly work per row: a file too small to fill the session's cores is dealt out
-    evenly first. A table with at least one split per core is read as it lies, without a shuffle.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    session = (spark.sparkContext.applicationId, path)
-    if spread and session not in _FEW_SPLITS:
-        _FEW_SPLITS[session] = df.rdd.getNumPartitions() < cores
-    return df.repartition(cores) if spread and _FEW_SPLITS[session] else df
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A provided table as it lies; how many splits a file makes is up to the session."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _every(column: str, n: int) -> Column:
@@ -111,7 +94,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "error", "anomaly").when(F.col("event_type") == "signup", "heartbeat").otherwise("reading")
     # the provided times carry no zone; the session zone is UTC
     ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    return _with_customers(read(spark, sf_dir, "events", spread=True), spark, sf_dir, "user_id").select(
+    return _with_customers(read(spark, sf_dir, "events"), spark, sf_dir, "user_id").select(
         pad_id("evt_", "event_id", 8).alias("event_id"), pad_id("MTR-", "user_id", 6).alias("meter_id"),
         pad_id("CUST-", "user_id", 6).alias("customer_id"), F.col("r_name").alias("region_name"), ts.alias("event_timestamp"),
         kwh.cast("decimal(12,4)").alias("kwh"),
@@ -177,10 +160,9 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly weather text from views: gaps where nobody looked, and some faults."""
-    r = readings(spark, sf_dir).where(F.col("voltage").isNotNull())
+    """Hourly weather text from events: gaps where nothing happened, and some faults."""
     hour = F.date_trunc("hour", "event_timestamp")
-    hourly = r.groupBy("region_name", hour.alias("at")).agg(
+    hourly = readings(spark, sf_dir).groupBy("region_name", hour.alias("at")).agg(
         F.min("kwh").alias("low"), F.max("kwh").alias("high"), F.count("*").alias("c"), F.min("n").alias("n"))
     stamp = F.date_format("at", "yyyy-MM-dd HH:mm:ss")
     return hourly.select(
@@ -213,7 +195,7 @@ def raw_metadata(spark: SparkSession, sf_dir: str, blanks: bool = True) -> tuple
 def fact_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One consumption row per order line; lines marked N have no tariff yet."""
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("full_date"))
-    lines = read(spark, sf_dir, "lineitem", spread=True).select(
+    lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
     price, standing = (_tariff_value(i) for i in (2, 3))
     kwh = F.col("l_quantity").cast("decimal(12,4)")
@@ -290,7 +272,7 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One check result per order line."""
     failed = F.col("l_returnflag") == "R"
-    return read(spark, sf_dir, "lineitem", spread=True).select(
+    return read(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("DQ-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
                  F.col("l_quantity").cast("int").cast("string")).alias("check_id"),

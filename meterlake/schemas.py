@@ -25,6 +25,8 @@ TARIFFS = (
 ANOMALY_KWH = 10
 RECENT_AVERAGE_FACTOR = 3
 DEFAULT_VOLTAGE = 230.0
+MEASURE = "decimal(12,4)"  # what a fact can hold; a reading that does not fit is rejected
+CORRUPT = "corrupt_record"  # raw text of a CSV row with too few or too many fields
 REQUIRED_EVENT_FIELDS = (
     "event_id", "meter_id", "customer_id", "region_name", "event_timestamp",
     "kwh", "event_type", "source_system", "producer_timestamp",
@@ -58,16 +60,16 @@ BRONZE_WEATHER = _parse(
     "wind_speed_kph string, precipitation_mm string, ingestion_timestamp string"
 )
 BRONZE_CUSTOMER = _parse(
-    "customer_id string, customer_segment string, household_size int, dwelling_type string, "
-    "region_name string, country string, postcode_area string, signup_date string, is_active boolean"
+    "customer_id string, customer_segment string, household_size string, dwelling_type string, "
+    "region_name string, country string, postcode_area string, signup_date string, is_active string"
 )
 BRONZE_METER = _parse(
     "meter_id string, customer_id string, region_name string, meter_type string, "
-    "installation_date string, is_active boolean"
+    "installation_date string, is_active string"
 )
 BRONZE_TARIFF = _parse(
     "tariff_id string, tariff_name string, valid_from string, valid_to string, "
-    "price_per_kwh double, standing_charge_daily double, is_active boolean"
+    "price_per_kwh string, standing_charge_daily string, is_active string"
 )
 EVENT = _parse(
     "event_id string, meter_id string, customer_id string, region_name string, event_timestamp string, "

@@ -1,10 +1,10 @@
-"""Sources: CSV trees, Parquet, bounded samples, event streams."""
+"""Sources: CSV trees, Parquet, event streams."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,34 +20,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
-def _any_file(spark: SparkSession, root: str, suffix: str) -> bool:
-    """Whether a file with this suffix lies below ``root``; stops at the first one."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(suffix):
-            return True
-    return False
+def _by_header(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """CSV lines (value, file) as typed columns, each file read by its own header.
 
+    A header is a line most of whose fields are columns of the schema. Columns a file lacks are NULL, columns the schema lacks are left
+    out, a value that does not fit its type is NULL. A row with another number of fields than its header keeps its text in
+    ``corrupt_record``. The distinct headers, a handful, are found first; the rows are then parsed in one pass.
+    """
+    names = F.array(*[F.lit(n) for n in schema.names])
+    fields = F.transform(F.split(F.ltrim(F.regexp_replace("value", "^\ufeff", "")), ","), lambda f: F.trim(f))
+    is_header = F.size(F.array_intersect(fields, names)) * 2 > F.size(fields)
+    heads = lines.where(is_header).groupBy("file").agg(F.min(F.struct(F.length("value").alias("n"), F.concat_ws(",", fields).alias("header")))["header"].alias("header"))
+    known = [r["header"] for r in heads.select("header").distinct().collect()]
+    rows = lines.where(~is_header & (F.length("value") > 0)).join(heads, "file", "left")
+    text = F.lit(None).cast(T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, schemas.CORRUPT]]))
+    for header in known:
+        columns = [f if f in schema.names else f"__extra_{i}" for i, f in enumerate(header.split(","))]
+        ddl = ", ".join(f"`{c}` string" for c in [*columns, schemas.CORRUPT])
+        # one field more than the header has shows a row that is too long
+        parsed = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
+        own = [(parsed[n] if n in columns else F.lit(None).cast("string")).alias(n) for n in schema.names]
+        text = F.when(F.col("header") == header, F.struct(*own, parsed[schemas.CORRUPT].alias(schemas.CORRUPT))).otherwise(text)
+    typed = [F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema]
+    return rows.select("value", text.alias("r")).select(*typed, F.when(F.col("r").isNull(), F.col("value")).otherwise(F.col(f"r.{schemas.CORRUPT}")).alias(schemas.CORRUPT))
 
-def _csv(spark: SparkSession, schema: T.StructType):
-    # a value that does not fit a typed column reads as NULL; the row itself is never dropped
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+
+def _lines(reader, path: str) -> DataFrame:
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All ``*.csv`` files below ``root``. Folder names such as ``year=2024`` do not become columns."""
+    """All ``*.csv`` files below ``root`` by their headers, with ``corrupt_record``. Folder names such as ``year=2024`` do not become columns."""
     if not exists(spark, root):
         raise FileNotFoundError(f"no such folder: {root}")
-    if not _any_file(spark, root, ".csv"):
+    lines = _lines(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"), root)
+    if not lines.inputFiles():
         raise FileNotFoundError(f"no CSV file below {root}")
-    return _csv(spark, schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(root)
+    return _by_header(lines, schema)
 
 
 def read_csv_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One CSV file, or a folder of its parts, by header, with ``corrupt_record``."""
     if not exists(spark, path):
         raise FileNotFoundError(f"no such file: {path}")
-    return _csv(spark, schema).csv(path)
+    return _by_header(_lines(spark.read, path), schema)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -55,13 +71,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def read_limited(spark: SparkSession, path: str, order_by: Sequence[str | Column], limit: int = 10_000) -> DataFrame:
-    """The first ``limit`` rows in ``order_by``: the same rows on every run."""
-    if not exists(spark, path):
-        raise FileNotFoundError(f"no such table: {path}")
-    return spark.read.parquet(path).orderBy(*order_by).limit(limit)
-
-
 def values_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """Constant rows as a table."""
     return spark.createDataFrame(list(rows), schema)

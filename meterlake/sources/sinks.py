@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,8 +18,11 @@ def together(writes: Sequence[Callable[[], object]]) -> list:
 
     Each is a Spark job of its own; side by side, a small one does not leave the executors idle.
     """
+    session = SparkSession.getActiveSession()
+    # the jobs belong to the caller's job group, so stopping a stream cancels them too
+    own = (lambda write: inheritable_thread_target(session)(write)) if session else (lambda write: write)
     with ThreadPoolExecutor(max_workers=max(1, min(len(writes), 8))) as pool:
-        return [future.result() for future in [pool.submit(write) for write in writes]]
+        return [future.result() for future in [pool.submit(own(write)) for write in writes]]
 
 
 def arranged(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
@@ -39,6 +43,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     arranged(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def _escaped(value: str) -> str:
+    """A partition value as Spark writes it into a folder name."""
+    return "".join(c if c not in '"#%\'*/:=?\\{[]^\x7f' and c >= " " else f"%{ord(c):02X}" for c in value) or "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: object, column: str = "batch_id",
                 partition_by: Sequence[str] = ()) -> None:
     """Replace exactly one batch of a table partitioned by ``column``; a retry leaves no duplicates.
@@ -46,7 +55,7 @@ def write_batch(df: DataFrame, path: str, batch_id: object, column: str = "batch
     The batch's folder is overwritten even when there are no rows, so a rerun that yields
     fewer rows removes the old ones. Other batches are not touched.
     """
-    folder = f"{path.rstrip('/')}/{column}={batch_id}"
+    folder = f"{path.rstrip('/')}/{column}={_escaped(str(batch_id))}"
     df.drop(column).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 

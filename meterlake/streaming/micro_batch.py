@@ -16,6 +16,7 @@ from meterlake.functions import now
 from meterlake.operators.aggregates import hourly_region
 from meterlake.operators.cleaning import REASON, clean_events, detect_anomalies, reject_events, split_valid, validate_events
 from meterlake.operators.windows import latest_per_key
+from meterlake.sources.readers import exists
 from meterlake.sources.sinks import together, write_batch
 
 log = logging.getLogger(__name__)
@@ -112,9 +113,19 @@ def run_medallion(
 
 
 # -- readers that make one table of the per-batch parts -------------------------------
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A per-batch table with its ``batch_id`` as a bigint column."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+def read_batches(spark: SparkSession, path: str, complete: str | None = None) -> DataFrame:
+    """A per-batch table with its ``batch_id`` as a bigint column.
+
+    ``complete`` names the metrics table, which each batch writes last: only batches it holds are read, so a batch that failed half-way is
+    invisible until its retry. The batch id is the folder, so the filter prunes files.
+    """
+    rows = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if complete is None:
+        return rows
+    if not exists(spark, complete):
+        return rows.where("false")
+    done = spark.read.parquet(complete).select(F.col("batch_id").cast("bigint").alias("batch_id")).distinct()
+    return rows.join(done, "batch_id", "left_semi")
 
 
 def unique_events(clean: DataFrame) -> DataFrame:

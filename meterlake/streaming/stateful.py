@@ -1,25 +1,43 @@
-"""Stateful stream operators. A watermark bounds the state of each; all state is keyed and spread."""
+"""Stateful stream operators. A watermark bounds the state of all but ``latest_stream`` (one row per meter); all state is keyed and spread."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from meterlake.functions import exact
-from meterlake.operators.cleaning import parse_events
+from meterlake import schemas
+from meterlake.functions import STREAM_SEPARATOR, event_rules, exact, rejection_reason
+from meterlake.operators.cleaning import REASON, parse_events, reject_events
 
 
 def typed_event_stream(envelopes: DataFrame) -> DataFrame:
     """Events with typed times from a stream of envelopes (stateless, so usable before any watermark)."""
     parsed = parse_events(envelopes)
-    return parsed.where(~F.col("is_malformed")).select(
+    return parsed.where(~F.col("is_malformed")).select(*_typed())
+
+
+def _typed() -> list:
+    return [
         "event_id", "meter_id", "customer_id", "region_name", F.col("event_ts").alias("event_timestamp"), "kwh",
         "voltage", "event_type", F.coalesce("source_system", "bronze_source_system").alias("source_system"),
         F.col("producer_ts").alias("producer_timestamp"), "ingestion_timestamp",
-    )
+    ]
+
+
+def valid_event_stream(envelopes: DataFrame, regions: Sequence[str] = schemas.REGIONS) -> DataFrame:
+    """Typed events that pass the rules of the micro-batch pipeline, repeats included; ``invalid_event_stream`` has the others."""
+    judged = parse_events(envelopes).withColumn(REASON, rejection_reason(event_rules(regions), STREAM_SEPARATOR))
+    return judged.where(F.col(REASON) == "").select(*_typed())
+
+
+def invalid_event_stream(envelopes: DataFrame, regions: Sequence[str] = schemas.REGIONS, as_of: str | None = None) -> DataFrame:
+    """Dead-letter records of the events ``valid_event_stream`` leaves out."""
+    judged = parse_events(envelopes).withColumn(REASON, rejection_reason(event_rules(regions), STREAM_SEPARATOR))
+    return reject_events(judged.where(F.col(REASON) != ""), as_of=as_of)
 
 
 def dedup_events(stream: DataFrame, delay: str, ts: str = "event_timestamp", key: str = "event_id") -> DataFrame:
@@ -33,14 +51,16 @@ def dedup_events(stream: DataFrame, delay: str, ts: str = "event_timestamp", key
     return per_split.dropDuplicatesWithinWatermark([key]).drop(split)
 
 
-def hourly_stream(stream: DataFrame, delay: str, ts: str = "event_timestamp", width: str = "1 hour") -> DataFrame:
+def hourly_stream(stream: DataFrame, delay: str | None, ts: str = "event_timestamp", width: str = "1 hour") -> DataFrame:
     """Closed hours per region, heartbeats left out: total, events, exact distinct meters.
 
     Two chained aggregations: per meter, then per region. The distinct count is a row count of the first, so no
     state row ever holds a set of meters. Append mode: an hour is emitted once its end passes the watermark.
+    ``delay`` is None where the stream has its watermark already (after ``dedup_events``).
     """
+    readings = stream.where(F.col("event_type") != "heartbeat")
     per_meter = (
-        stream.where(F.col("event_type") != "heartbeat").withWatermark(ts, delay)
+        (readings if delay is None else readings.withWatermark(ts, delay))
         .groupBy(F.window(ts, width).alias("w"), "region_name", "meter_id")
         .agg(F.sum(exact("kwh")).alias("__sum"), F.count("*").alias("__rows"))
     )
@@ -70,6 +90,21 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str
     return query
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the query's stateful operators refused as too late, over its recent progress."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts the rows stateful operators refuse as too late, for every query from the time it is added on.
+
+    ``spark.streams.addListener(late)`` before the query starts; ``late.dropped[str(query.id)]`` afterwards. A listener sees every progress
+    report, while the query itself remembers the last hundred only.
+    """
+
+    def __init__(self):
+        self.dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped[str(event.progress.id)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)

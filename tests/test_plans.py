@@ -87,3 +87,15 @@ def test_a_date_filter_prunes_the_partitioned_fact(spark, sf_dir, tmp_path):
     pruned = serving.daily({"daily_region": warehouse.view_daily_region(stored)}, "ASIA", **january)
     assert "dynamicpruning" in plan(pruned)
     assert pruned.collect() == serving.daily({"daily_region": warehouse.view_daily_region(star)}, "ASIA", **january).collect()
+
+
+def test_no_plan_deals_rows_out_round_robin(spark, sf_dir):
+    for name in ("p_daily", "clean_consumption", "star_daily", "clean_events", "quality_suite"):
+        assert "RoundRobin" not in plan(registry.QUERIES[name](spark, sf_dir)), name
+
+
+def test_payload_text_is_built_for_rejects_only(spark, sf_dir):
+    text = plan(registry.QUERIES["clean_consumption"](spark, sf_dir))
+    assert "tojson" not in text.replace("_", "").lower()
+    text = plan(registry.QUERIES["rejected_consumption"](spark, sf_dir)).replace("_", "").lower()
+    assert "tojson" in text[: text.index("exchange")] and "tojson" not in text[text.index("exchange") :]

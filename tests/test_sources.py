@@ -22,26 +22,28 @@ def test_csv_tree_reads_all_folders_without_folder_columns(spark, tmp_path):
                                              f"C{day},Residential,two,flat,R,UK,N,2020-01-01,true\n")
         (folder / "notes.txt").write_text("not a table\n")
     df = readers.read_csv_tree(spark, str(tmp_path / "c"), schemas.BRONZE_CUSTOMER)
-    assert df.columns == schemas.BRONZE_CUSTOMER.names
-    assert [(r["customer_id"], r["household_size"], r["is_active"]) for r in df.sort("customer_id").collect()] == [("C01", None, True), ("C02", None, True)]
+    assert df.columns == [*schemas.BRONZE_CUSTOMER.names, schemas.CORRUPT]
+    assert [(r["customer_id"], r["household_size"], r["is_active"]) for r in df.sort("customer_id").collect()] == [("C01", "two", "true"), ("C02", "two", "true")]
+
+
+def test_csv_fields_go_by_the_header_of_their_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("meter_id,customer_id,region_name,meter_type,installation_date,is_active\nM1,C1,R,smart,2020-01-01,true\nM2,C2,R,smart,2020-01-01,true,more\nM3,C3\n")
+    (tmp_path / "b.csv").write_text("is_active,note,customer_id,meter_id\nfalse,\"a, b\",C4,M4\n")
+    rows_ = {r["meter_id"]: r for r in readers.read_csv_tree(spark, str(tmp_path), schemas.BRONZE_METER).collect()}
+    assert (rows_["M1"]["customer_id"], rows_["M1"]["is_active"], rows_["M1"][schemas.CORRUPT]) == ("C1", "true", None)
+    assert (rows_["M4"]["customer_id"], rows_["M4"]["is_active"], rows_["M4"]["region_name"]) == ("C4", "false", None)
+    assert rows_["M2"][schemas.CORRUPT] == "M2,C2,R,smart,2020-01-01,true,more" and rows_["M3"][schemas.CORRUPT] == "M3,C3"
 
 
 def test_missing_inputs_are_errors(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     for call in (lambda: readers.read_csv_tree(spark, str(tmp_path / "empty"), schemas.BRONZE_METER),
                  lambda: readers.read_csv_tree(spark, str(tmp_path / "none"), schemas.BRONZE_METER),
-                 lambda: readers.read_csv_file(spark, str(tmp_path / "none.csv"), schemas.BRONZE_METER),
-                 lambda: readers.read_limited(spark, str(tmp_path / "none"), ["a"])):
+                 lambda: readers.read_csv_file(spark, str(tmp_path / "none.csv"), schemas.BRONZE_METER)):
         with pytest.raises(FileNotFoundError):
             call()
 
 
-def test_limited_read_is_the_same_every_time(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).repartition(8).write.parquet(path)
-    assert [r["id"] for r in readers.read_limited(spark, path, ["id"], 5).collect()] == [0, 1, 2, 3, 4]
-
-
 def test_partitioned_table_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(100).select(F.col("id"), (F.col("id") % 4).cast("int").alias("day"))
@@ -100,3 +102,19 @@ def test_constant_rows_and_views(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) and session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
     assert spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/") in session.shared_dir(spark)
+
+
+def test_a_page_is_what_the_caller_asks_for(spark):
+    views = {"latest_reading": spark.range(1500).select(F.concat(F.lit("M"), "id").alias("meter_id"), F.lit("2026-01-01").cast("timestamp").alias("event_timestamp"))}
+    assert serving.latest(views, limit=5000).count() == serving.latest(views).count() == 1500
+    assert serving.latest(views, limit=7).count() == 7
+    with pytest.raises(ValueError):
+        serving.latest(views, limit=0)
+
+
+def test_batch_ids_with_odd_characters(spark, tmp_path):
+    df = spark.range(3).withColumn("batch_id", F.lit("a/b:c=1 %"))
+    sinks.write_batch(df, str(tmp_path / "t"), "a/b:c=1 %")
+    sinks.write_batch(df.limit(2), str(tmp_path / "t"), "00042")
+    back = spark.read.schema("id bigint, batch_id string").parquet(str(tmp_path / "t"))
+    assert sorted({r["batch_id"] for r in back.collect()}) == ["00042", "a/b:c=1 %"] and back.count() == 5

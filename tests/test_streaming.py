@@ -1,5 +1,6 @@
 """Streams over files: restart, replay, repeats, late rows, and equality with the batch operators."""
 
+import time
 import json
 from datetime import datetime, timedelta
 
@@ -126,8 +127,13 @@ def test_closed_hours_count_distinct_meters_and_drop_late_rows(spark, tmp_path):
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
 
     def run():
+        late = stateful.LateRows()
+        spark.streams.addListener(late)
         query = stateful.to_table(stateful.hourly_stream(stream_of(spark, tmp_path / "in"), "1 hour"), out, mark)
-        return stateful.dropped_by_watermark(query)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        time.sleep(1)
+        spark.streams.removeListener(late)
+        return late.dropped[str(query.id)]
 
     run()
     land(tmp_path / "in", "2.json", [event(1, 60 * 10, event_type="reading")])  # moves the watermark to hour 9
@@ -164,3 +170,19 @@ def test_latest_state_equals_batch(spark, tmp_path):
     query.awaitTermination()
     got = {r["meter_id"]: r["event_id"] for r in spark.table("latest").collect()}
     assert got == {f"MTR-{m}": max(f"e{n:04d}" for n in range(50) if n % 7 == m and n % 4 != 3) for m in range(7)}
+
+
+def test_a_batch_that_failed_half_way_is_invisible(spark, tmp_path):
+    sinks = micro_batch.Sinks.under(str(tmp_path))
+    batch = spark.createDataFrame([(event(n), START, "s", None, None, None) for n in range(3)], schemas.ENVELOPE)
+    micro_batch.process_batch(batch, 0, sinks, schemas.REGIONS)
+    micro_batch.write_batch(micro_batch.read_batches(spark, sinks.clean).drop("batch_id"), sinks.clean, 1)  # no metrics follow
+    assert micro_batch.read_batches(spark, sinks.clean).count() == 6
+    assert micro_batch.read_batches(spark, sinks.clean, sinks.metrics).count() == 3
+
+
+def test_absurd_values_become_rejects(spark, tmp_path):
+    sinks = micro_batch.Sinks.under(str(tmp_path))
+    batch = spark.createDataFrame([(event(n, kwh=k), START, "s", None, None, None) for n, k in enumerate([1.0, 1e300, 1e12, 99_999_999.5])], schemas.ENVELOPE)
+    micro_batch.process_batch(batch, 0, sinks, schemas.REGIONS)
+    assert micro_batch.read_batches(spark, sinks.clean).count() == 2 and micro_batch.read_batches(spark, sinks.rejected).count() == 2

@@ -134,9 +134,9 @@ def test_dim_date_adds_missing_days_only(spark, seed):
 
 
 def test_range_join_matches_the_inequality(spark, seed):
-    left = spark.createDataFrame([(1, date(2025, 12, 30), date(2026, 1, 2)), (2, date(2026, 1, 5), date(2026, 1, 4)), (3, None, date(2026, 1, 4))], "id int, a date, b date")
+    left = spark.createDataFrame([(1, date(2025, 12, 30), date(2026, 1, 2)), (2, date(2026, 1, 5), date(2026, 1, 4)), (3, None, date(2026, 1, 4)), (4, date(2026, 1, 13), None), (5, date(1900, 1, 1), date(2025, 1, 1))], "id int, a date, b date")
     got = joins.range_join(left, seed["dim_date"].select("full_date", "date_id"), "full_date", "a", "b")
-    assert sorted((r["id"], r["date_id"]) for r in got.collect()) == [(1, 20260101), (1, 20260102)]
+    assert sorted((r["id"], r["date_id"]) for r in got.collect()) == [(1, 20260101), (1, 20260102), (4, 20260113), (4, 20260114)]
 
 
 def test_orphans_with_and_without_null(spark, seed):
@@ -184,7 +184,7 @@ def test_run_log_keeps_the_last_state(spark):
     runs = {r["started_at"].day: r for r in runlog.current_runs(log).collect()}
     assert [runs[d]["status"] for d in (1, 2, 3)] == ["succeeded", "running", "failed"]
     assert runs[1]["started_at"] == datetime(2026, 1, 1) and runs[1]["records_read"] == 7 and runs[1]["error_message"] is None
-    assert len(runs[3]["error_message"]) == 4000
+    assert len(runs[3]["error_message"]) == 5000
     assert runs[1]["pipeline_run_id"].startswith("AF-") and len(runs[1]["pipeline_run_id"]) == 23
 
 
