@@ -38,3 +38,12 @@ def tested(df: DataFrame, key: str, bits: DataFrame, slots: int = SLOTS) -> Data
         df = df.join(F.broadcast(own), F.floor(slot / _PER_ROW) == F.col(f"__b{p}"), "left")  # at most ``slots`` bits
         hit = hit & _is_set(F.col(f"__m{p}"), slot % _PER_ROW)
     return df.withColumn("maybe", hit).drop(*[f"__{c}{p}" for c in "bm" for p in range(PROBES)])
+
+
+def looked_up(df: DataFrame, key: str, table: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``df`` left-joined with ``table`` (one row per key). Only rows whose key may be there are shuffled, the others pass straight through."""
+    rows = tested(df, key, filter_of(table, key, slots=slots), slots)
+    more = [f for f in table.schema if f.name != key]
+    straight = rows.where(~F.col("maybe")).select(*df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in more])
+    joined = rows.where("maybe").drop("maybe").join(table, key, "left").select(*df.columns, *[f.name for f in more])
+    return straight.unionAll(joined)

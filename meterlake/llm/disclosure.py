@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.llm.bitmaps import looked_up
 from meterlake.llm.common import full_text, kept, map_text, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -252,7 +253,7 @@ def sanitised(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, d
     own = [f"c_{i}" for i in range(len(names))]
     renamed = docs.toDF(*own)
     text = own[names.index(text_col)]
-    rows = renamed.withColumn("__key", F.sha2(full_text(text).cast("binary"), 256)).join(terms.withColumnRenamed("key", "__key").withColumnRenamed("terms", "__terms"), "__key", "left")
+    rows = looked_up(renamed.withColumn("__key", F.sha2(full_text(text).cast("binary"), 256)), "__key", terms.withColumnRenamed("key", "__key").withColumnRenamed("terms", "__terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):

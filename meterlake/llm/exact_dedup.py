@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.bitmaps import SLOTS, filter_of, tested
+from meterlake.llm.bitmaps import SLOTS, filter_of, looked_up, tested
 from meterlake.llm.common import kept, squeezed, table, written
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -33,17 +33,16 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slot
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are. Texts don't shuffle, but for those of dropped-or-kept groups that Spark joins by size."""
+    """The rows of ``docs`` that stay, all columns as they are. Rows without a copy don't shuffle."""
     marks = copies(docs, id_col, text_col, slots).where("group_size > 1")
-    groups = kept(marks.groupBy(F.unhex("text_sha256").alias("__key")).agg(F.min("keep_id").alias("__keep"), F.sum(F.col("kept").cast("long")).alias("__same")))
-    names = docs.columns
-    keyed = docs.select(*[docs[c].alias(f"c_{i}") for i, c in enumerate(names)], F.unhex(F.sha2(squeezed(docs[text_col]).cast("binary"), 256)).alias("__key"))
-    own = F.col(f"c_{names.index(id_col)}").cast("long")
-    out = keyed.join(groups, "__key", "left").where(F.col("__key").isNotNull() & (F.col("__same").isNull() | own.eqNullSafe(F.col("__keep"))))
-    single = out.where(F.coalesce("__same", F.lit(1)) == 1)
-    repeated = out.where("__same > 1").dropDuplicates(["__key"])  # rows equal in text and id
-    columns = [F.col(f"c_{i}").alias(c) for i, c in enumerate(names)]
-    return single.select(*columns).unionAll(repeated.select(*columns))
+    groups = kept(marks.groupBy(F.unhex("text_sha256").alias("__key")).agg(F.min("keep_id").alias("__keep"), F.lit(True).alias("__found")))
+    own = [f"c_{i}" for i in range(len(docs.columns))]
+    keyed = docs.toDF(*own)
+    keyed = keyed.withColumn("__key", F.unhex(F.sha2(squeezed(own[docs.columns.index(text_col)]).cast("binary"), 256)))
+    out = looked_up(keyed, "__key", groups, slots)
+    alone = out.where(F.col("__found").isNull())
+    heads = out.where(F.col("__found") & F.col(own[docs.columns.index(id_col)]).cast("long").eqNullSafe(F.col("__keep"))).dropDuplicates(["__key"])  # rows may be equal in text and id
+    return alone.select(*own).unionAll(heads.select(*own)).toDF(*docs.columns)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
