@@ -10,7 +10,6 @@ import corpus_pipeline
 from conftest_llm import TEXTS, frame, rows_of
 from meterlake.llm import disclosure, ftrl, order_minhash
 from meterlake.llm.common import table
-from meterlake.llm.exact_dedup import SPACE
 from meterlake.llm.queries import BYTES
 from test_dedup import brute_components, exact_groups
 
@@ -59,7 +58,6 @@ def test_every_stage_takes_odd_rows(spark, sf_dir, tmp_path, name, stage):
             assert out.columns == docs.columns and len(rows) <= len(TEXTS)
         if docs.isEmpty():
             assert not rows
-    assert SPACE
 
 
 def test_stage_order_and_numbers(spark, sf_dir):
