@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -143,24 +144,28 @@ class Slot:
 
     def __init__(self, nodes: list[Node]):
         self.name, self.nodes, self.number = nodes[0].name, nodes, -1
-        below: list[list[Node]] = []
-        for node in nodes:
-            for child in node.children:
-                if isinstance(child, Node):
-                    if below and below[-1][0].name == child.name:
-                        below[-1].append(child)
-                    else:
-                        below.append([child])
-        # repeats of a pattern over the run's nodes are one slot each
-        merged: dict[tuple, list[Node]] = {}
-        for run in below:
-            merged.setdefault(run[0].name, []).extend(run)
-        self.children = [Slot(run) for run in merged.values()]
+        self.children: list[Slot] = []
 
     def text(self) -> str:
         return _SPACE.sub(" ", " ".join(c for n in self.nodes for c in n.children if isinstance(c, str))).strip()
 
 
+def slots(root: Node) -> Slot:
+    """The tree of slots: below one slot, element children of equal name (tag and class) are one slot again, in order of first appearance."""
+    top = Slot([root])
+    stack = [top]
+    while stack:
+        slot = stack.pop()
+        merged: dict[tuple, list[Node]] = {}
+        for node in slot.nodes:
+            for child in node.children:
+                if isinstance(child, Node):
+                    merged.setdefault(child.name, []).append(child)
+        slot.children = [Slot(run) for run in merged.values()]
+        stack += slot.children
+    return top
+
+
 def numbered(root: Slot) -> Slot:
     """Slot numbers of a reference, from the top."""
     stack, k = [root], 0
@@ -176,6 +181,9 @@ def match(a: Slot, b: Slot) -> int:
     return _align(a, b)[0]
 
 
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 200_000))  # _align goes as deep as a page nests its elements
+
+
 def _align(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     if a.name != b.name:
         return 0, []
@@ -203,7 +211,7 @@ def _align(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
 
 def aligned(root: Node, reference: Slot) -> list[tuple[int, Slot]]:
     """(slot number of the reference, slot of the page) of all pairs."""
-    return [(r.number, p) for r, p in _align(reference, Slot([root]))[1]]
+    return [(r.number, p) for r, p in _align(reference, slots(root))[1]]
 
 
 def blocks(root: Node, constant: set[int]) -> list[str]:
@@ -258,7 +266,7 @@ class _References:
         if host not in self.known:
             if len(self.known) >= 200:
                 self.known.clear()
-            self.known[host] = numbered(Slot([parse(page)]))
+            self.known[host] = numbered(slots(parse(page)))
         return self.known[host]
 
 

@@ -63,7 +63,7 @@ def test_tree_matching(seed):
     def tree(depth):
         return "".join(f"<{(t := rnd.choice(['div', 'ul', 'table']))}>x{tree(depth - 1)}</{t}>" for _ in range(rnd.randint(0, 3))) if depth else ""
 
-    a, b = (wrapper.Slot([wrapper.parse(tree(3))]) for _ in range(2))
+    a, b = (wrapper.slots(wrapper.parse(tree(3))) for _ in range(2))
     assert wrapper.match(a, b) == brute_match(a, b)
     assert len(wrapper._align(a, b)[1]) == wrapper.match(a, b)
 
