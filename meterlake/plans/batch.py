@@ -12,12 +12,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake import schemas
 from meterlake.operators import aggregates as agg
 from meterlake.operators import cleaning, dimensions, quality
 from meterlake.operators.joins import lookup, weather_features
 from meterlake.operators.windows import sequence_number
+from meterlake.plans import runlog
 from meterlake.plans.runlog import observe_counts
 from meterlake.sources.readers import exists, read_csv_file, read_csv_tree
 from meterlake.sources.sinks import arranged, together, write_batch, write_table
@@ -27,6 +29,8 @@ class Result(NamedTuple):
     tables: dict[str, DataFrame]  # silver, gold and warehouse tables by name, read back from storage
     counts: dict[str, int]  # rows written per table
     checks: DataFrame
+    log: DataFrame | None = None  # last state of every run recorded in the log folder
+    history: DataFrame | None = None  # check results of all runs
 
 
 class _Store:
@@ -145,23 +149,61 @@ def warehouse_checks(tables: dict[str, DataFrame]) -> list:
         quality.any_value(f"{name}_latest_timestamp_present", "fact_consumption", "reading_timestamp"),
         *[quality.no_orphans(f"{name}_no_missing_{d}_reference", "fact_consumption", tables["fact_consumption"], tables[f"dim_{d}"], f"{d}_id", f"{d}_id")
           for d in ("region", "customer", "meter", "tariff", "date")],
+        *([quality.no_duplicates("fact_meter_reading_no_duplicate_reading_id", "fact_reading", tables["fact_reading"], ["reading_id"])] if "fact_reading" in tables else []),
+        *([quality.has_rows("monitoring_pipeline_run_record_exists", "pipeline_run")] if "pipeline_run" in tables else []),
     ]
 
 
 def run_batch(
     spark: SparkSession, bronze: str, root: str, batch_id: str, regions: Sequence[str] = schemas.REGIONS,
     as_of: str | None = None, gated: bool = True, facts: str | None = None, previous: Mapping[str, DataFrame] | None = None,
+    log: str | None = None, pipeline: str = "batch_pipeline",
 ) -> Result:
     """Run all layers. ``bronze`` holds ``historical_consumption/``, ``weather/`` and three metadata CSVs.
 
     ``root`` is a new folder for this run. To add to an earlier run give its tables as ``previous``, so that dimension rows and
     surrogate keys live on, and one folder for all runs as ``facts``; the batch replaces itself there and nothing else.
+
+    With a folder ``log`` the run records its start, its end with counts or its failure, and its check results there; each state has
+    a folder of its own, so a run that is repeated replaces its records. Later runs and the monitoring views read them.
     """
+    if log is None:
+        return _run_layers(spark, bronze, root, batch_id, regions, as_of, gated, facts, previous)
+    _record(runlog.run_started(spark, pipeline, batch_id, as_of), log, f"{batch_id}-running")
+    try:
+        result = _run_layers(spark, bronze, root, batch_id, regions, as_of, False, facts, previous, log)
+        write_batch(result.checks.drop("batch_id"), f"{log}/quality_check", batch_id)
+        if gated:
+            quality.gate(result.checks)
+    except Exception as error:
+        _record(runlog.run_failed(spark, pipeline, batch_id, str(error), as_of), log, f"{batch_id}-failed")
+        raise
+    counts = {"read": result.counts["staging/consumption"], "written": result.counts["warehouse/fact_consumption"], "rejected": result.counts["silver/rejected_records"]}
+    _record(runlog.run_succeeded(spark, pipeline, batch_id, counts, as_of), log, f"{batch_id}-succeeded")
+    states = spark.read.schema(_log_schema(spark)).parquet(f"{log}/pipeline_run")
+    history = spark.read.schema(T.StructType([*result.checks.schema, T.StructField("batch_id", T.StringType())])).parquet(f"{log}/quality_check")
+    return result._replace(log=runlog.current_runs(states.drop("state")), history=history)
+
+
+def _log_schema(spark: SparkSession) -> T.StructType:
+    return T.StructType([*runlog.run_started(spark, "", "").schema, T.StructField("state", T.StringType())])
+
+
+def _record(state: DataFrame, log: str, name: str) -> None:
+    write_batch(state, f"{log}/pipeline_run", name, "state")
+
+
+def _run_layers(
+    spark: SparkSession, bronze: str, root: str, batch_id: str, regions: Sequence[str], as_of: str | None, gated: bool,
+    facts: str | None, previous: Mapping[str, DataFrame] | None, log: str | None = None,
+) -> Result:
     store = _Store(spark, root)
     silver = bronze_to_silver(spark, bronze.rstrip("/"), store, regions, as_of)
     gold = silver_to_gold(silver, store, as_of)
     warehouse = load_warehouse(silver, gold, store, batch_id, facts or store.path("warehouse/fact_consumption"), previous or {}, as_of)
-    checks = store.save("warehouse/quality_check", quality.run_checks(warehouse, warehouse_checks(warehouse), batch_id, as_of))
+    logged = {"pipeline_run": spark.read.schema(_log_schema(spark)).parquet(f"{log}/pipeline_run")} if log else {}
+    checked = {**warehouse, **logged}
+    checks = store.save("warehouse/quality_check", quality.run_checks(checked, warehouse_checks(checked), batch_id, as_of))
     if gated:
         quality.gate(checks)
     return Result({**silver, **gold, **warehouse}, store.counts, checks)

@@ -612,7 +612,21 @@ ORACLE: dict[str, str] = {
     "batch_gate": sql(f"""SELECT 'batch_1' AS pipeline_run_id, 'fact_energy_consumption_' || check_name AS check_name, 'fact_consumption' AS table_name, 'passed' AS status,
         count(*) FILTER (WHERE kwh < 0 AND rejection_reason = '') AS failed_count, '{AS_OF}' AS checked_at
         FROM judged, (VALUES ('has_rows'), ('no_negative_kwh'), ('no_null_meter_id'), ('latest_timestamp_present'), ('no_missing_region_reference'),
-          ('no_missing_customer_reference'), ('no_missing_meter_reference'), ('no_missing_tariff_reference'), ('no_missing_date_reference')) AS v (check_name) GROUP BY check_name"""),
+          ('no_missing_customer_reference'), ('no_missing_meter_reference'), ('no_missing_tariff_reference'), ('no_missing_date_reference')) AS v (check_name) GROUP BY check_name
+        UNION ALL SELECT 'batch_1', 'monitoring_pipeline_run_record_exists', 'pipeline_run', 'passed', 0, '{AS_OF}'"""),
+    "batch_run_log": sql(f"""SELECT 'batch_pipeline' AS pipeline_name, 'succeeded' AS status, '{AS_OF}' AS started_at, '{AS_OF}' AS finished_at, (SELECT count(*) FROM dirty) AS records_read,
+        (SELECT count(*) FROM (SELECT meter_id, customer_id, region_name, CAST(judged.reading_timestamp AS DATE) AS day FROM judged WHERE rejection_reason = '' GROUP BY ALL)) AS records_written"""),
+    "batch_check_history": sql("""SELECT check_name, 'passed' AS status, CAST(0 AS BIGINT) AS failed_count FROM (VALUES ('monitoring_pipeline_run_record_exists'),
+        ('fact_energy_consumption_has_rows'), ('fact_energy_consumption_no_negative_kwh'), ('fact_energy_consumption_no_null_meter_id'), ('fact_energy_consumption_latest_timestamp_present'),
+        ('fact_energy_consumption_no_missing_region_reference'), ('fact_energy_consumption_no_missing_customer_reference'), ('fact_energy_consumption_no_missing_meter_reference'),
+        ('fact_energy_consumption_no_missing_tariff_reference'), ('fact_energy_consumption_no_missing_date_reference')) AS v (check_name)"""),
+    "stream_fact_readings": sql(f"""SELECT event_id AS reading_id, meter_id, CAST(r.region_id AS BIGINT) AS region_id, CAST({_date_id('event_timestamp')} AS BIGINT) AS date_id,
+        strftime(event_timestamp, {_STAMP}) AS event_timestamp, kwh, coalesce(nullif(voltage, 0), 230) AS voltage FROM good_events g JOIN dim_region r ON r.region_name = g.region_name WHERE g.region_name <> 'ASIA'"""),
+    "stream_fact_anomalies": sql("""SELECT 'anom_' || event_id AS anomaly_id, meter_id, CAST(r.region_id AS BIGINT) AS region_id,
+        CASE WHEN event_type = 'anomaly' THEN 'producer_flagged_anomaly' ELSE 'high_kwh_threshold' END AS anomaly_type, kwh
+        FROM good_events g JOIN dim_region r ON r.region_name = g.region_name WHERE g.region_name <> 'ASIA' AND (event_type = 'anomaly' OR kwh > 10)"""),
+    "stream_unknown_regions": sql("""SELECT 'fact_reading' AS table_name, event_id AS record_id, region_name FROM good_events WHERE region_name = 'ASIA'
+        UNION ALL SELECT 'fact_anomaly', 'anom_' || event_id, region_name FROM good_events WHERE region_name = 'ASIA' AND (event_type = 'anomaly' OR kwh > 10)"""),
     # bad values and lost rows
     "reject_unstorable_kwh": sql("""SELECT event_id, CASE WHEN n % 59 = 0 THEN '1e300' WHEN n % 61 = 0 THEN '1e12' ELSE 'Infinity' END AS kwh,
         'Missing or invalid kwh' AS rejection_reason FROM readings WHERE n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0"""),

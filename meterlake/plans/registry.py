@@ -14,7 +14,7 @@ from meterlake import functions as fn
 from meterlake import schemas
 from meterlake.operators import aggregates as agg
 from meterlake.operators import cleaning, dimensions, joins, quality, windows
-from meterlake.plans import batch, runlog, serving, tables, warehouse
+from meterlake.plans import batch, runlog, serving, stream_load, tables, warehouse
 from meterlake.plans.tables import AS_OF, REGIONS
 from meterlake.session import scratch_path
 from meterlake.sources import readers, sinks
@@ -660,6 +660,32 @@ def _captured(s, d) -> str:
     return _once(s, d, "bronze", build)
 
 
+def _stream_facts(s, d) -> stream_load.Loaded:
+    """The whole stream loaded twice; regions leave one out, so that some rows stay behind."""
+    def build():
+        root = scratch_path(s, "stream_facts")
+        known = tables.dim_region(s, d).where("region_name != 'ASIA'")
+        for load in ("load_1", "load_2"):
+            out = stream_load.load_stream(s, _medallion(s, d), known, f"{root}/readings", f"{root}/anomalies", load)
+        return out
+    return _once(s, d, "stream_facts", build)
+
+
+@query
+def stream_fact_readings(s, d):
+    return _stream_facts(s, d).readings.select("reading_id", "meter_id", "region_id", "date_id", "event_timestamp", "kwh", "voltage")
+
+
+@query
+def stream_fact_anomalies(s, d):
+    return _stream_facts(s, d).anomalies.select("anomaly_id", "meter_id", "region_id", "anomaly_type", "kwh")
+
+
+@query
+def stream_unknown_regions(s, d):
+    return _stream_facts(s, d).unknown
+
+
 @query
 def stream_capture(s, d):
     return readers.read_table(s, _captured(s, d), schemas.ENVELOPE).select("raw_event_payload", "ingestion_timestamp", "source_system")
@@ -749,7 +775,7 @@ def _pipeline(s, d) -> batch.Result:
             "historical_consumption": tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names),
             "weather": tables.bronze_weather(s, d).select(*schemas.BRONZE_WEATHER.names),
             "customers.csv": customers, "meters.csv": meters, "tariffs.csv": tariffs}.items()])
-        return batch.run_batch(s, bronze, root, "batch_1", REGIONS, AS_OF)
+        return batch.run_batch(s, bronze, root, "batch_1", REGIONS, AS_OF, log=f"{root}/log")
     return _once(s, d, "lake", build)
 
 
@@ -769,6 +795,17 @@ def batch_gate(s, d):
     return _pipeline(s, d).checks.drop("check_id")
 
 
+@query
+def batch_run_log(s, d):
+    """The run's state as the pipeline itself recorded it."""
+    return _pipeline(s, d).log.select("pipeline_name", "status", "started_at", "finished_at", "records_read", "records_written")
+
+
+@query
+def batch_check_history(s, d):
+    return _pipeline(s, d).history.select("check_name", "status", "failed_count")
+
+
 # -- sources and sinks: what is read back must equal what was written -------------------------------------------------------------
 @query
 def io_csv_tree(s, d):
