@@ -1,6 +1,6 @@
 """Parameterised serving queries and BI measures over the serving views.
 
-A filter that is not given leaves no trace in the plan; one that is given reaches the scan through the views.
+A filter that is not given leaves no trace in the plan; one on a dimension cuts the fact by its keys before it is summed.
 """
 
 from __future__ import annotations
@@ -27,17 +27,23 @@ def _page(df: DataFrame, limit: int | None, *order: Column | str) -> DataFrame:
 
 
 def regions(views: Views) -> DataFrame:
+    if hasattr(views, "region_names"):
+        return views.region_names()
     return distinct_regions([views[n] for n in ("daily_region", "monthly_region", "latest_reading", "anomaly_events")])
 
 
 def daily(views: Views, region_name: str | None = None, start_date: str | None = None, end_date: str | None = None,
           limit: int | None = None) -> DataFrame:
-    rows = optional_date_range(optional_eq(views["daily_region"], "region_name", region_name), "reading_date", start_date, end_date)
+    view = views.narrowed(
+        "daily_region", dim_region=lambda d: optional_eq(d, "region_name", region_name), dim_date=lambda d: optional_date_range(d, "full_date", start_date, end_date),
+    ) if hasattr(views, "narrowed") else views["daily_region"]
+    rows = optional_date_range(optional_eq(view, "region_name", region_name), "reading_date", start_date, end_date)
     return _page(rows, limit, "reading_date", "region_name")
 
 
 def monthly(views: Views, region_name: str | None = None, limit: int | None = None) -> DataFrame:
-    rows = optional_eq(views["monthly_region"], "region_name", region_name)
+    view = views.narrowed("monthly_region", dim_region=lambda d: optional_eq(d, "region_name", region_name)) if hasattr(views, "narrowed") else views["monthly_region"]
+    rows = optional_eq(view, "region_name", region_name)
     return _page(rows, limit, "year_number", "month_number", "region_name")
 
 

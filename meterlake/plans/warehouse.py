@@ -10,7 +10,7 @@ drop facts without a dimension row, because a whole group shares its keys.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from meterlake import schemas
 from meterlake.functions import boundary_diff, now
 from meterlake.operators.aggregates import (
-    anomaly_by_region, hours_since, latest_over, monthly_region, region_by_month, running_daily, scalar_row,
+    anomaly_by_region, distinct_regions, hours_since, latest_over, monthly_region, region_by_month, running_daily, scalar_row,
 )
 from meterlake.operators.joins import star_join
 from meterlake.operators.windows import latest_per_key, top_k
@@ -258,7 +258,34 @@ def view_kpis(tables: Tables) -> DataFrame:
     }).select(*schemas.VIEW_CONTRACTS["kpis"].names)
 
 
-def serving_views(tables: Tables, as_of: str | None = None) -> Tables:
+class ServingViews(Planned):
+    """The views by name, and views over a part of the dimensions."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], tables: Tables):
+        super().__init__(builders)
+        self.tables = tables
+
+    def narrowed(self, name: str, **filters: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A consumption view over the dimension rows each filter leaves: the fact is cut by its keys before it is summed."""
+        tables = dict(self.tables)
+        for dim, keep in filters.items():
+            rows = keep(tables[dim])
+            if rows is not tables[dim]:  # a filter that was not asked for leaves no trace
+                tables[dim] = rows
+                tables["fact_consumption"] = tables["fact_consumption"].join(rows.select(_KEYS[dim]), _KEYS[dim], "left_semi")
+        view = {"daily_region": view_daily_region, "monthly_region": view_monthly_region}[name](tables)
+        return schemas.assert_contract(view, schemas.VIEW_CONTRACTS[name])
+
+    def region_names(self) -> DataFrame:
+        """Names of regions with consumption, latest readings or anomalies; from keys where the view's rows are not needed."""
+        t = self.tables
+        dated = t["fact_consumption"].select("region_id", "date_id").distinct().join(t["dim_date"].select("date_id"), "date_id", "left_semi")
+        keys = dated.select("region_id").unionAll(t["fact_anomaly"].select("region_id")).distinct()
+        named = t["dim_region"].join(keys, "region_id", "left_semi").select("region_name")
+        return distinct_regions([named, self["latest_reading"]])
+
+
+def serving_views(tables: Tables, as_of: str | None = None) -> ServingViews:
     """All eight views by name, each checked against its contract when it is planned."""
     builders = {
         "daily_region": view_daily_region, "monthly_region": view_monthly_region, "customer_usage": view_customer_usage,
@@ -269,7 +296,7 @@ def serving_views(tables: Tables, as_of: str | None = None) -> Tables:
     def checked(name: str) -> DataFrame:
         return schemas.assert_contract(builders[name](tables), schemas.VIEW_CONTRACTS[name])
 
-    return Planned({name: partial(checked, name) for name in builders})
+    return ServingViews({name: partial(checked, name) for name in builders}, tables)
 
 
 def register_views(tables: Tables, as_of: str | None = None, prefix: str = "serving_") -> list[str]:

@@ -99,3 +99,9 @@ def test_payload_text_is_built_for_rejects_only(spark, sf_dir):
     assert "tojson" not in text.replace("_", "").lower()
     text = plan(registry.QUERIES["rejected_consumption"](spark, sf_dir)).replace("_", "").lower()
     assert "tojson" in text[: text.index("exchange")] and "tojson" not in text[text.index("exchange") :]
+
+
+def test_serving_filters_cut_the_fact_before_it_is_summed(spark, sf_dir):
+    for name in ("p_daily", "p_monthly"):
+        text = plan(registry.QUERIES[name](spark, sf_dir))
+        assert text.rindex("LeftSemi") > text.rindex("partial_sum(kwh"), name  # further down the tree
