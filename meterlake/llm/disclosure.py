@@ -5,8 +5,8 @@ how much seeing it tells about the entity: pointwise mutual information over the
 whole corpus. Terms at or above ``disclosure`` (1 would name the entity outright) are sanitised wherever the entity stands in the same text: generalised to
 a placeholder, or removed.
 
-Counts are of contexts: the words up to REACH before and after an entity. Equal contexts count once, so copies of a text prove nothing, and a pair needs
-``support`` different contexts. Words stand at most 2 * REACH to an entity, so the number of pairs grows with the entities. How often a candidate
+Counts are of contexts: the words up to REACH before and after an entity. Contexts with the same CORE words on both sides count once, so copies of a text, edited ones too, prove
+nothing, and a pair needs ``support`` different contexts. Words stand at most 2 * REACH to an entity, so the number of pairs grows with the entities. How often a candidate
 term occurs at all is counted over all texts; a Bloom filter of fixed size keeps other words out of the shuffle, exact joins follow it.
 
 Nulls count as empty texts. Results depend on the text alone, so rows with equal texts get equal spans. An empty table gives none. Extra columns don't matter.
@@ -28,7 +28,7 @@ from meterlake.llm.bitmaps import looked_up
 from meterlake.llm.common import full_text, kept, map_text, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 8
+REACH, CORE = 8, 2
 SUPPORT = 3
 DISCLOSURE = 0.8
 FILTER_BITS = 1 << 23  # 1 MiB: the size bound of the filter each task holds
@@ -103,7 +103,7 @@ def _outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]
 
 
 def contexts(text: str, reach: int = REACH) -> list[tuple[str, int, list[str]]]:
-    """(entity, hash of the context, its distinct terms) of every protected value."""
+    """(entity, hash of the words next to it, distinct terms around it) of every protected value."""
     spans = base_spans(text)
     if not spans:
         return []
@@ -113,7 +113,8 @@ def contexts(text: str, reach: int = REACH) -> list[tuple[str, int, list[str]]]:
     for kind, a, b in spans:
         k = int(np.searchsorted(starts, a))
         near = [t for _, t in terms[max(0, k - reach) : k + reach]]
-        out.append((entity_of(kind, text[a:b]), crc32(" ".join(near).encode("utf-8", "surrogatepass")), sorted(set(near))))
+        core = [t for _, t in terms[max(0, k - CORE) : k + CORE]]
+        out.append((entity_of(kind, text[a:b]), crc32(" ".join(core).encode("utf-8", "surrogatepass")), sorted(set(near))))
     return out
 
 
@@ -133,7 +134,7 @@ def _bits(terms: DataFrame, size: int) -> np.ndarray | None:
 def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, share): terms that disclose an entity; share is information about it over the entity's own.
 
-    Probabilities are per text for terms and per context for entities, over all texts and all contexts of the corpus.
+    Probabilities are over all texts of the corpus; an entity counts with its different contexts.
     """
     spark = docs.sparkSession
     texts = docs.select(full_text(text_col).alias("text"))
@@ -169,8 +170,7 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     each = map_text(texts, "text", pa.schema([("term", pa.string()), ("n", pa.int64())]), counting)
     terms = each.groupBy("term").agg(F.sum("n").alias("n_term"))
     n_texts = docs.count()
-    n_contexts = seen.select("entity", "context").distinct().count()
-    own = -F.log2(F.col("n_entity") / F.lit(float(n_contexts)))
+    own = -F.log2(F.col("n_entity") / F.lit(float(n_texts)))
     about = F.log2((F.col("n_both") / F.col("n_entity")) / (F.col("n_term") / F.lit(float(n_texts))))  # p(term | entity) against p(term)
     share = F.when(own > 0, F.least(about / own, F.lit(1.0))).otherwise(F.lit(0.0))
     return pairs.join(terms, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)

@@ -69,7 +69,7 @@ def test_terms_that_disclose(spark):
 def test_shares_against_brute_force(spark):
     """The same estimate, counted in one process."""
     import math
-    from collections import Counter, defaultdict
+    from collections import Counter
 
     rows = [t for _, t in planted()]
     seen = {(e, c, t) for text in rows for e, c, terms in disclosure.contexts(text) for t in terms}
@@ -79,13 +79,12 @@ def test_shares_against_brute_force(spark):
     want = {}
     for (e, t), n in both.items():
         if n >= 3 and n_entity[e] >= 3:
-            own = -math.log2(n_entity[e] / len(contexts))
+            own = -math.log2(n_entity[e] / len(rows))
             share = min(1.0, math.log2((n / n_entity[e]) / (n_term[t] / len(rows))) / own) if own > 0 else 0.0
             if share >= disclosure.DISCLOSURE:
                 want[e, t] = share
     got = {(r["entity"], r["term"]): r["share"] for r in disclosure.disclosing(plain(spark, planted())).collect()}
     assert got == pytest.approx(want) and want
-    assert defaultdict
 
 
 def test_sanitised_texts(spark):
