@@ -30,7 +30,7 @@ MIN_PAGES = 3  # a template text is seen on as many pages
 MIN_ARTICLES = 8  # and the host has as many different main texts
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)", re.S)
-_CUT = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
+_CUT = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
