@@ -15,28 +15,31 @@ from test_dedup import brute_components, exact_groups
 
 
 def brute(spark, docs, sf_dir):
-    """Kept (doc_id, text) after the four filtering stages; the classifier's weights and the disclosed terms are taken as fitted."""
+    """Text of each id after the first two stages, and its root by all aligned pairs and by those of similar shingles."""
     model = ftrl.fit(docs, table(spark, sf_dir, "labels"))
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if model.score(r["text"] or "") >= ftrl.THRESHOLD]
-    first = {min((i for i in ids if i is not None), default=None): t for t, ids in exact_groups(rows).items()}
-    rows = [(i, t) for i, t in dict(rows).items() if i in first]
-    words = {i: order_minhash.word_hashes(order_minhash.words_of(t)).astype(np.uint32) for i, t in rows}
-    links = [(a, b) for a in words for b in words if a < b and order_minhash.aligned(words[a], words[b]) >= 0.8]
-    root = brute_components(words, links)
-    return [(i, t) for i, t in rows if root[i] == i]
+    first = {min((i for i in ids if i is not None), default=None) for ids in exact_groups(rows).values()}
+    rows = {i: t for i, t in rows if i in first}
+    hashes = {i: order_minhash.word_hashes(order_minhash.words_of(t)) for i, t in rows.items()}
+    marks = {i: Counter(order_minhash.shingles(h).tolist()) for i, h in hashes.items()}
+    links = [(a, b) for a in hashes for b in hashes if a < b and order_minhash.aligned(hashes[a].astype(np.uint32), hashes[b].astype(np.uint32)) >= 0.8]
+    close = [(a, b) for a, b in links if sum((marks[a] & marks[b]).values()) >= 0.8 * sum((marks[a] | marks[b]).values())]
+    return rows, brute_components(rows, links), brute_components(rows, close)
 
 
 def test_run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = corpus_pipeline.run(spark, sf_dir).collect()
-    want = dict(brute(spark, docs, sf_dir))
+    texts, most, least = brute(spark, docs, sf_dir)
     by_doc, bins = defaultdict(list), defaultdict(list)
     for r in out:
         by_doc[r["doc_id"]].append(r)
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
-    assert set(by_doc) == set(want)
+    assert {i for i in texts if most[i] == i} <= set(by_doc) <= {i for i in texts if least[i] == i}
+    assert len(by_doc) <= len({most[i] for i in texts}) + 0.02 * len(texts)  # sketches may miss pairs of less similar shingles
     lib = Tokenizer.from_file(BYTES)
-    for i, text in want.items():
+    for i in by_doc:
+        text = texts[i]
         spans = disclosure.base_spans(text)
         ids = lib.encode(disclosure.replace(text, spans), add_special_tokens=False).ids
         assert sum(r["length"] for r in by_doc[i]) == len(ids) + 1
