@@ -15,7 +15,7 @@ from meterlake.session import scratch_path, shared_dir
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
 
 SPACE = r"[\x20\x09-\x0D]+"
-SLICE_CHARS = 4_000_000  # text handled at once inside a task
+SLICE_CHARS = 2_000_000  # text handled at once inside a task
 
 
 def full_text(column: str | Column = "text") -> Column:

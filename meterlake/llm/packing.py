@@ -143,7 +143,7 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
     lengths = runs[:, 0] * (1 << 48) + runs[:, 1]  # one ascending key of length and first rank
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in (p.slice(k, 1_000) for p in batches for k in range(0, p.num_rows, 1_000)):
             length, rank = (part.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             run = runs[np.searchsorted(lengths, length * (1 << 48) + rank, "right") - 1] if len(length) else np.zeros((0, 5), np.int64)
             into = rank - run[:, 1]

@@ -122,7 +122,7 @@ def read_at(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = _files(folder)
         opened: tuple[str, pa.NativeFile] | None = None
-        for part in batches:
+        for part in (p.slice(k, 500) for p in batches for k in range(0, p.num_rows, 500)):
             ids = []
             for path, width, at in zip(*(part.column(c).to_pylist() for c in ("path", "width", "offset"))):
                 if opened is None or opened[0] != path:

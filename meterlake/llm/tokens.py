@@ -11,14 +11,14 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")  # anything but Latin text
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value of byte-level encoders
 _END = "\0"  # marks the end of a word inside; never part of a text that takes this way
-_MAX_WORDS = 300_000
+_MAX_WORDS = 200_000
 _LONG = 200  # longer words are not kept
 _TOGETHER = 500  # words encoded in one call
 
@@ -26,14 +26,11 @@ _TOGETHER = 500  # words encoded in one call
 class Encoder:
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Tokenizer.from_str(json.dumps(spec))
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
+        self.path = path
+        self.vocabulary = 1 + max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
         self.special = [t["content"] for t in spec["added_tokens"]]
         suffix = spec["model"]["end_of_word_suffix"]
         ranks, special = _ranks(spec, suffix)
@@ -45,6 +42,16 @@ class Encoder:
             self.ends[[i for w, i in spec["model"]["vocab"].items() if w.endswith(suffix)]] = True
             self.words: dict[str, bytes] = {}
 
+    @cached_property
+    def library(self):
+        """The tokenizers library's own object, loaded when a text or a decoding needs it."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         if not self.by_word:
