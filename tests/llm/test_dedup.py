@@ -153,6 +153,20 @@ def test_a_bucket_without_its_head(spark):
     assert got[2] == 1 and got[1] == 1 and len(set(got.values())) == 39
 
 
+def test_common_text_inside_the_head(spark):
+    """A passage, two edited copies of it, and many longer texts that hold it and are unlike all of these and each other."""
+    rnd = random.Random(5)
+    passage = [f"b{k}" for k in range(100)]
+    copies = [passage, passage[:30] + ["one"] + passage[31:], passage[:70] + ["two"] + passage[71:]]
+    texts = copies + [[f"x{k}_{j}" for j in range(20)] + passage + [f"y{k}_{j}" for j in range(20)] for k in range(1_000)]
+    order = list(range(len(texts)))
+    rnd.shuffle(order)
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(plain(spark, [(i, " ".join(texts[i])) for i in order])).collect()}
+    words = [order_minhash.word_hashes(t).astype(np.uint32) for t in texts[:60]]
+    want = brute_components(range(60), [(a, b) for a in range(60) for b in range(a) if order_minhash.aligned(words[a], words[b]) >= 0.8])
+    assert [got[i] for i in range(60)] == [want[i] for i in range(60)] and len(set(got.values())) == 1_001
+
+
 def test_near_edges(odd, none):
     got = defaultdict(set)
     for r in order_minhash.classes(odd).collect():
