@@ -167,6 +167,16 @@ def test_common_text_inside_the_head(spark):
     assert [got[i] for i in range(60)] == [want[i] for i in range(60)] and len(set(got.values())) == 1_001
 
 
+def test_alike_members_stay_candidates(spark):
+    """A text that is only alike to one which is alike to the heads of all their buckets."""
+    text = [f"m{k}" for k in range(200)]
+    texts = [text, text[:-7]] + [text + [f"e{k}_{j}" for j in range(48)] for k in range(120)]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(plain(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])).collect()}
+    words = [order_minhash.word_hashes(t).astype(np.uint32) for t in texts]
+    assert order_minhash.aligned(words[0], words[1]) >= 0.8 > order_minhash.aligned(words[1], words[2])
+    assert set(got.values()) == {0} and len(got) == 122
+
+
 def test_near_edges(odd, none):
     got = defaultdict(set)
     for r in order_minhash.classes(odd).collect():
