@@ -40,7 +40,7 @@ def differences(frame, con, sql: str) -> list[str]:
     if mine_names != names:
         return [f"columns: {mine_names} against {names}"]
     found = []
-    kinds = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
     for field in frame.schema:
         kind = kinds[field.dataType.simpleString()]
         if theirs_types[field.name] not in (kind, "STRING" if kind == "VARCHAR" else kind, "NUMBER"):
