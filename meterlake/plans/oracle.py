@@ -588,6 +588,9 @@ ORACLE: dict[str, str] = {
     "stream_hourly": sql(f"""SELECT strftime(h, {_STAMP}) AS window_start, strftime(h + INTERVAL 1 HOUR, {_STAMP}) AS window_end, region_name, CAST(sum(CAST(kwh AS DECIMAL(12,4))) AS DOUBLE) AS total_kwh,
         count(*) AS event_count, count(DISTINCT meter_id) AS unique_meter_count
         FROM (SELECT *, date_trunc('hour', event_timestamp) AS h FROM good_events WHERE event_type <> 'heartbeat') GROUP BY h, region_name"""),
+    "stream_hourly_merged": sql(f"""SELECT strftime(h, {_STAMP}) AS window_start, strftime(h + INTERVAL 1 HOUR, {_STAMP}) AS window_end, region_name, CAST(sum(CAST(kwh AS DECIMAL(12,4))) AS DOUBLE) AS total_kwh,
+        count(*) AS event_count, count(DISTINCT meter_id) AS unique_meter_count
+        FROM (SELECT *, date_trunc('hour', event_timestamp) AS h FROM good_events WHERE event_type <> 'heartbeat') GROUP BY h, region_name"""),
     "stream_metrics": sql("""SELECT count(*) AS total_events, count(*) FILTER (WHERE rejection_reason = '') AS valid_events, count(*) FILTER (WHERE rejection_reason <> '') AS rejected_events,
         count(*) FILTER (WHERE rejection_reason = '' AND (event_type = 'anomaly' OR kwh > 10)) AS anomaly_events FROM judged_events"""),
     "stream_dedup": sql(f"""SELECT DISTINCT event_id, customer_id, strftime(event_ts, {_STAMP}) AS event_timestamp FROM parsed WHERE event_ts IS NOT NULL"""),
@@ -597,6 +600,10 @@ ORACLE: dict[str, str] = {
         WHERE event_type <> 'heartbeat' AND h + INTERVAL 1 HOUR <= watermark GROUP BY h, region_name"""),
     "stream_latest_state": sql(f"""SELECT meter_id, event_id, strftime(event_ts, {_STAMP}) AS event_timestamp, kwh FROM parsed
         WHERE event_ts IS NOT NULL AND kwh >= 0 AND event_type <> 'heartbeat' QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY event_ts DESC, event_id DESC) = 1"""),
+    "stream_latest_ttl": sql(f"""SELECT meter_id, event_id, strftime(event_ts, {_STAMP}) AS event_timestamp, kwh FROM (
+          SELECT *, max(event_ts) OVER () - INTERVAL 2 HOUR AS watermark, row_number() OVER (PARTITION BY meter_id ORDER BY event_ts DESC, event_id DESC) AS age
+          FROM parsed WHERE event_ts IS NOT NULL AND kwh >= 0 AND event_type <> 'heartbeat')
+        WHERE age = 1 AND event_ts + INTERVAL 10 DAY >= watermark"""),
     # whole pipeline
     "batch_facts": sql(f"""SELECT row_number() OVER (ORDER BY meter_id, day, customer_id, region_id) AS consumption_id, meter_id, customer_id, CAST(region_id AS BIGINT) AS region_id, tariff_id,
         CAST({_date_id('day')} AS BIGINT) AS date_id, CAST(day AS VARCHAR) || ' 23:59:59' AS reading_timestamp, CAST(kwh AS DOUBLE) AS kwh,
@@ -646,6 +653,10 @@ ORACLE: dict[str, str] = {
     "io_csv_tree": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
     "io_parquet_table": sql(f"""SELECT meter_id, customer_id, region_name, strftime(event_timestamp, {_STAMP}) AS reading_timestamp, CAST(reading_date AS VARCHAR) AS reading_date,
         hour(event_timestamp) AS reading_hour, CAST(kwh AS DOUBLE) AS kwh FROM readings"""),
+    "io_versioned_table": sql(f"""SELECT meter_id, customer_id, region_name, strftime(event_timestamp, {_STAMP}) AS reading_timestamp, CAST(reading_date AS VARCHAR) AS reading_date,
+        hour(event_timestamp) AS reading_hour, CAST(kwh AS DOUBLE) AS kwh FROM readings"""),
+    "io_compacted_batches": sql(f"""SELECT meter_id, customer_id, region_name, strftime(event_timestamp, {_STAMP}) AS reading_timestamp, CAST(reading_date AS VARCHAR) AS reading_date,
+        hour(event_timestamp) AS reading_hour, CAST(kwh AS DOUBLE) AS kwh, 'batch_' || hour(event_timestamp) % 4 AS batch_id FROM readings"""),
     "io_replace_batch": sql("""SELECT consumption_id, meter_id, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE kwh END AS DOUBLE) AS kwh, l_returnflag AS batch_id FROM fact_consumption"""),
     "io_json_events": _rows("readings", "event_id meter_id event_type n"),
     "kafka_envelopes": sql(f"""SELECT raw_event_payload, '{AS_OF}' AS ingestion_timestamp, 'eventhubs_emulator_kafka' AS source_system, CAST(copy AS VARCHAR) AS partition_id,

@@ -17,8 +17,8 @@ from meterlake.operators import cleaning, dimensions, joins, quality, windows
 from meterlake.plans import batch, runlog, serving, stream_load, tables, warehouse
 from meterlake.plans.tables import AS_OF, REGIONS
 from meterlake.session import scratch_path
-from meterlake.sources import readers, sinks
-from meterlake.streaming import micro_batch, stateful
+from meterlake.sources import readers, sinks, versions
+from meterlake.streaming import micro_batch, partials, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -717,6 +717,26 @@ def stream_hourly(s, d):
     return _without_audit(micro_batch.merge_hourly(_complete(s, d, "clean")))
 
 
+@query
+def stream_hourly_merged(s, d):
+    """Hours out of the parts that several batches left; silver is not read again."""
+    def build():
+        root = scratch_path(s, "hour_parts")
+        where = partials.HourParts.under(root)
+        sinks.write_table(partials.meter_numbers(tables.dim_meter(s, d)), f"{root}/numbers")
+        numbers = s.read.parquet(f"{root}/numbers")
+
+        def add(batch: DataFrame, batch_id: int) -> None:
+            clean = cleaning.clean_events(cleaning.validate_events(batch, REGIONS), AS_OF)
+            partials.add_hours(clean, batch_id, where, numbers)
+
+        # six files in three batches: a repeat of an event often lies in another batch
+        sinks.write_events(tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value")).repartition(6), f"{root}/landing")
+        micro_batch.run_stream(readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=2), add, f"{root}/checkpoint")
+        return where
+    return _without_audit(partials.merged_hours(s, _once(s, d, "hour_parts", build), AS_OF))
+
+
 @query
 def stream_metrics(s, d):
     parts = micro_batch.read_batches(s, _medallion(s, d).metrics)
@@ -761,6 +781,18 @@ def stream_latest_state(s, d):
     return s.read.parquet(_once(s, d, "state", build)).select("meter_id", "event_id", "event_timestamp", "kwh")
 
 
+@query
+def stream_latest_ttl(s, d):
+    """Latest reading per meter in hash buckets; a meter nothing was heard of for ten days of event time is not in it."""
+    def build():
+        root = scratch_path(s, "latest_ttl")
+        events = stateful.typed_event_stream(readers.bronze_event_stream(s, _captured(s, d)))
+        usable = events.where(F.col("event_timestamp").isNotNull() & (F.col("kwh") >= 0))
+        stateful.keep_latest(usable.select("meter_id", "event_id", "event_timestamp", "event_type", "kwh"), f"{root}/data", f"{root}/checkpoint", "2 hours", 10 * 86_400, buckets=8)
+        return f"{root}/data"
+    return stateful.read_buckets(s, _once(s, d, "latest_ttl", build)).select("meter_id", "event_id", "event_timestamp", "kwh")
+
+
 # -- whole pipeline ------------------------------------------------------------------------------------------------------------
 def _write_csv(df: DataFrame, path: str) -> None:
     # keep blanks as they are: whitespace is part of the dirt
@@ -900,6 +932,28 @@ def io_parquet_table(s, d):
     return readers.read_table(s, path, silver.schema)
 
 
+@query
+def io_versioned_table(s, d):
+    """Published twice: first with half of the rows, then with all; the catalog points at the second version."""
+    root, silver = scratch_path(s, "versions"), tables.silver_readings(s, d)
+    name = f"readings_{root.rsplit('-', 1)[-1]}"
+    for rows in (silver.where("reading_hour < 12"), silver):
+        versions.publish(rows, name, root, ["reading_date"], ["meter_id"])
+    return s.table(name)
+
+
+@query
+def io_compacted_batches(s, d):
+    """Four batches by day, one of them delivered again; days before the twentieth put together afterwards."""
+    path = scratch_path(s, "days")
+    silver = tables.silver_readings(s, d)
+    for n in (0, 1, 2, 3, 2):
+        versions.append_batch(silver.where(F.col("reading_hour") % 4 == n), path, f"batch_{n}", "reading_date")
+    schema = silver.withColumn("batch_id", F.lit("")).schema
+    versions.compact(s, path, schema, "reading_date", "2024-01-20", sort_by=["meter_id"])
+    return versions.read_days(s, path, schema)
+
+
 @query
 def io_replace_batch(s, d):
     path = scratch_path(s, "batches")

@@ -1,17 +1,19 @@
-"""Stateful stream operators. A watermark bounds the state of all but ``latest_stream`` (one row per meter); all state is keyed and spread."""
+"""Stateful stream operators. A watermark bounds the state of all but ``latest_stream``, which keeps one row per meter for good (``latest_with_ttl`` lets idle meters go); all state is keyed and spread."""
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQueryListener
 
 from meterlake import schemas
 from meterlake.functions import STREAM_SEPARATOR, event_rules, exact, rejection_reason
 from meterlake.operators.cleaning import REASON, parse_events, reject_events
+from meterlake.sources.readers import exists
 
 
 def typed_event_stream(envelopes: DataFrame) -> DataFrame:
@@ -79,6 +81,107 @@ def latest_stream(stream: DataFrame, ts: str = "event_timestamp", key: str = "me
     return readings.groupBy(key).agg(F.max_by(row, F.struct(ts, tie_break)).alias("r")).select(key, "r.*")
 
 
+class _Latest(StatefulProcessor):
+    """Keeps a meter's latest row until the watermark is ``ttl_ms`` past it; the row that ends it is marked ``expired``."""
+
+    def __init__(self, names: list[str], ttl_ms: int):
+        self.names, self.ttl_ms = names, ttl_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", "at bigint, tie string, row string")
+
+    def _row(self, key, row: str, expired: bool) -> Row:
+        return Row(meter_id=key[0], row=row, expired=expired)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        best = self.latest.get() if self.latest.exists() else None
+        best = None if best is None else tuple(best)
+        before = best
+        for r in rows:
+            if best is None or (r["at"], r["tie"]) > best[:2]:
+                best = (r["at"], r["tie"], r["row"])
+        if best == before:
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(best[0] + self.ttl_ms)
+        self.latest.update(best)
+        yield self._row(key, best[2], False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        row = self.latest.get()[2]
+        self.latest.clear()
+        yield self._row(key, row, True)
+
+
+def latest_with_ttl(stream: DataFrame, delay: str, ttl_seconds: int, ts: str = "event_timestamp", key: str = "meter_id", tie_break: str = "event_id") -> DataFrame:
+    """Changes of the latest reading per meter: its columns and ``expired``. State is one row per meter heard of within ``ttl_seconds`` of event time.
+
+    Update mode; the state store has to be RocksDB, which keeps it off the heap. A row is put out when a meter's latest reading changes, and once more, with ``expired`` true, when the watermark is ``ttl_seconds``
+    past it and the meter leaves the state. A meter that comes back starts anew. Rows older than the watermark (``delay`` behind the newest) are late and not looked at.
+    """
+    readings = stream.where((F.col("event_type") != "heartbeat") & F.col(key).isNotNull()).withWatermark(ts, delay)
+    kept = [c for c in readings.columns if c != key]
+    packed = readings.select(
+        F.col(key).alias("meter_id"), ts, F.unix_millis(ts).alias("at"), F.col(tie_break).cast("string").alias("tie"), F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("row"))
+    changes = packed.groupBy("meter_id").transformWithState(
+        statefulProcessor=_Latest(kept, ttl_seconds * 1000), outputStructType="meter_id string, row string, expired boolean", outputMode="Update", timeMode="EventTime")
+    fields = T.StructType([f for f in readings.schema if f.name != key])
+    return changes.select(F.col("meter_id").alias(key), F.from_json("row", fields).alias("r"), "expired").select(key, "r.*", "expired")
+
+
+def replace_buckets(changes: DataFrame, path: str, key: str = "meter_id", buckets: int = 64) -> None:
+    """Apply one batch of changes (``expired`` rows take their key out) to a table kept in hash buckets; only touched buckets are written.
+
+    A bucket is replaced as a whole, so applying a batch again changes nothing. Each touched bucket also gets a row without a key, so that it is replaced when nothing else is left in it; ``read_buckets`` leaves
+    that row out. ``changes`` holds each key once.
+    """
+    spark = changes.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    placed = changes.select("*", bucket).persist()
+    try:
+        touched = placed.select("bucket").distinct()
+        rows = placed.where(~F.col("expired")).drop("expired")
+        if exists(spark, path):
+            there = spark.read.schema(rows.schema).parquet(path).where(F.col(key).isNotNull())
+            rows = there.join(touched, "bucket", "left_semi").join(placed.select(key), key, "left_anti").unionByName(rows)
+        mark = touched.select(*[F.col("bucket") if f.name == "bucket" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+        out = rows.unionByName(mark).repartition("bucket")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    finally:
+        placed.unpersist()
+
+
+_ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def keep_latest(
+    stream: DataFrame, path: str, checkpoint: str, delay: str, ttl_seconds: int, buckets: int = 64, trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Keep the table of latest readings at ``path`` (``read_buckets``) up to date; by default until the input is used up.
+
+    The state store's kind is a setting of the session that a query takes over when it starts; it is put back afterwards.
+    """
+    conf, (name, rocksdb) = stream.sparkSession.conf, _ROCKSDB
+    before = conf.get(name)
+    conf.set(name, rocksdb)
+    try:
+        query = (
+            latest_with_ttl(stream, delay, ttl_seconds).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+            .foreachBatch(lambda df, n: replace_buckets(df, path, buckets=buckets)).start()
+        )
+    finally:
+        conf.set(name, before)
+    if trigger is None:
+        query.awaitTermination()
+    return query
+
+
+def read_buckets(spark: SparkSession, path: str, key: str = "meter_id") -> DataFrame:
+    return spark.read.parquet(path).where(F.col(key).isNotNull()).drop("bucket")
+
+
 def to_table(stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Append a stateful stream to Parquet and, by default, wait until the input is used up."""
     query = (
