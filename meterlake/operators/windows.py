@@ -7,24 +7,26 @@ Three forms are used:
   per input split.
 * *flag all but the first*: ranked twice, first inside (key, input split), then
   among the winners of the splits. No group outgrows one split.
-* *row numbers, running and sliding values*: rows are range-partitioned over the cluster
-  by (key, order), which cuts a hot key into many slices; one summary row per slice and
-  key carries counts and sums from slice to slice.
+* *row numbers, running and sliding values*: the order (key, order) is cut at quantiles into
+  slices, so a hot key lies in many; one summary row per slice and key carries counts and
+  sums from slice to slice, and a window works inside its (key, slice) only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions import as_column
-from meterlake.session import shared_dir
 
 _SPLIT, _RANK = "__split", "__rank"
-_SLICE, _ROW, _POSITION = "__slice", "__row", "__position"
+_SLICE, _GROUP = "__slice", "__group"
+_DRAWN, _SEED = 40, 7  # rows drawn for each slice
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -67,75 +69,136 @@ def mark_duplicates(
     )
 
 
-# -- slices: one global order, cut into balanced pieces ------------------------
-def _slices(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
-    """Sort ``df`` over the cluster; number the slices and the rows inside each.
+# -- slices: one global order, cut at quantiles ------------------------------------------
+class Order(NamedTuple):
+    """One term of an order: ascending with nulls first, or descending with nulls last, as Spark sorts them."""
 
-    The numbering depends on where rows physically lie, so it is written to the checkpoint folder
-    once, and everything downstream reads it from there. Rows equal in ``order_by`` are
-    spread by their input split.
-    """
-    shared_dir(df.sparkSession)
-    order = [*map(as_column, order_by), F.col(_SPLIT)]
-    placed = (
-        df.withColumn(_SPLIT, F.spark_partition_id())
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn(_POSITION, F.monotonically_increasing_id())
-        .drop(_SPLIT)
-        .checkpoint()
-    )
-    # monotonically_increasing_id: partition number in the upper 31 bits, row number in the lower 33
-    return placed.withColumns({
-        _SLICE: F.shiftright(_POSITION, 33),
-        _ROW: F.col(_POSITION).bitwiseAND(F.lit((1 << 33) - 1)),
-    }).drop(_POSITION)
+    column: str | Column
+    descending: bool = False
+
+    def sort_key(self) -> Column:
+        column = as_column(self.column)
+        return column.desc() if self.descending else column.asc()
+
+
+def descending(column: str | Column) -> Order:
+    return Order(column, True)
+
+
+def _terms(order_by: Sequence[str | Column | Order]) -> list[Order]:
+    return [o if isinstance(o, Order) else Order(o) for o in order_by]
+
+
+def _comparable(term: Order, kind: T.DataType) -> Column:
+    """The term as a value whose text can be turned back into it exactly, in the same order."""
+    column = as_column(term.column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(column.cast("timestamp_ntz").cast("timestamp"))
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    if isinstance(kind, T.BooleanType):
+        return column.cast("int")
+    return column
 
 
-def _with_earlier_slices(sliced: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:
-    """Join every row with its key's ``totals`` summed over the earlier slices.
+def _literal(text: str | None, kind: str) -> str:
+    if text is None:
+        return f"CAST(NULL AS {kind})"
+    quoted = "".join(f"\\u{ord(c):04x}" if c in "'\\" or not c.isprintable() else c for c in text)
+    return f"CAST('{quoted}' AS {kind})"
 
-    The summary holds one row per (key, slice); a key has at most as many rows in it as there are slices.
+
+def _at_or_after(names: Sequence[str], descending: Sequence[bool], bound: Sequence[str | None], kinds: Sequence[str]) -> str:
+    """SQL: the row does not stand before ``bound`` in the order."""
+    condition = "true"
+    for name, down, text, kind in list(zip(names, descending, bound, kinds, strict=True))[::-1]:
+        value = _literal(text, kind)
+        if text is None:  # nulls are the least value: first when ascending, last when descending
+            beyond = "false" if down else f"{name} IS NOT NULL"
+        else:
+            beyond = f"({name} < {value} OR {name} IS NULL)" if down else f"coalesce({name} > {value}, false)"
+        condition = f"({beyond} OR ({name} <=> {value} AND {condition}))"
+    return condition
+
+
+def _search(bounds: Sequence[str], first: int = 0) -> str:
+    """SQL: how many bounds a row stands at or after, by halving."""
+    if not bounds:
+        return str(first)
+    middle = len(bounds) // 2
+    return f"CASE WHEN {bounds[middle]} THEN {_search(bounds[middle + 1:], first + middle + 1)} ELSE {_search(bounds[:middle], first)} END"
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column | Order], slices: int | None = None) -> DataFrame:
+    """``df`` with the number of the slice each row lies in, in the order (keys, order_by).
+
+    Slices are cut at quantiles of a random draw of rows, _DRAWN for each slice, which decide how even the slices are and nothing else; a hot key is cut like any other range. Only columns of
+    the order are read for the draw, and a slice follows from a row's own values, so a task that is run again puts its rows where they were. Rows equal in the whole order share a slice.
+    ``slices`` is the session's number of shuffle partitions unless given.
+    """
+    spark = df.sparkSession
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    terms = _terms([*keys, *order_by])
+    names = [f"__o{i}" for i in range(len(terms))]
+    kinds = df.select(*[as_column(t.column).alias(n) for t, n in zip(terms, names)]).schema
+    placed = df.withColumns({n: _comparable(t, kinds[n].dataType) for t, n in zip(terms, names)})
+    types = [placed.schema[n].dataType.simpleString() for n in names]
+    down = [t.descending for t in terms]
+    drawn = placed.select(*names).orderBy(F.rand(_SEED)).limit(_DRAWN * slices)
+    ordered = drawn.orderBy(*[Order(n, d).sort_key() for n, d in zip(names, down)]).select(*[F.col(n).cast("string") for n in names]).collect()  # _DRAWN * slices short rows
+    cuts = list(dict.fromkeys(tuple(ordered[len(ordered) * i // slices]) for i in range(1, slices))) if ordered else []
+    place = _search([_at_or_after(names, down, cut, types) for cut in cuts])
+    return placed.withColumn(_SLICE, F.expr(place)).drop(*names)
+
+
+def _groups(sliced: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """With ``__group``, a hash of the keys without nulls, so that a join and a window on (slice, group) share one shuffle."""
+    return sliced.withColumn(_GROUP, F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")), [_SLICE, _GROUP, *keys]
+
+
+def _with_earlier_slices(sliced: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> tuple[DataFrame, list[str]]:
+    """Every row with its key's ``totals`` over the earlier slices, and the columns that name a row's group.
+
+    One row per (key, slice) is summed over the slices of a key; without keys these are as many rows as there are slices.
     """
-    per_slice = sliced.groupBy(*keys, _SLICE).agg(
-        F.min(_ROW).alias("__first"), *[c.alias(name) for name, c in totals.items()])
-    order = W.partitionBy(*keys) if keys else W.partitionBy()
-    earlier = order.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    rows, group = _groups(sliced, keys)
+    per_slice = rows.groupBy(*group).agg(*[c.alias(name) for name, c in totals.items()])
+    earlier = W.partitionBy(_GROUP, *keys) if keys else W.partitionBy()
+    earlier = earlier.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     summary = per_slice.select(
-        F.col(_SLICE).alias("__s"), "__first", *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[F.sum(name).over(earlier).alias(name) for name in totals],
-    )
-    match = F.col(_SLICE) == F.col("__s")
+        F.col(_SLICE).alias("__s"), F.col(_GROUP).alias("__g"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.sum(name).over(earlier).alias(name) for name in totals])
+    match = (F.col(_SLICE) == F.col("__s")) & (F.col(_GROUP) == F.col("__g"))
     for i, key in enumerate(keys):
         match = match & F.col(key).eqNullSafe(F.col(f"__k{i}"))
-    return sliced.join(summary, match)
+    return rows.join(summary, match).drop("__s", "__g", *[f"__k{i}" for i in range(len(keys))]), group
 
 
 def row_number_per_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], name: str = "row_number",
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column | Order], name: str = "row_number", slices: int | None = None,
 ) -> DataFrame:
     """``row_number`` over (keys, order) whose work is spread evenly, however the keys are distributed.
 
     With no keys this numbers the whole table without a single-task sort.
     """
-    sliced = _slices(df, [*keys, *order_by])
-    placed = _with_earlier_slices(sliced, keys, {"__before": F.count("*")})
-    number = F.coalesce(F.col("__before"), F.lit(0)) + F.col(_ROW) - F.col("__first") + 1
+    placed, group = _with_earlier_slices(_sliced(df, keys, order_by, slices), keys, {"__before": F.count("*")})
+    here = W.partitionBy(*group).orderBy(*[t.sort_key() for t in _terms(order_by)])
+    number = F.coalesce(F.col("__before"), F.lit(0)) + F.row_number().over(here)
     return placed.select(*df.columns, number.alias(name))
 
 
-def sequence_number(df: DataFrame, order_by: Sequence[str | Column], name: str = "sequence_number") -> DataFrame:
+def sequence_number(df: DataFrame, order_by: Sequence[str | Column | Order], name: str = "sequence_number") -> DataFrame:
     """Number all rows 1, 2, 3, ... in ``order_by``."""
     return row_number_per_key(df, [], order_by, name)
 
 
 def running_sum(
-    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str, name: str = "running_total",
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column | Order], value: str, name: str = "running_total", slices: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to and including this one."""
-    sliced = _slices(df, [*partition_by, *order_by])
-    placed = _with_earlier_slices(sliced, partition_by, {"__before": F.sum(value)})
-    here = W.partitionBy(*partition_by, _SLICE).orderBy(_ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed, group = _with_earlier_slices(_sliced(df, partition_by, order_by, slices), partition_by, {"__before": F.sum(value)})
+    here = W.partitionBy(*group).orderBy(*[t.sort_key() for t in _terms(order_by)]).rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = F.sum(value).over(here)
     total = F.coalesce(F.col("__before") + inside, inside, F.col("__before"))
     return placed.select(*df.columns, total.alias(name))
@@ -143,26 +206,26 @@ def running_sum(
 
 def recent_average(
     df: DataFrame, key: str, ts: str, value: str, n: int, tie_break: Sequence[str] = (),
-    name: str = "recent_average", block_rows: int = 100_000,
+    name: str = "recent_average", slices: int | None = None,
 ) -> DataFrame:
     """Average of ``value`` over the ``n`` rows of the key before this one; NULL for the first row.
 
-    Rows are numbered per key and cut into blocks of ``block_rows``, whose size changes the work of a task, not the result. A block borrows the last ``n`` rows of
-    the block before it, so a window never needs more than its own group.
+    A slice borrows the last ``n`` rows of its key that lie in earlier slices; no window needs more than its own group.
     """
-    block_rows = max(block_rows, n)
-    numbered = row_number_per_key(df, [key], [ts, *tie_break], _POSITION)
-    offset = F.col(_POSITION) - 1
-    block = F.floor(offset / block_rows).cast("bigint")
-    is_lent = F.pmod(offset, F.lit(block_rows)) >= block_rows - n
-    blocks = numbered.withColumn("__home", block).withColumn(
-        "__block", F.explode(F.when(is_lent, F.array("__home", F.col("__home") + 1)).otherwise(F.array("__home"))))
-    previous = W.partitionBy(key, "__block").orderBy(_POSITION).rowsBetween(-n, -1)
-    return (
-        blocks.withColumn(name, F.avg(value).over(previous))
-        .where(F.col("__block") == F.col("__home"))
-        .select(*df.columns, name)
-    )
+    order = [ts, *tie_break]
+    rows, group = _groups(_sliced(df, [key], order, slices), [key])
+    last = W.partitionBy(*group).orderBy(*[Order(c, True).sort_key() for c in order])
+    ends = rows.select(*group, value, *[c for c in order if c not in (value, *group)]).withColumn("__back", F.row_number().over(last)).where(F.col("__back") <= n)
+    # the values in order; a key has at least one row in each slice listed, so the n slices before hold all that can matter
+    tail = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("__back")).alias("at"), F.col(value).alias("v")))), lambda r: r["v"])
+    tails = ends.groupBy(*group).agg(tail.alias("__tail"))
+    before = W.partitionBy(_GROUP, key).orderBy(_SLICE).rowsBetween(-n, -1)
+    lent = F.flatten(F.collect_list("__tail").over(before))
+    lent = tails.withColumn("__lent", F.slice(lent, F.greatest(F.size(lent) - n + 1, F.lit(1)), n)).select(*group, F.posexplode("__lent").alias("__at", value))
+    both = rows.withColumn("__at", F.lit(None).cast("int")).unionByName(lent, allowMissingColumns=True)
+    own = F.col("__at").isNull()
+    previous = W.partitionBy(*group).orderBy(own, "__at", *order).rowsBetween(-n, -1)
+    return both.withColumn(name, F.avg(value).over(previous)).where(own).select(*df.columns, name)
 
 
 def recent_avg_anomaly(

@@ -412,6 +412,9 @@ ORACLE: dict[str, str] = {
         CAST(CAST(g.day AS DATE) AS VARCHAR) AS full_date, CAST({_date_id('g.day')} AS BIGINT) AS date_id, isodow(g.day) >= 6 AS is_weekend
         FROM dim_customer JOIN (SELECT unnest(generate_series(min(signup_date)::TIMESTAMP, max(signup_date + household_size * 7)::TIMESTAMP, INTERVAL 1 DAY)) AS day FROM dim_customer) g
         ON g.day BETWEEN signup_date AND signup_date + household_size * 7"""),
+    "range_join_times": sql(f"""SELECT h.event_id AS heartbeat_id, r.event_id, strftime(r.event_timestamp, {_STAMP}) AS event_timestamp FROM readings h JOIN readings r
+        ON r.region_name = h.region_name AND r.event_timestamp BETWEEN h.event_timestamp AND h.event_timestamp + to_minutes(CAST(h.n % 7 * 10 AS INTEGER))
+        WHERE h.event_type = 'heartbeat' AND r.event_type <> 'heartbeat'"""),
     "meter_slots": sql(f"""SELECT meter_id, CAST(slot_number AS BIGINT) AS slot_number,
         strftime(TIMESTAMP '2026-01-14' + to_hours(CAST((slot_number - 1) * 4 AS INTEGER)), {_STAMP}) AS event_timestamp,
         'READ-' || meter_id || '-0' || slot_number AS reading_id FROM (SELECT meter_id, unnest([1, 2, 3, 4, 5, 6]) AS slot_number FROM dim_meter)"""),
@@ -638,6 +641,9 @@ ORACLE: dict[str, str] = {
     "reject_unstorable_kwh": sql("""SELECT event_id, CASE WHEN n % 59 = 0 THEN '1e300' WHEN n % 61 = 0 THEN '1e12' ELSE 'Infinity' END AS kwh,
         'Missing or invalid kwh' AS rejection_reason FROM readings WHERE n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0"""),
     "csv_reordered_header": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
+    "csv_quoted_header": _rows("dirty", "source_file batch_id meter_id customer_id region_name reading_timestamp kwh ingestion_timestamp"),
+    "csv_multiline": sql("""SELECT meter_id, customer_id || chr(10) || 'second, line' || CASE WHEN region_id > 2 THEN chr(10) ELSE '' END AS customer_id, meter_type, CAST(NULL AS VARCHAR) AS corrupt_record
+        FROM dim_meter"""),
     "csv_surplus_fields": sql("""SELECT meter_id || ',' || customer_id || ',EUROPE,smart,2020-01-01,true,too much' AS corrupt_record FROM dim_meter"""),
     "rejected_metadata": sql("""SELECT 'bronze_customers' AS source_system, 'customers:' || CASE WHEN k % 53 = 0 THEN 'missing_customer_id' ELSE customer_id END AS source_reference,
         concat_ws('; ', CASE WHEN k % 53 = 0 THEN 'Missing customer_id' END, CASE WHEN k % 11 = 0 THEN 'Invalid signup_date' END) AS rejection_reason

@@ -290,6 +290,16 @@ def range_join(s, d):
     return joins.range_join(active, days.select("full_date", "date_id", "is_weekend"), "full_date", "signup_date", "trial_end")
 
 
+@query
+def range_join_times(s, d):
+    """Readings within up to an hour after each heartbeat in the same region, by time."""
+    r = tables.readings(s, d)
+    quiet = r.where(F.col("event_type") == "heartbeat").select(
+        F.col("event_id").alias("heartbeat_id"), "region_name", F.col("event_timestamp").alias("watch_from"), (F.col("event_timestamp") + F.make_dt_interval(mins=F.col("n") % 7 * 10)).alias("watch_to"))
+    others = r.where(F.col("event_type") != "heartbeat").select("region_name", "event_id", "event_timestamp")
+    return joins.range_join_times(quiet, others, "event_timestamp", "watch_from", "watch_to", ["region_name"]).select("heartbeat_id", "event_id", "event_timestamp")
+
+
 @query
 def meter_slots(s, d):
     slots = joins.with_slots(tables.star(s, d)["dim_meter"].select("meter_id"), 6)
@@ -336,7 +346,7 @@ def surrogate_keys(s, d):
     """Meter types get keys after those of the two types known already."""
     parts = tables.read(s, d, "part")
     known = parts.where(F.col("p_type") < "M").select("p_type").distinct()
-    existing = windows.sequence_number(known, [F.desc("p_type")], "type_id")
+    existing = windows.sequence_number(known, [windows.descending("p_type")], "type_id")
     return dimensions.assign_keys(parts.select("p_type"), "p_type", existing, "type_id")
 
 
@@ -861,15 +871,35 @@ def csv_reordered_header(s, d):
 
 @query
 def csv_surplus_fields(s, d):
-    """Rows with one field more than their header stay as text."""
+    """Rows with one field more than their header stay as text. Every part file has the header line."""
     path = scratch_path(s, "csv")
     meters = tables.dim_meter(s, d)
-    line = F.concat_ws(",", "meter_id", "customer_id", F.lit("EUROPE"), F.lit("smart"), F.lit("2020-01-01"), F.lit("true"), F.lit("too much"))
-    head = s.range(1).select(F.lit(",".join(schemas.BRONZE_METER.names)).alias("value"))
-    head.unionByName(meters.select(line.alias("value"))).coalesce(1).write.text(f"{path}/meters.csv")
+    late = [F.lit(v).alias(n) for n, v in (("region_name", "EUROPE"), ("meter_type", "smart"), ("installation_date", "2020-01-01"))]
+    rows = meters.select("meter_id", "customer_id", *late, F.lit("true,too much").alias("is_active"))
+    rows.select(*schemas.BRONZE_METER.names).write.option("header", True).option("quote", "").csv(f"{path}/meters.csv")
     return readers.read_csv_file(s, f"{path}/meters.csv", schemas.BRONZE_METER).select(schemas.CORRUPT)
 
 
+@query
+def csv_quoted_header(s, d):
+    """A header and values in quotes."""
+    path = scratch_path(s, "csv")
+    raw = tables.dirty_consumption(s, d).select(*schemas.BRONZE_CONSUMPTION.names)
+    writer = raw.write.option("header", True).option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
+    return readers.read_csv_tree(s, path, schemas.BRONZE_CONSUMPTION).drop(schemas.CORRUPT)
+
+
+@query
+def csv_multiline(s, d):
+    """Quoted values with line breaks and commas in them."""
+    path = scratch_path(s, "csv")
+    meters = tables.dim_meter(s, d).select("meter_id", F.concat("customer_id", F.lit("\nsecond, line"), F.when(F.col("region_id") > 2, "\n").otherwise("")).alias("customer_id"),
+                                           F.lit("EUROPE").alias("region_name"), "meter_type", F.col("installation_date").cast("string").alias("installation_date"), F.lit("true").alias("is_active"))
+    meters.select(*schemas.BRONZE_METER.names).write.option("header", True).option("quoteAll", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_csv_tree(s, path, schemas.BRONZE_METER, multi_line=True).select("meter_id", "customer_id", "meter_type", schemas.CORRUPT)
+
+
 @query
 def reject_unstorable_kwh(s, d):
     """Values no fact can hold are rejected, not a failed job."""

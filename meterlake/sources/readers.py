@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,50 +23,70 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
-def _by_header(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """CSV lines (value, file) as typed columns, each file read by its own header.
-
-    A header is a line most of whose fields are columns of the schema. Columns a file lacks are NULL, columns the schema lacks are left
-    out, a value that does not fit its type is NULL. A row with another number of fields than its header keeps its text in
-    ``corrupt_record``. The distinct headers, a handful, are found first; the rows are then parsed in one pass.
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file, read from its first block only; None if the file is empty."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, jvm.java.nio.charset.StandardCharsets.UTF_8)).readLine()
+    finally:
+        stream.close()
+
+
+def _by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the names in their header line. One line of each file is looked at, several files at a time; what is kept is one list of names for each distinct header."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        lines = pool.map(lambda f: _first_line(spark, f), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line is not None:
+            names = next(csv.reader([line.removeprefix("\ufeff")], escapechar="\\"), [])
+            groups.setdefault(tuple(n.strip() for n in names), []).append(file)
+    return groups
+
+
+def _read_csv(spark: SparkSession, files: Sequence[str], schema: T.StructType, multi_line: bool) -> DataFrame:
+    """CSV files as typed columns, each read by its own header with the engine's CSV reader: one scan for all files of a header.
+
+    Columns a file lacks are NULL, columns the schema lacks are left out, a value that does not fit its type is NULL. A row with another number of fields than its header keeps its text in
+    ``corrupt_record`` and has no values; so does every row of a file whose header names no column of the schema.
+    """
+    frames = []
+    for header, own in _by_header(spark, files).items():
+        known = [n if n in schema.names and n not in header[:i] else f"__extra_{i}" for i, n in enumerate(header)]
+        corrupt = F.col(schemas.CORRUPT)
+        if not set(known) & set(schema.names):
+            rows = spark.read.text(own).withColumnRenamed("value", schemas.CORRUPT)
+        else:
+            fields = [T.StructField(n, T.StringType()) for n in [*known, schemas.CORRUPT]]
+            rows = spark.read.schema(T.StructType(fields)).options(header=True, multiLine=multi_line, columnNameOfCorruptRecord=schemas.CORRUPT, recursiveFileLookup=True).csv(own)
+        values = [F.when(corrupt.isNull(), F.col(f.name).try_cast(f.dataType)) if f.name in rows.columns else F.lit(None).cast(f.dataType) for f in schema]
+        beside = next((f for f in schema.names if f in rows.columns), None)  # the reader gives the raw text only along with a column
+        text = corrupt if beside is None else F.when(F.coalesce(F.length(beside), F.lit(0)) >= 0, corrupt)
+        frames.append(rows.select(*[v.alias(n) for v, n in zip(values, schema.names, strict=True)], text.alias(schemas.CORRUPT)))
+    empty = T.StructType([*schema, T.StructField(schemas.CORRUPT, T.StringType())])
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], empty)
+
+
+def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """All ``*.csv`` files below ``root`` by their headers, with ``corrupt_record``. Folder names such as ``year=2024`` do not become columns.
+
+    ``multi_line`` allows line breaks inside quotes; such a file is not split among tasks.
     """
-    names = F.array(*[F.lit(n) for n in schema.names])
-    fields = F.transform(F.split(F.ltrim(F.regexp_replace("value", "^\ufeff", "")), ","), lambda f: F.trim(f))
-    is_header = F.size(F.array_intersect(fields, names)) * 2 > F.size(fields)
-    heads = lines.where(is_header).groupBy("file").agg(F.min(F.struct(F.length("value").alias("n"), F.concat_ws(",", fields).alias("header")))["header"].alias("header"))
-    known = [r["header"] for r in heads.select("header").distinct().collect()]
-    rows = lines.where(~is_header & (F.length("value") > 0)).join(heads, "file", "left")
-    text = F.lit(None).cast(T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, schemas.CORRUPT]]))
-    for header in known:
-        columns = [f if f in schema.names else f"__extra_{i}" for i, f in enumerate(header.split(","))]
-        ddl = ", ".join(f"`{c}` string" for c in [*columns, schemas.CORRUPT])
-        # one field more than the header has shows a row that is too long
-        parsed = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
-        own = [(parsed[n] if n in columns else F.lit(None).cast("string")).alias(n) for n in schema.names]
-        text = F.when(F.col("header") == header, F.struct(*own, parsed[schemas.CORRUPT].alias(schemas.CORRUPT))).otherwise(text)
-    typed = [F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema]
-    return rows.select("value", text.alias("r")).select(*typed, F.when(F.col("r").isNull(), F.col("value")).otherwise(F.col(f"r.{schemas.CORRUPT}")).alias(schemas.CORRUPT))
-
-
-def _lines(reader, path: str) -> DataFrame:
-    return reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-
-
-def read_csv_tree(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """All ``*.csv`` files below ``root`` by their headers, with ``corrupt_record``. Folder names such as ``year=2024`` do not become columns."""
     if not exists(spark, root):
         raise FileNotFoundError(f"no such folder: {root}")
-    lines = _lines(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"), root)
-    if not lines.inputFiles():
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root).inputFiles()
+    if not files:
         raise FileNotFoundError(f"no CSV file below {root}")
-    return _by_header(lines, schema)
+    return _read_csv(spark, files, schema, multi_line)
 
 
-def read_csv_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_file(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """One CSV file, or a folder of its parts, by header, with ``corrupt_record``."""
     if not exists(spark, path):
         raise FileNotFoundError(f"no such file: {path}")
-    return _by_header(_lines(spark.read, path), schema)
+    return _read_csv(spark, spark.read.text(path).inputFiles(), schema, multi_line)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -67,7 +67,7 @@ def test_sequence_number_is_dense_and_ordered(skewed):
 
 
 def test_a_hot_key_is_cut_into_slices(skewed):
-    sizes = windows._slices(skewed, ["key", "ts", "id"]).where("key = 'hot'").groupBy("__slice").count().collect()
+    sizes = windows._sliced(skewed, ["key"], ["ts", "id"]).where("key = 'hot'").groupBy("__slice").count().collect()
     assert len(sizes) > 3 and max(r["count"] for r in sizes) < 1000
 
 
@@ -81,10 +81,33 @@ def test_running_sum(skewed):
             assert r["total"] == total
 
 
-@pytest.mark.parametrize("n, block_rows", [(3, 100_000), (3, 4), (5, 5), (7, 2)])
-def test_recent_average_crosses_blocks(skewed, n, block_rows):
+ORDERS = [[windows.descending("a"), "b"], [windows.descending("t"), windows.descending("a"), "b"], ["t", "b"], ["d", "f", "b"], ["a % 3", "s", "b"], ["y", "b"], ["o", windows.descending("n"), "b"]]
+
+
+@pytest.mark.parametrize("order", ORDERS, ids=str)
+@pytest.mark.parametrize("slices", [1, 7, 60])
+def test_numbers_follow_the_order_of_any_type(spark, order, slices):
+    order = [F.expr(o) if isinstance(o, str) else o for o in order]
+    rows = spark.range(300).selectExpr(
+        "id as b", "if(id % 11 = 0, null, id % 17) as a", "if(id % 7 = 0, null, timestamp_micros(id * 977 % 50 * 1000001)) as t", "date_add(date'2024-01-01', int(id % 5)) as d",
+        "if(id % 9 = 0, double('NaN'), if(id % 13 = 0, null, (id % 4 - 2) / 3)) as f", "concat('it''s \\\\ é\\n', id % 6) as s", "binary(string(id % 9)) as y", "id % 2 = 0 as o", "cast(id % 8 as decimal(12,4)) as n")
+    numbered = windows.sequence_number(rows, order, "number").select("b", "number") if slices == 1 else windows.row_number_per_key(rows, [], order, "number", slices).select("b", "number")
+    keys = [o.sort_key() if isinstance(o, windows.Order) else o for o in order]
+    assert [r["b"] for r in numbered.orderBy("number").collect()] == [r["b"] for r in rows.orderBy(*keys).collect()]
+    assert [r["number"] for r in numbered.orderBy("number").collect()] == list(range(1, 301))
+
+
+def test_windows_do_not_store_their_input(spark, tmp_path):
+    from pathlib import Path
+
+    code = "".join(p.read_text() for p in Path(windows.__file__).parent.glob("*.py"))
+    assert "checkpoint(" not in code
+
+
+@pytest.mark.parametrize("n, slices", [(3, 1), (3, 400), (5, 8), (7, 1_000)])
+def test_recent_average_crosses_slices(skewed, n, slices):
     distinct = skewed.dropDuplicates()
-    got = windows.recent_average(distinct, "key", "ts", "value", n, ["id"], block_rows=block_rows).collect()
+    got = windows.recent_average(distinct, "key", "ts", "value", n, ["id"], slices=slices).collect()
     assert len(got) == distinct.count()
     for rows in by_key(got).values():
         for i, r in enumerate(rows):
