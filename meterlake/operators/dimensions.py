@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake import schemas
@@ -13,7 +14,7 @@ from meterlake.functions import (
 )
 from meterlake.operators.aggregates import union_all
 from meterlake.operators.joins import insert_missing, lookup
-from meterlake.operators.windows import distinct_by, sequence_number
+from meterlake.operators.windows import distinct_by, first_per_key, sequence_number
 
 
 def date_spine(spark: SparkSession, start: str, end: str, name: str = "full_date") -> DataFrame:
@@ -53,27 +54,67 @@ def dim_region(customers: DataFrame, existing: DataFrame | None = None) -> DataF
     return assign_keys(rows, "region_name", existing, "region_id").join(rows, "region_name")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], preserve: Sequence[str] = ()) -> DataFrame:
-    """Type-1 upsert: source rows replace target rows of their key, the others stay.
+def one_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """The source with each key once: the first row in ``order_by``; without an order a repeated key fails the job."""
+    if order_by is not None:
+        return first_per_key(source, keys, order_by)
+    rest = F.struct(*[c for c in source.columns if c not in keys]) if len(source.columns) > len(keys) else F.struct(F.lit(0).alias("__none"))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    # the check decides which row is used, so no plan can leave it out
+    row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(F.concat(F.lit("repeated source key: "), shown)))
+    once = source.groupBy(*keys).agg(F.count("*").alias("__n"), F.any_value(rest).alias("__row"))
+    return once.select(*keys, row.alias("__row")).select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in source.columns])
 
-    ``preserve`` columns (a creation time, say) keep the target's value where there is one.
-    The result is a new table; write it to a new path, never over the one being read.
+
+def row_changes(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], preserve: Sequence[str] = (), order_by: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """The source rows as the target would hold them, with ``change``: ``insert``, ``update`` or ``same``.
+
+    A repeated source key is an error, or its first row in ``order_by`` counts. NULL keys are keys like others. ``preserve`` columns (a creation time, say) keep the target's value where there is one and don't make
+    a change. Columns the source lacks keep the target's value.
     """
+    new = one_per_key(source, keys, order_by)
     old = target.select(*[F.col(c).alias(f"__old_{c}") for c in target.columns], F.lit(True).alias("__in_target"))
-    new = source.withColumn("__in_source", F.lit(True))
-    match = [F.col(k) == F.col(f"__old_{k}") for k in keys]
-    joined = new.join(old, match, "full")
-    from_source = F.coalesce("__in_source", F.lit(False))
+    joined = new.join(old, [F.col(k).eqNullSafe(F.col(f"__old_{k}")) for k in keys], "left")
 
-    def pick(column: str):
+    def value(column: str) -> Column:
         before = F.col(f"__old_{column}")
         if column not in source.columns:
-            return before.alias(column)
-        if column in preserve:
-            return F.coalesce(before, F.col(column)).alias(column)
-        return F.when(from_source, F.col(column)).otherwise(before).alias(column)
+            return before
+        return F.coalesce(before, F.col(column)) if column in preserve else F.col(column).cast(target.schema[column].dataType)
+
+    compared = [c for c in target.columns if c not in keys and c not in preserve and c in source.columns]
+    differs = reduce(lambda a, b: a | b, [~value(c).eqNullSafe(F.col(f"__old_{c}")) for c in compared], F.lit(False))
+    change = F.when(F.col("__in_target").isNull(), "insert").when(differs, "update").otherwise("same")
+    return joined.select(*[value(c).alias(c) for c in target.columns], change.alias("change"))
+
+
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], preserve: Sequence[str] = (), order_by: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """Type-1 upsert: source rows replace target rows of their key, the others stay. See ``row_changes``.
 
-    return joined.select(*[pick(c) for c in target.columns])
+    The result is a new table; write it to a new path, never over the one being read. ``sinks.replace_buckets`` with the changes that are not ``same`` writes only the buckets they touch.
+    """
+    changed = row_changes(target, source, keys, preserve, order_by).drop("change")
+    own = source.select(*[F.col(k).alias(f"__key_{k}") for k in keys])
+    return target.join(own, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys], "left_anti").unionByName(changed)
+
+
+def record_history(history: DataFrame, source: DataFrame, keys: Sequence[str], at: str | Column, order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """Type-2 history after ``source`` was seen at time ``at``: rows with ``valid_from`` and ``valid_to`` (NULL: still valid).
+
+    A changed row closes the valid one of its key and opens another; a row that is the same leaves it; keys the source lacks stay valid. Seeing the same source again at the same or a later time changes nothing.
+    """
+    at = (F.lit(at) if isinstance(at, str) else at).cast("timestamp")
+    spans = ["valid_from", "valid_to"]
+    valid, closed = history.where(F.col("valid_to").isNull()), history.where(F.col("valid_to").isNotNull())
+    changed = row_changes(valid.drop(*spans), source, keys, order_by=order_by).where(F.col("change") != "same")
+    ended = changed.where(F.col("change") == "update").select(*[F.col(k).alias(f"__key_{k}") for k in keys], F.lit(True).alias("__ended"))
+    current = valid.join(ended, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys], "left").withColumn("valid_to", F.when(F.col("__ended"), at)).select(*history.columns)
+    opened = changed.drop("change").withColumns({"valid_from": at, "valid_to": F.lit(None).cast("timestamp")}).select(*history.columns)
+    return union_all([closed, current, opened])
 
 
 def replace_batch(target: DataFrame, rows: DataFrame, batch_id: str, column: str = "batch_id") -> DataFrame:

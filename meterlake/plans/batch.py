@@ -140,8 +140,10 @@ def _highest_id(spark: SparkSession, facts: str, batch_id: str) -> Column:
     return others.agg(F.coalesce(F.max("consumption_id"), F.lit(0))).scalar()
 
 
-def warehouse_checks(tables: dict[str, DataFrame]) -> list:
+def warehouse_checks(tables: dict[str, DataFrame], run: Column | None = None) -> list:
+    """The gate's checks; with the log among the tables, also that it holds the record of this very run (``pipeline_run_id``)."""
     name = "fact_energy_consumption"
+    recorded = F.when(F.count_if(F.col("pipeline_run_id") == run) > 0, 0).otherwise(1) if run is not None else F.when(F.count("*") > 0, 0).otherwise(1)
     return [
         quality.has_rows(f"{name}_has_rows", "fact_consumption"),
         quality.no_row_where(f"{name}_no_negative_kwh", "fact_consumption", F.col("kwh") < 0),
@@ -150,7 +152,7 @@ def warehouse_checks(tables: dict[str, DataFrame]) -> list:
         *[quality.no_orphans(f"{name}_no_missing_{d}_reference", "fact_consumption", tables["fact_consumption"], tables[f"dim_{d}"], f"{d}_id", f"{d}_id")
           for d in ("region", "customer", "meter", "tariff", "date")],
         *([quality.no_duplicates("fact_meter_reading_no_duplicate_reading_id", "fact_reading", tables["fact_reading"], ["reading_id"])] if "fact_reading" in tables else []),
-        *([quality.has_rows("monitoring_pipeline_run_record_exists", "pipeline_run")] if "pipeline_run" in tables else []),
+        *([quality.Check("monitoring_pipeline_run_record_exists", "pipeline_run", recorded)] if "pipeline_run" in tables else []),
     ]
 
 
@@ -171,7 +173,7 @@ def run_batch(
         return _run_layers(spark, bronze, root, batch_id, regions, as_of, gated, facts, previous)
     _record(runlog.run_started(spark, pipeline, batch_id, as_of), log, f"{batch_id}-running")
     try:
-        result = _run_layers(spark, bronze, root, batch_id, regions, as_of, False, facts, previous, log)
+        result = _run_layers(spark, bronze, root, batch_id, regions, as_of, False, facts, previous, log, pipeline)
         write_batch(result.checks.drop("batch_id"), f"{log}/quality_check", batch_id)
         if gated:
             quality.gate(result.checks)
@@ -195,7 +197,7 @@ def _record(state: DataFrame, log: str, name: str) -> None:
 
 def _run_layers(
     spark: SparkSession, bronze: str, root: str, batch_id: str, regions: Sequence[str], as_of: str | None, gated: bool,
-    facts: str | None, previous: Mapping[str, DataFrame] | None, log: str | None = None,
+    facts: str | None, previous: Mapping[str, DataFrame] | None, log: str | None = None, pipeline: str = "",
 ) -> Result:
     store = _Store(spark, root)
     silver = bronze_to_silver(spark, bronze.rstrip("/"), store, regions, as_of)
@@ -203,7 +205,7 @@ def _run_layers(
     warehouse = load_warehouse(silver, gold, store, batch_id, facts or store.path("warehouse/fact_consumption"), previous or {}, as_of)
     logged = {"pipeline_run": spark.read.schema(_log_schema(spark)).parquet(f"{log}/pipeline_run")} if log else {}
     checked = {**warehouse, **logged}
-    checks = store.save("warehouse/quality_check", quality.run_checks(checked, warehouse_checks(checked), batch_id, as_of))
+    checks = store.save("warehouse/quality_check", quality.run_checks(checked, warehouse_checks(checked, runlog.run_id(pipeline, batch_id)), batch_id, as_of))
     if gated:
         quality.gate(checks)
     return Result({**silver, **gold, **warehouse}, store.counts, checks)

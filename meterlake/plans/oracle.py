@@ -434,6 +434,12 @@ ORACLE: dict[str, str] = {
     "upsert_dim": sql(f"""SELECT customer_id, customer_segment, CAST(household_size + CASE WHEN is_active THEN 1 ELSE 0 END AS BIGINT) AS household_size, is_active,
         CASE WHEN customer_segment <> 'Public Sector' THEN '2023-01-01 00:00:00' ELSE '{AS_OF}' END AS created_at
         FROM dim_customer WHERE customer_segment <> 'Public Sector' OR is_active"""),
+    "upsert_changes": sql(f"""SELECT customer_id, customer_segment, CAST(household_size + CASE WHEN is_active THEN 1 ELSE 0 END AS BIGINT) AS household_size, is_active,
+        CASE WHEN customer_segment <> 'Public Sector' THEN '2023-01-01 00:00:00' ELSE '{AS_OF}' END AS created_at
+        FROM dim_customer WHERE customer_segment <> 'Public Sector' OR is_active"""),
+    "dim_history": sql(f"""SELECT customer_id, customer_segment, CAST(household_size AS BIGINT) AS household_size, is_active, '2023-01-01 00:00:00' AS valid_from,
+        CASE WHEN is_active THEN '{AS_OF}' END AS valid_to FROM dim_customer WHERE customer_segment <> 'Public Sector'
+        UNION ALL SELECT customer_id, customer_segment, CAST(household_size + 1 AS BIGINT), is_active, '{AS_OF}', NULL FROM dim_customer WHERE is_active"""),
     "insert_missing": sql("SELECT reading_id, meter_id, CAST(CASE WHEN event_type = 'reading' THEN 0 ELSE kwh END AS DOUBLE) AS kwh FROM fact_reading"),
     "consumption_fact": sql(f"""SELECT meter_id, customer_id, CAST(region_id AS BIGINT) AS region_id, tariff_id, CAST({_date_id('reading_date')} AS BIGINT) AS date_id,
         CAST(reading_date AS VARCHAR) || ' 23:59:59' AS reading_timestamp, CAST(kwh AS DOUBLE) AS kwh,
@@ -632,6 +638,8 @@ ORACLE: dict[str, str] = {
         ('fact_energy_consumption_no_missing_tariff_reference'), ('fact_energy_consumption_no_missing_date_reference')) AS v (check_name)"""),
     "stream_fact_readings": sql(f"""SELECT event_id AS reading_id, meter_id, CAST(r.region_id AS BIGINT) AS region_id, CAST({_date_id('event_timestamp')} AS BIGINT) AS date_id,
         strftime(event_timestamp, {_STAMP}) AS event_timestamp, kwh, coalesce(nullif(voltage, 0), 230) AS voltage FROM good_events g JOIN dim_region r ON r.region_name = g.region_name WHERE g.region_name <> 'ASIA'"""),
+    "stream_fact_incremental": sql(f"""SELECT event_id AS reading_id, meter_id, CAST(r.region_id AS BIGINT) AS region_id, CAST({_date_id('event_timestamp')} AS BIGINT) AS date_id,
+        strftime(event_timestamp, {_STAMP}) AS event_timestamp, kwh, coalesce(nullif(voltage, 0), 230) AS voltage FROM good_events g JOIN dim_region r ON r.region_name = g.region_name WHERE g.region_name <> 'ASIA'"""),
     "stream_fact_anomalies": sql("""SELECT 'anom_' || event_id AS anomaly_id, meter_id, CAST(r.region_id AS BIGINT) AS region_id,
         CASE WHEN event_type = 'anomaly' THEN 'producer_flagged_anomaly' ELSE 'high_kwh_threshold' END AS anomaly_type, kwh
         FROM good_events g JOIN dim_region r ON r.region_name = g.region_name WHERE g.region_name <> 'ASIA' AND (event_type = 'anomaly' OR kwh > 10)"""),

@@ -358,6 +358,36 @@ def upsert_dim(s, d):
     return dimensions.upsert(target, source, ["customer_id"], preserve=["created_at"])
 
 
+def _dimension_rows(s, d):
+    """(target, source): a dimension without its public customers, and new rows of the active ones."""
+    customers = tables.dim_customer(s, d).select("customer_id", "customer_segment", "household_size", "is_active")
+    return customers.where(F.col("customer_segment") != "Public Sector"), customers.where("is_active").withColumn("household_size", F.col("household_size") + 1)
+
+
+@query
+def upsert_changes(s, d):
+    """A dimension in hash buckets; rows arrive twice, the larger household counts, and unchanged rows write nothing."""
+    path = scratch_path(s, "dim_buckets")
+    target, source = _dimension_rows(s, d)
+    target = target.withColumn("created_at", F.lit("2023-01-01").cast("timestamp"))
+    sinks.replace_buckets(target, path, ["customer_id"], 8)
+    again = source.withColumn("created_at", fn.now(AS_OF))
+    again = again.unionByName(again.withColumn("household_size", F.col("household_size") - 1))
+    for _ in range(2):  # the second time all is the same
+        changes = dimensions.row_changes(sinks.read_buckets(s, path), again, ["customer_id"], ["created_at"], [F.desc("household_size")])
+        sinks.replace_buckets(changes.where(F.col("change") != "same").drop("change"), path, ["customer_id"], 8)
+    return sinks.read_buckets(s, path)
+
+
+@query
+def dim_history(s, d):
+    """The same change as history: replaced rows are closed, new ones open; seen twice, recorded once."""
+    target, source = _dimension_rows(s, d)
+    history = target.withColumns({"valid_from": F.lit("2023-01-01").cast("timestamp"), "valid_to": F.lit(None).cast("timestamp")})
+    once = dimensions.record_history(history, source, ["customer_id"], AS_OF)
+    return dimensions.record_history(once, source, ["customer_id"], "2024-03-01 00:00:00")
+
+
 @query
 def insert_missing(s, d):
     star = tables.star(s, d)
@@ -691,6 +721,26 @@ def stream_fact_anomalies(s, d):
     return _stream_facts(s, d).anomalies.select("anomaly_id", "meter_id", "region_id", "anomaly_type", "kwh")
 
 
+@query
+def stream_fact_incremental(s, d):
+    """Four batches, loaded two by two; each load opens its own batches only, and a third finds nothing to do."""
+    def build():
+        root = scratch_path(s, "stream_new")
+        out = micro_batch.Sinks.under(f"{root}/silver")
+        known = tables.dim_region(s, d).where("region_name != 'ASIA'")
+        payloads = tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value"))
+        half = F.xxhash64("value") % 2 == 0
+        for load, rows in (("load_1", payloads.where(half)), ("load_2", payloads.where(~half))):
+            sinks.write_events(rows.repartition(2), f"{root}/landing")
+            stream = readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=1)
+            micro_batch.run_medallion(stream, out, f"{root}/checkpoint", REGIONS, AS_OF)
+            stream_load.load_new(s, out, known, f"{root}/readings", f"{root}/anomalies", f"{root}/processed", load)
+        assert stream_load.load_new(s, out, known, f"{root}/readings", f"{root}/anomalies", f"{root}/processed", "load_3") is None
+        return f"{root}/readings"
+    facts = s.read.parquet(_once(s, d, "stream_new", build))
+    return facts.select("reading_id", "meter_id", "region_id", "date_id", "event_timestamp", "kwh", "voltage")
+
+
 @query
 def stream_unknown_regions(s, d):
     return _stream_facts(s, d).unknown
@@ -800,7 +850,7 @@ def stream_latest_ttl(s, d):
         usable = events.where(F.col("event_timestamp").isNotNull() & (F.col("kwh") >= 0))
         stateful.keep_latest(usable.select("meter_id", "event_id", "event_timestamp", "event_type", "kwh"), f"{root}/data", f"{root}/checkpoint", "2 hours", 10 * 86_400, buckets=8)
         return f"{root}/data"
-    return stateful.read_buckets(s, _once(s, d, "latest_ttl", build)).select("meter_id", "event_id", "event_timestamp", "kwh")
+    return sinks.read_buckets(s, _once(s, d, "latest_ttl", build)).select("meter_id", "event_id", "event_timestamp", "kwh")
 
 
 # -- whole pipeline ------------------------------------------------------------------------------------------------------------

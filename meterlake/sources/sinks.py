@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.functions import json_payload
+from meterlake.sources.readers import exists
 
 
 def together(writes: Sequence[Callable[[], object]]) -> list:
@@ -59,6 +60,37 @@ def write_batch(df: DataFrame, path: str, batch_id: object, column: str = "batch
     df.drop(column).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
+_BUCKET, _MARK = "bucket", "__mark"
+
+
+def replace_buckets(changes: DataFrame, path: str, keys: Sequence[str], buckets: int = 64, gone: str | None = None) -> None:
+    """Apply one batch of changed rows to a table kept in hash buckets of its ``keys``; only touched buckets are written.
+
+    Rows replace those of their key; rows whose column ``gone`` is true take their key out. ``changes`` holds each key once. A bucket is replaced as a whole, so applying a batch again changes nothing. Each touched bucket also gets a
+    mark, so that it is replaced when nothing else is left in it; ``read_buckets`` leaves marks out.
+    """
+    spark = changes.sparkSession
+    placed = changes.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).withColumn(_MARK, F.lit(False)).persist()
+    try:
+        touched = placed.select(_BUCKET).distinct()
+        rows = placed if gone is None else placed.where(~F.col(gone)).drop(gone)
+        if exists(spark, path):
+            there = spark.read.schema(rows.schema).parquet(path).where(~F.col(_MARK)).join(touched, _BUCKET, "left_semi")
+            new = placed.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
+            match = [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in keys]
+            rows = there.join(new, match, "left_anti").unionByName(rows)
+        fixed = {_BUCKET: F.col(_BUCKET), _MARK: F.lit(True)}
+        mark = touched.select(*[fixed.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema])
+        out = rows.unionByName(mark).repartition(_BUCKET)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(path)
+    finally:
+        placed.unpersist()
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).where(~F.col(_MARK)).drop(_BUCKET, _MARK)
+
+
 def capture_bronze(stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Append a stream to Parquet; the checkpoint lets a restart continue where it stopped."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQueryListener
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQu
 from meterlake import schemas
 from meterlake.functions import STREAM_SEPARATOR, event_rules, exact, rejection_reason
 from meterlake.operators.cleaning import REASON, parse_events, reject_events
-from meterlake.sources.readers import exists
+from meterlake.sources.sinks import replace_buckets
 
 
 def typed_event_stream(envelopes: DataFrame) -> DataFrame:
@@ -131,35 +131,13 @@ def latest_with_ttl(stream: DataFrame, delay: str, ttl_seconds: int, ts: str = "
     return changes.select(F.col("meter_id").alias(key), F.from_json("row", fields).alias("r"), "expired").select(key, "r.*", "expired")
 
 
-def replace_buckets(changes: DataFrame, path: str, key: str = "meter_id", buckets: int = 64) -> None:
-    """Apply one batch of changes (``expired`` rows take their key out) to a table kept in hash buckets; only touched buckets are written.
-
-    A bucket is replaced as a whole, so applying a batch again changes nothing. Each touched bucket also gets a row without a key, so that it is replaced when nothing else is left in it; ``read_buckets`` leaves
-    that row out. ``changes`` holds each key once.
-    """
-    spark = changes.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
-    placed = changes.select("*", bucket).persist()
-    try:
-        touched = placed.select("bucket").distinct()
-        rows = placed.where(~F.col("expired")).drop("expired")
-        if exists(spark, path):
-            there = spark.read.schema(rows.schema).parquet(path).where(F.col(key).isNotNull())
-            rows = there.join(touched, "bucket", "left_semi").join(placed.select(key), key, "left_anti").unionByName(rows)
-        mark = touched.select(*[F.col("bucket") if f.name == "bucket" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
-        out = rows.unionByName(mark).repartition("bucket")
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    finally:
-        placed.unpersist()
-
-
 _ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def keep_latest(
     stream: DataFrame, path: str, checkpoint: str, delay: str, ttl_seconds: int, buckets: int = 64, trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Keep the table of latest readings at ``path`` (``read_buckets``) up to date; by default until the input is used up.
+    """Keep the table of latest readings at ``path`` (``sinks.read_buckets``) up to date; by default until the input is used up.
 
     The state store's kind is a setting of the session that a query takes over when it starts; it is put back afterwards.
     """
@@ -169,7 +147,7 @@ def keep_latest(
     try:
         query = (
             latest_with_ttl(stream, delay, ttl_seconds).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(lambda df, n: replace_buckets(df, path, buckets=buckets)).start()
+            .foreachBatch(lambda df, n: replace_buckets(df, path, ["meter_id"], buckets, gone="expired")).start()
         )
     finally:
         conf.set(name, before)
@@ -178,10 +156,6 @@ def keep_latest(
     return query
 
 
-def read_buckets(spark: SparkSession, path: str, key: str = "meter_id") -> DataFrame:
-    return spark.read.parquet(path).where(F.col(key).isNotNull()).drop("bucket")
-
-
 def to_table(stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Append a stateful stream to Parquet and, by default, wait until the input is used up."""
     query = (

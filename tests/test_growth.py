@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators.aggregates import hourly_region
-from meterlake.sources import versions
+from meterlake.sources import sinks, versions
 from meterlake.streaming import partials, stateful
 
 AT = datetime(2024, 1, 5, 10, 0)
@@ -139,7 +139,7 @@ def test_latest_rows_expire_and_only_touched_buckets_are_written(spark, tmp_path
 
     def trigger():
         stateful.keep_latest(spark.readStream.schema(READINGS).parquet(landing), path, check, "10 minutes", 3_600, buckets=16)
-        return {r["meter_id"]: r["event_id"] for r in stateful.read_buckets(spark, path).collect()}
+        return {r["meter_id"]: r["event_id"] for r in sinks.read_buckets(spark, path).collect()}
 
     land(spark, landing, [(f"m{i}", f"e{i}", i % 3, 1.0) for i in range(12)] + [("m0", "e0b", 2, 1.0)])
     assert trigger() == {f"m{i}": f"e{i}" for i in range(1, 12)} | {"m0": "e0b"}
@@ -161,6 +161,6 @@ def test_an_idle_meter_leaves_the_state(spark, tmp_path):
     for rows in ([("m1", "a", 0, 1.0), ("m2", "b", 0, 1.0)], [("m2", "c", 200, 1.0)], [("m2", "d", 400, 1.0)]):
         land(spark, landing, rows)
         stateful.keep_latest(spark.readStream.schema(READINGS).parquet(landing), path, check, "1 minute", 3_600, buckets=4)
-    assert {r["meter_id"] for r in stateful.read_buckets(spark, path).collect()} == {"m2"}
+    assert {r["meter_id"] for r in sinks.read_buckets(spark, path).collect()} == {"m2"}
     kept = spark.read.format("statestore").option("path", check).option("stateVarName", "latest").load()
     assert [r["key"]["meter_id"] for r in kept.collect()] == ["m2"]
