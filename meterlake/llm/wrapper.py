@@ -1,12 +1,14 @@
 """Main text of web pages by wrapper induction.
 
 The pages of a host are made by one template. One page of each host is the reference; every other page's tree is aligned with it by simple tree
-matching (the largest set of node pairs that keeps parents and order). Each reference node is a slot, and Spark counts per slot the
-different texts the host's pages have there: a slot with one text on all pages is template, one whose text varies is content. What the reference lacks has no slot and is judged by
-its kind alone, as on hosts too small to tell.
+matching (the largest set of node pairs that keeps parents and order). Each reference node is a slot; what the reference lacks has a slot by its path. Spark counts per slot how many of the
+host's pages have which text there: a text that SHARE of all pages with the slot have, whose articles are different ones, is template, and so is a slot that holds little else; what varies is content. Pages
+that are copies of one article (the same longest text) prove nothing, and what a cut-off page has open at its end doesn't vote. Hosts of all sizes are judged by the same rule.
 
 Varying nodes may still be menus or adverts, so elements that say so (tag, role, class or id) never are content, nor is anything outside
-the article where the page marks one. Runs of equal siblings (paragraphs, list items) are one slot, so trees stay small.
+the article where the page marks one. Siblings of equal name are one node for the alignment, so trees stay small; their texts are counted one by one.
+
+Every page is parsed into a compact tree where it lies, and only trees meet references. Pages whose host has no template for its articles pass straight through; the others are joined with it.
 
 Null html counts as empty, a null url as a host of its own name. A cut-off page yields what is there; an unclosed tag at its end is dropped. Pages with equal ids are
 pages of their own. An empty table gives no rows; extra columns don't matter.
@@ -17,6 +19,8 @@ from __future__ import annotations
 import html
 import re
 import sys
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -24,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import full_text, kept, slices, table
+from meterlake.llm.bitmaps import looked_up
+from meterlake.llm.common import full_text, kept, slices, table, written
 
-MIN_PAGES = 3  # a template text is seen on as many pages
-MIN_ARTICLES = 8  # and the host has as many different main texts
+SHARE = 0.9  # of a slot's pages have a template text
+ARTICLES = 5  # different articles it is seen with, at least
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)", re.S)
 _CUT = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
@@ -138,34 +143,87 @@ def landmarks(root: Node) -> list[Node]:
 
 
 class Slot:
-    """A run of equal siblings as one node: its own text and the slots below."""
+    """A run of equal siblings as one node: the digests of their own texts and the slots below."""
 
-    __slots__ = ("name", "nodes", "children", "number")
+    __slots__ = ("name", "texts", "children", "number", "nodes", "path")
 
-    def __init__(self, nodes: list[Node]):
-        self.name, self.nodes, self.number = nodes[0].name, nodes, -1
+    def __init__(self, name: int, texts: list[int], nodes: list[Node] | None = None):
+        self.name, self.texts, self.nodes, self.number, self.path = name, texts, nodes or [], -1, 0
         self.children: list[Slot] = []
 
-    def text(self) -> str:
-        return _SPACE.sub(" ", " ".join(c for n in self.nodes for c in n.children if isinstance(c, str))).strip()
+
+def own_text(node: Node) -> str:
+    return _SPACE.sub(" ", " ".join(c for c in node.children if isinstance(c, str))).strip()
+
+
+def _open_at_end(root: Node) -> set[int]:
+    """Nodes that are not closed where the page ends: the last one and those above it."""
+    found, node = set(), root
+    while node is not None:
+        found.add(id(node))
+        node = next((c for c in reversed(node.children) if isinstance(c, Node)), None)
+    return found
 
 
-def slots(root: Node) -> Slot:
-    """The tree of slots: below one slot, element children of equal name (tag and class) are one slot again, in order of first appearance."""
-    top = Slot([root])
-    stack = [top]
+def slots(root: Node, cut: bool = False) -> Slot:
+    """The tree of slots that can hold content: landmarks, what stands above them and what is in them.
+
+    Below one slot, element children of equal name (tag and class) are one slot again, in order of first appearance. Texts of a cut-off page's open nodes are left out.
+    """
+    marks = landmarks(root)
+    ids, above = {id(m) for m in marks}, set()
+    for m in marks:
+        node = m.parent
+        while node is not None and id(node) not in above:
+            above.add(id(node))
+            node = node.parent
+    hidden = _open_at_end(root) if cut else set()
+    top = Slot(_digest(root.tag), [], [root])
+    stack = [(top, id(root) in ids)]
     while stack:
-        slot = stack.pop()
-        merged: dict[tuple, list[Node]] = {}
+        slot, inside = stack.pop()
+        merged: dict[tuple, tuple[list[Node], bool]] = {}
         for node in slot.nodes:
             for child in node.children:
                 if isinstance(child, Node):
-                    merged.setdefault(child.name, []).append(child)
-        slot.children = [Slot(run) for run in merged.values()]
-        stack += slot.children
+                    within = inside or id(child) in ids
+                    if id(child) in above or within and not (inside and is_boilerplate(child)):
+                        merged.setdefault((*child.name, within), ([], within))[0].append(child)
+        for (tag, marked, _), (run, within) in merged.items():
+            texts = [_digest(t) for n in run if id(n) not in hidden and (t := own_text(n))] if within else []
+            child = Slot(_digest(f"{tag}.{marked}"), texts, run)
+            slot.children.append(child)
+            stack.append((child, within))
     return top
 
 
+def packed(root: Slot) -> bytes:
+    """The tree in depth-first order, in 32-bit numbers: name, depth, number of texts, texts."""
+    out, stack = array("I"), [(root, 0)]
+    while stack:
+        slot, depth = stack.pop()
+        out.extend((slot.name, depth, len(slot.texts), *slot.texts))
+        stack += [(c, depth + 1) for c in reversed(slot.children)]
+    return out.tobytes()
+
+
+def unpacked(data: bytes) -> Slot:
+    words = array("I")
+    words.frombytes(data)
+    at, above, root = 0, [], None
+    while at < len(words):
+        name, depth, n = words[at], words[at + 1], words[at + 2]
+        slot = Slot(name, list(words[at + 3 : at + 3 + n]))
+        at += 3 + n
+        del above[depth:]
+        if above:
+            above[-1].children.append(slot)
+        else:
+            root = slot
+        above.append(slot)
+    return root
+
+
 def numbered(root: Slot) -> Slot:
     """Slot numbers of a reference, from the top."""
     stack, k = [root], 0
@@ -209,9 +267,21 @@ def _align(a: Slot, b: Slot) -> tuple[int, list[tuple[Slot, Slot]]]:
     return best[n][m] + 1, pairs
 
 
-def aligned(root: Node, reference: Slot) -> list[tuple[int, Slot]]:
-    """(slot number of the reference, slot of the page) of all pairs."""
-    return [(r.number, p) for r, p in _align(reference, slots(root))[1]]
+def _with_paths(root: Slot) -> list[Slot]:
+    """All slots; each gets a number for its path, below zero."""
+    out, stack = [], [(root, 0)]
+    while stack:
+        slot, above = stack.pop()
+        slot.path = -1 - _digest(f"{above}/{slot.name}")
+        out.append(slot)
+        stack += [(c, slot.path) for c in slot.children]
+    return out
+
+
+def aligned(page: Slot, reference: Slot) -> list[tuple[int, Slot]]:
+    """(slot number, slot of the page) of all its slots: the reference's number where they are matched, else that of the path."""
+    number = {id(p): r.number for r, p in _align(reference, page)[1]}
+    return [(number.get(id(slot), slot.path), slot) for slot in _with_paths(page)]
 
 
 def blocks(root: Node, constant: set[int]) -> list[str]:
@@ -245,10 +315,18 @@ def blocks(root: Node, constant: set[int]) -> list[str]:
     return out
 
 
-def main_text(page: str, reference: Slot | None = None, template: frozenset[int] = frozenset()) -> str:
-    """The article's blocks joined by an empty line. ``template`` has the reference's constant slots."""
+Template = dict[int, set[int] | None]  # slot -> its constant texts; None: all of it
+
+
+def main_text(page: str, reference: Slot | None = None, template: Template | None = None) -> str:
+    """The article's blocks joined by an empty line, without what the template holds."""
     root = parse(page)
-    constant = {id(n) for k, slot in aligned(root, reference) if k in template for n in slot.nodes} if reference and template else set()
+    constant: set[int] = set()
+    if reference and template:
+        for k, slot in aligned(slots(root), reference):
+            if k in template:
+                known = template[k]
+                constant |= {id(n) for n in slot.nodes if known is None or _digest(own_text(n)) in known}
     return "\n\n".join(b for mark in landmarks(root) for b in blocks(mark, constant))
 
 
@@ -256,71 +334,107 @@ def _digest(text: str) -> int:
     return crc32(text.encode("utf-8", "surrogatepass"))
 
 
-class _References:
-    """Parsed reference pages last used by a task."""
+def longest(tree: Slot) -> tuple[int, int]:
+    """Digests of the longest and the next longest of a page's texts, which tell its article from others even where it is edited a little."""
+    texts = sorted({own_text(n) for slot in _with_paths(tree) if slot.texts for n in slot.nodes}, key=lambda t: (-len(t), t))[:2]
+    return _digest(texts[0] if texts else ""), _digest(texts[1] if len(texts) > 1 else "")
+
+
+def trees(pages: DataFrame) -> DataFrame:
+    """(host, page_id, cut, article, other, tree) of every page, stored: its compact tree, and digests of its longest and its next longest text."""
+    schema = pa.schema([("host", pa.string()), ("page_id", pa.int64()), ("cut", pa.bool_()), ("article", pa.int64()), ("other", pa.int64()), ("tree", pa.binary())])
 
-    def __init__(self):
-        self.known: dict[str, Slot] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for piece in slices([part], "html"):
+                rows: dict[str, list] = {"cut": [], "article": [], "other": [], "tree": []}
+                for page in piece.column("html").to_pylist():
+                    root = parse(page)
+                    cut = not page.rstrip().endswith("</html>")
+                    tree = slots(root, cut)
+                    for c, v in zip(rows, (cut, *longest(tree), packed(tree)), strict=True):
+                        rows[c].append(v)
+                yield pa.RecordBatch.from_pydict({"host": piece.column("host"), "page_id": piece.column("page_id"), **rows}, schema=schema)
 
-    def __call__(self, host: str, page: str) -> Slot:
-        if host not in self.known:
-            if len(self.known) >= 200:
-                self.known.clear()
-            self.known[host] = numbered(slots(parse(page)))
-        return self.known[host]
+    return written(pages.select("host", "page_id", "html").mapInArrow(run, "host string, page_id long, cut boolean, article long, other long, tree binary"), "page_trees")
 
 
-def references(pages: DataFrame) -> DataFrame:
-    """(host, reference): the whole page with the smallest id of each host, a cut-off one only if all are."""
-    order = F.struct(~F.col("html").endswith("</html>"), "page_id", "html")
-    return kept(pages.groupBy("host").agg(F.min_by("html", order).alias("reference")))
+def references(stored: DataFrame) -> DataFrame:
+    """(host, reference): the tree of the page with the smallest id of each host, of a cut-off one only if all are."""
+    return kept(stored.groupBy("host").agg(F.min_by("tree", F.struct("cut", "page_id", "tree")).alias("reference")))
 
 
-def templates(pages: DataFrame, refs: DataFrame, min_pages: int = MIN_PAGES, min_articles: int = MIN_ARTICLES) -> DataFrame:
-    """(host, template): numbers of the reference's slots that hold one text on all pages of a host.
+_AT_ONCE = 50_000  # counts a task holds
 
-    Counts are of all pages, with partial sums before the shuffle, so a host with very many pages is no heavier than others.
+
+def templates(stored: DataFrame, refs: DataFrame, share: float = SHARE, articles: int = ARTICLES) -> DataFrame:
+    """(host, slots, texts): the constant texts of each host's slots, hosts without any left out; text -1 stands for all of a slot.
+
+    Tasks add up their own pages, Spark the tasks, so a host with very many pages is no heavier than others. Texts of fewer pages than articles are needed go first, which leaves few rows to be compared with their slot's pages.
+    Different articles are counted as bits of a 64-bit mark, which never says more than there are.
     """
+    schema = pa.schema([("host", pa.string()), ("slot", pa.int64()), ("text", pa.int64()), ("pages", pa.int64()), ("members", pa.int64()), ("seen", pa.int64())])
+
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = _References()
+        counts: dict[tuple, list[int]] = {}
+        known: tuple[str, Slot] | None = None
+
+        def flush() -> pa.RecordBatch:
+            rows = [(*key, *value) for key, value in counts.items()]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for part in batches:
-            for piece in slices([part], "html"):
-                rows: dict[str, list] = {"host": [], "slot": [], "text": []}
-                for host, page, ref in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "reference"))):
-                    root = parse(page)
-                    seen = [(-1, _digest("\n".join(b for mark in landmarks(root) for b in blocks(mark, set()))))]
-                    seen += [(k, _digest(text)) for k, slot in aligned(root, reference(host, ref)) if (text := slot.text())]
-                    for k, text in seen:
-                        for c, v in zip(rows, (host, k, text)):
-                            rows[c].append(v)
-                yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("host", pa.string()), ("slot", pa.int32()), ("text", pa.int64())]))
-
-    votes = pages.join(refs, "host").select("host", "html", "reference").mapInArrow(vote, "host string, slot int, text long")
-    slots = votes.groupBy("host", "slot", "text").agg(F.count("*").alias("n")).groupBy("host", "slot").agg(F.count("*").alias("texts"), F.sum("n").alias("pages"))
-    told = slots.groupBy("host").agg(
-        F.max(F.when(F.col("slot") == -1, F.col("texts"))).alias("articles"),
-        F.array_sort(F.collect_set(F.when((F.col("slot") >= 0) & (F.col("texts") == 1) & (F.col("pages") >= min_pages), F.col("slot")))).alias("template"))
-    return kept(told.select("host", F.when(F.col("articles") >= min_articles, F.col("template")).otherwise(F.expr("cast(array() as array<int>)")).alias("template")))
-
-
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, min_articles: int = MIN_ARTICLES) -> DataFrame:
+            for host, tree, article, other, reference in zip(*(part.column(c).to_pylist() for c in ("host", "tree", "article", "other", "reference"))):
+                if known is None or known[0] != host:
+                    known = host, numbered(unpacked(reference))
+                for k, slot in aligned(unpacked(tree), known[1]):
+                    if slot.texts:
+                        found = Counter(slot.texts)
+                        found[-1] = len(slot.texts)  # the slot itself
+                        for text, members in found.items():
+                            at = counts.setdefault((host, k, text), [0, 0, 0])
+                            at[0], at[1], at[2] = at[0] + 1, at[1] + members, at[2] | 1 << (other if text == article else article) % 63
+                if len(counts) > _AT_ONCE:
+                    yield flush()
+        if counts:
+            yield flush()
+
+    votes = stored.join(refs, "host").select("host", "tree", "article", "other", "reference").mapInArrow(vote, "host string, slot long, text long, pages long, members long, seen long")
+    counted = kept(votes.groupBy("host", "slot", "text").agg(F.sum("pages").alias("pages"), F.sum("members").alias("members"), F.bit_or("seen").alias("seen")).where((F.col("pages") >= articles) | (F.col("text") == -1)))
+    of_slot = counted.where("text = -1").select("host", "slot", F.col("pages").alias("all_pages"), F.col("members").alias("all_members"))
+    constant = counted.where((F.col("text") != -1) & (F.bit_count("seen") >= articles)).join(of_slot, ["host", "slot"]).where(F.col("pages") >= share * F.col("all_pages"))
+    whole = F.sum("members") >= share * F.max("all_members")  # at most 1 / share times as many texts as a slot has members
+    told = constant.groupBy("host", "slot").agg(F.collect_list("text").alias("texts"), whole.alias("whole")).select("host", "slot", F.explode(F.when(F.col("whole"), F.array(F.lit(-1).cast("long"))).otherwise(F.col("texts"))).alias("text"))
+    return kept(told.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "text"))).alias("template")))
+
+
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = SHARE, articles: int = ARTICLES) -> DataFrame:
     """page_id, url and the main text of every row."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), full_text(html_col).alias("html"), host.alias("host"))
-    refs = references(rows)
-    wrappers = kept(refs.join(templates(rows, refs, min_pages, min_articles), "host"))
+    stored = trees(rows)
+    refs = references(stored)
+    wrappers = kept(refs.join(templates(stored, refs, share, articles), "host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reference = _References()
+        known: tuple[str, Slot, Template] | None = None
         for part in batches:
             for piece in slices([part], "html"):
-                texts = [
-                    main_text(page, reference(host, ref) if template else None, frozenset(template))
-                    for host, page, ref, template in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "reference", "template")))
-                ]
+                texts = []
+                for host, page, reference, entries in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "reference", "template"))):
+                    if not entries:
+                        texts.append(main_text(page))
+                        continue
+                    if known is None or known[0] != host:
+                        template: Template = {}
+                        for e in entries:
+                            template[e["slot"]] = None if e["text"] == -1 else (template.get(e["slot"]) or set()) | {e["text"]}
+                        known = host, numbered(unpacked(reference)), template
+                    texts.append(main_text(page, known[1], known[2]))
                 yield pa.RecordBatch.from_pydict({"page_id": piece.column("page_id"), "url": piece.column("url"), "text": pa.array(texts, pa.string())})
 
-    return rows.join(wrappers, "host").select("page_id", "url", "html", "host", "reference", "template").mapInArrow(run, "page_id long, url string, text string")
+    return looked_up(rows, "host", wrappers).mapInArrow(run, "page_id long, url string, text string")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
