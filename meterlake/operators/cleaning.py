@@ -58,25 +58,28 @@ def validate_consumption(raw: DataFrame, regions: Sequence[str] = schemas.REGION
     """
     corrupt = F.col(schemas.CORRUPT) if schemas.CORRUPT in raw.columns else F.lit(None).cast("string")
     fields = [c for c in raw.columns if c != schemas.CORRUPT]
-    typed = raw.withColumns({
-        "raw_fields": F.struct(*sorted(fields)),
-        "raw_text": corrupt,
-        "raw_meter_id": F.col("meter_id"),
-        "meter_id": clean_text("meter_id"),
-        "customer_id": clean_text("customer_id"),
-        "region_name": clean_text("region_name"),
-        "reading_timestamp": F.col("reading_timestamp").try_cast("timestamp"),
-        "kwh": F.col("kwh").try_cast("double"),
-        "ingestion_timestamp": F.col("ingestion_timestamp").try_cast("timestamp"),
-    })
+
+    def typed(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "meter_id": clean_text("meter_id"),
+            "customer_id": clean_text("customer_id"),
+            "region_name": clean_text("region_name"),
+            "reading_timestamp": F.col("reading_timestamp").try_cast("timestamp"),
+            "kwh": F.col("kwh").try_cast("double"),
+            "ingestion_timestamp": F.col("ingestion_timestamp").try_cast("timestamp"),
+        })
+
     malformed = F.col("raw_text").isNotNull()
     is_bad = rejection_reason(consumption_rules(regions, malformed=malformed)) != ""
+    packed = raw.withColumns({"raw_fields": F.struct(*sorted(fields)), "raw_text": corrupt})
+    # only the raw fields and the key are dealt out; the other typed columns are made again behind the ranking
+    keyed = typed(packed).select("raw_fields", "raw_text", "meter_id", "reading_timestamp", is_bad.alias("__bad"))
     marked = mark_duplicates(
-        typed.withColumn("__bad", is_bad), ["meter_id", "reading_timestamp"],
-        [F.asc_nulls_last("source_file"), F.asc_nulls_last("batch_id"), "__bad", *[F.asc_nulls_last(f"raw_fields.{c}") for c in sorted(fields)]],
-    )
+        keyed, ["meter_id", "reading_timestamp"],
+        [F.asc_nulls_last("raw_fields.source_file"), F.asc_nulls_last("raw_fields.batch_id"), "__bad", *[F.asc_nulls_last(f"raw_fields.{c}") for c in sorted(fields)]],
+    ).select(*[F.col("raw_fields")[c].alias(c) for c in fields], "raw_fields", "raw_text", F.col("raw_fields")["meter_id"].alias("raw_meter_id"), "is_duplicate")
     rules = consumption_rules(regions, duplicate=F.col("is_duplicate"), malformed=malformed)
-    return marked.withColumn(REASON, rejection_reason(rules, BATCH_SEPARATOR)).drop("__bad", "is_duplicate", schemas.CORRUPT)
+    return typed(marked).withColumn(REASON, rejection_reason(rules, BATCH_SEPARATOR)).drop("is_duplicate")
 
 
 def clean_consumption(validated: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -98,6 +98,17 @@ class QueryCheck(NamedTuple):
     failures: DataFrame
 
 
+class ReferenceChecks(NamedTuple):
+    """One check for each relationship (its ``issue`` is the name): the rows of ``table`` without a parent, all from one pass over it."""
+
+    table: str
+    failures: DataFrame
+
+
+def no_orphans_of(table: str, tables: Mapping[str, DataFrame], relationships: Sequence[ForeignKey]) -> ReferenceChecks:
+    return ReferenceChecks(table, referential_counts(tables, relationships))
+
+
 def has_rows(name: str, table: str) -> Check:
     return Check(name, table, F.when(F.count("*") > 0, 0).otherwise(1))
 
@@ -119,7 +130,7 @@ def no_orphans(name: str, table: str, fact: DataFrame, dim: DataFrame, fk: str,
 
 
 def run_checks(
-    tables: Mapping[str, DataFrame], checks: Sequence[Check | QueryCheck], run_id: str, as_of: str | None = None,
+    tables: Mapping[str, DataFrame], checks: Sequence[Check | QueryCheck | ReferenceChecks], run_id: str, as_of: str | None = None,
 ) -> DataFrame:
     """One result row per check. All aggregate checks of a table share a single pass over it."""
     results = []
@@ -127,6 +138,8 @@ def run_checks(
     for check in checks:
         if isinstance(check, Check):
             by_table.setdefault(check.table, []).append(check)
+        elif isinstance(check, ReferenceChecks):
+            results.append(check.failures.select(F.col("constraint_name").alias("check_name"), F.lit(check.table).alias("table_name"), F.col("failed_count").cast("bigint").alias("failed_count")))
         else:
             results.append(check.failures.select(
                 F.lit(check.name).alias("check_name"), F.lit(check.table).alias("table_name"),

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from meterlake import schemas
 from meterlake.operators import aggregates as agg
 from meterlake.operators import cleaning, dimensions, quality
-from meterlake.operators.joins import lookup, weather_features
+from meterlake.operators.joins import ForeignKey, lookup, weather_features
 from meterlake.operators.windows import sequence_number
 from meterlake.plans import runlog
 from meterlake.plans.runlog import observe_counts
@@ -127,17 +127,23 @@ def load_warehouse(
     # a folder per day lets a date filter on the dimension prune the fact (dynamic partition pruning)
     observed, seen = observe_counts(arranged(numbered, ["date_id"], ["meter_id"]), "fact_consumption")
     write_batch(observed, facts, batch_id, partition_by=["date_id"])
-    store.counts["warehouse/fact_consumption"] = seen.get["rows"]
+    store.counts["warehouse/fact_consumption"] = rows = seen.get["rows"]
+    write_batch(store.spark.range(1).select((F.lit(rows) + _highest_id(store.spark, facts, batch_id)).cast("bigint").alias("highest")), _ids(facts), batch_id)
     return {**dims, "fact_consumption": store.spark.read.schema(numbered.schema).parquet(facts)}
 
 
+def _ids(facts: str) -> str:
+    """Where each batch leaves the highest id it gave."""
+    return f"{facts.rstrip('/')}_ids"
+
+
 def _highest_id(spark: SparkSession, facts: str, batch_id: str) -> Column:
-    """The greatest fact id of all other batches, 0 when there are none."""
-    if not exists(spark, facts):
+    """The greatest fact id of all other batches, 0 when there are none: one number for each batch is read, no fact."""
+    if not exists(spark, _ids(facts)):
         return F.lit(0)
     # the schema is given, so that a batch id such as 00042 is not read back as a number
-    others = spark.read.schema("consumption_id bigint, batch_id string").parquet(facts).where(F.col("batch_id") != batch_id)
-    return others.agg(F.coalesce(F.max("consumption_id"), F.lit(0))).scalar()
+    others = spark.read.schema("highest bigint, batch_id string").parquet(_ids(facts)).where(F.col("batch_id") != batch_id)
+    return others.agg(F.coalesce(F.max("highest"), F.lit(0))).scalar()
 
 
 def warehouse_checks(tables: dict[str, DataFrame], run: Column | None = None) -> list:
@@ -149,8 +155,8 @@ def warehouse_checks(tables: dict[str, DataFrame], run: Column | None = None) ->
         quality.no_row_where(f"{name}_no_negative_kwh", "fact_consumption", F.col("kwh") < 0),
         quality.no_row_where(f"{name}_no_null_meter_id", "fact_consumption", F.col("meter_id").isNull()),
         quality.any_value(f"{name}_latest_timestamp_present", "fact_consumption", "reading_timestamp"),
-        *[quality.no_orphans(f"{name}_no_missing_{d}_reference", "fact_consumption", tables["fact_consumption"], tables[f"dim_{d}"], f"{d}_id", f"{d}_id")
-          for d in ("region", "customer", "meter", "tariff", "date")],
+        quality.no_orphans_of("fact_consumption", tables, [
+            ForeignKey(f"{name}_no_missing_{d}_reference", "fact_consumption", f"{d}_id", f"{d}_id", f"dim_{d}", f"{d}_id") for d in ("region", "customer", "meter", "tariff", "date")]),
         *([quality.no_duplicates("fact_meter_reading_no_duplicate_reading_id", "fact_reading", tables["fact_reading"], ["reading_id"])] if "fact_reading" in tables else []),
         *([quality.Check("monitoring_pipeline_run_record_exists", "pipeline_run", recorded)] if "pipeline_run" in tables else []),
     ]

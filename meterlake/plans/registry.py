@@ -557,7 +557,7 @@ def quality_suite(s, d):
         quality.no_row_where("consumption_no_negative_kwh", "fact_consumption", F.col("kwh") < 0),
         quality.no_row_where("consumption_no_null_meter_id", "fact_consumption", F.col("meter_id").isNull()),
         quality.any_value("consumption_latest_timestamp_present", "fact_consumption", "reading_timestamp"),
-        quality.no_orphans("consumption_no_missing_region", "fact_consumption", fact, t["dim_region"], "region_id", "region_id"),
+        quality.no_orphans_of("fact_consumption", t, [joins.ForeignKey("consumption_no_missing_region", "fact_consumption", "consumption_id", "region_id", "dim_region", "region_id")]),
         quality.no_duplicates("reading_no_duplicate_id", "fact_reading", t["fact_reading"], ["reading_id"]),
         quality.no_duplicates("consumption_no_duplicate_id", "fact_consumption", fact, ["consumption_id"]),
         quality.no_row_where("run_failed", "pipeline_run", F.col("status") == "failed"),
