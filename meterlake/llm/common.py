@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meterlake.session import scratch_path, shared_dir
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
+pa.set_memory_pool(pa.system_memory_pool())  # workers live on after a task and should give memory back
 
 SPACE = r"[\x20\x09-\x0D]+"
 SLICE_CHARS = 2_000_000  # text handled at once inside a task
