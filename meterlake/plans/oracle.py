@@ -541,6 +541,8 @@ ORACLE: dict[str, str] = {
     "future_check": sql(f"""SELECT 'fact_consumption' AS table_name, CAST(consumption_id AS VARCHAR) AS record_id, strftime(reading_timestamp, {_STAMP}) AS timestamp_value
         FROM faulty WHERE reading_timestamp > TIMESTAMP '2001-01-01'
         UNION ALL SELECT 'fact_reading', reading_id, strftime(event_timestamp, {_STAMP}) FROM fact_reading WHERE event_timestamp > TIMESTAMP '2001-01-01'"""),
+    "orphan_rows": sql("""SELECT consumption_id, customer_id, CAST(kwh AS DOUBLE) AS kwh FROM faulty f
+        WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)"""),
     "orphan_report": sql(" UNION ALL ".join(
         f"""SELECT '{fact}_missing_{dim}' AS issue_name, CAST(f.{record} AS VARCHAR) AS record_id, CAST(f.{dim}_id AS VARCHAR) AS missing_key FROM {source} f
         LEFT JOIN dim_{dim} x ON x.{dim}_id = f.{dim}_id WHERE x.{dim}_id IS NULL""" + (" AND f.tariff_id IS NOT NULL" if dim == "tariff" else "")
@@ -583,10 +585,15 @@ ORACLE: dict[str, str] = {
     # bookkeeping
     "run_ids": sql("""SELECT o_orderkey, 'AF-' || substr(sha1('daily_load:' || o_orderkey), 1, 20) AS run_id, 'AF-DQ-' || substr(sha1(o_orderkey || ':no_nulls'), 1, 18) AS check_id FROM orders"""),
     "run_log": _rows("pipeline_run", "pipeline_run_id status started_at:t records_read:i"),
+    "observed_counts": sql("""SELECT count(*) AS rows, count(*) FILTER (kwh < 0) AS negative, count(*) FILTER (meter_id IS NULL) AS without_meter FROM faulty"""),
     "record_checks": sql("""SELECT check_id, CASE WHEN max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) = 1 THEN 'failed' ELSE min(status) END AS status
         FROM quality_check GROUP BY check_id"""),
     # streams
     "stream_capture": sql(f"SELECT raw_event_payload, '{AS_OF}' AS ingestion_timestamp, 'local_file_stream' AS source_system FROM payloads"),
+    "stream_resumed": sql(f"SELECT raw_event_payload, '{AS_OF}' AS ingestion_timestamp, 'local_file_stream' AS source_system FROM payloads"),
+    "stream_invalid": sql(f"""SELECT raw_event_payload, reason AS rejection_reason, '{AS_OF}' AS rejected_at, 'local_file_stream' AS source_system
+        FROM (SELECT *, array_to_string(list_filter(string_split(rejection_reason, ';'), lambda x: x <> 'Duplicate event_id in micro-batch'), ';') AS reason FROM judged_events) WHERE reason <> ''"""),
+    "stream_metadata": sql("SELECT count(*) AS events, CAST(0 AS BIGINT) AS files_that_differ FROM payloads"),
     "stream_clean": _rows("good_events", _EVENTS),
     "stream_rejected": sql(f"""SELECT raw_event_payload, rejection_reason, '{AS_OF}' AS rejected_at, 'local_file_stream' AS source_system
         FROM judged_events WHERE rejection_reason <> ''"""),

@@ -543,6 +543,13 @@ FACT_RELATIONSHIPS = tuple(
 )
 
 
+@query
+def orphan_rows(s, d):
+    """Whole fact rows whose customer is unknown; a row without a customer is none of them."""
+    fact = tables.faulty_consumption(s, d).select("consumption_id", "customer_id", "kwh")
+    return joins.orphans(fact, tables.dim_customer(s, d), "customer_id", "customer_id", skip_null=True)
+
+
 @query
 def orphan_report(s, d):
     return joins.referential_report(_quality_tables(s, d), FACT_RELATIONSHIPS)
@@ -649,6 +656,15 @@ def run_log(s, d):
     return runlog.current_runs(log).select("pipeline_run_id", "status", "started_at", "records_read")
 
 
+@query
+def observed_counts(s, d):
+    """Rows counted while they are written, with no second scan."""
+    facts = tables.faulty_consumption(s, d).select("consumption_id", "meter_id", "kwh")
+    observed, seen = runlog.observe_counts(facts, "facts_written", negative=F.col("kwh") < 0, without_meter=F.col("meter_id").isNull())
+    sinks.write_table(observed, scratch_path(s, "observed"))
+    return readers.values_table(s, [(seen.get["rows"], seen.get["negative"], seen.get["without_meter"])], "rows bigint, negative bigint, without_meter bigint")
+
+
 @query
 def record_checks(s, d):
     checks = tables.quality_check(s, d).select("check_id", "status")
@@ -751,6 +767,45 @@ def stream_capture(s, d):
     return readers.read_table(s, _captured(s, d), schemas.ENVELOPE).select("raw_event_payload", "ingestion_timestamp", "source_system")
 
 
+@query
+def stream_metadata(s, d):
+    """Captured envelopes name the file each event came from: events for each file, and whether they are those of the file itself."""
+    captured = readers.read_table(s, _captured(s, d), schemas.ENVELOPE)
+    name = F.element_at(F.split("producer_metadata", "/"), -1)
+    mine = captured.groupBy(name.alias("file")).agg(F.count("*").alias("events"))
+    landed = s.read.text(_landing(s, d)).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("lines"))
+    return mine.join(landed, "file", "full").agg(F.sum("events").alias("events"), F.count_if(~F.col("events").eqNullSafe(F.col("lines"))).alias("files_that_differ"))
+
+
+@query
+def stream_resumed(s, d):
+    """A stream on a clock, stopped after a time, and started again when more files have come: every event once."""
+    def build():
+        root = scratch_path(s, "resumed")
+        payloads = tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value"))
+        half = F.xxhash64("value") % 2 == 0
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            sinks.write_batch(batch, f"{root}/data", batch_id)
+
+        for rows, options in ((payloads.where(half), {"trigger": {"processingTime": "1 second"}, "duration": 12}), (payloads.where(~half), {})):
+            sinks.write_events(rows, f"{root}/landing")
+            micro_batch.run_stream(readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF), write, f"{root}/checkpoint", **options)
+        return f"{root}/data"
+    return s.read.parquet(_once(s, d, "resumed", build)).select("raw_event_payload", "ingestion_timestamp", "source_system")
+
+
+@query
+def stream_invalid(s, d):
+    """Dead-letter rows of the stateful path, as a stream of their own."""
+    def build():
+        root = scratch_path(s, "invalid")
+        lost = stateful.invalid_event_stream(readers.bronze_event_stream(s, _captured(s, d)), REGIONS, AS_OF)
+        stateful.to_table(lost, f"{root}/data", f"{root}/checkpoint")
+        return f"{root}/data"
+    return s.read.parquet(_once(s, d, "invalid", build))
+
+
 @query
 def stream_clean(s, d):
     return _complete(s, d, "clean").drop("batch_id")
