@@ -593,6 +593,8 @@ ORACLE: dict[str, str] = {
     "stream_resumed": sql(f"SELECT raw_event_payload, '{AS_OF}' AS ingestion_timestamp, 'local_file_stream' AS source_system FROM payloads"),
     "stream_invalid": sql(f"""SELECT raw_event_payload, reason AS rejection_reason, '{AS_OF}' AS rejected_at, 'local_file_stream' AS source_system
         FROM (SELECT *, array_to_string(list_filter(string_split(rejection_reason, ';'), lambda x: x <> 'Duplicate event_id in micro-batch'), ';') AS reason FROM judged_events) WHERE reason <> ''"""),
+    "stream_offset_range": sql("""SELECT raw_event_payload, CAST(n % 4 AS VARCHAR) AS partition_id, CAST(place AS VARCHAR) AS "offset", 'eventhubs_emulator_kafka' AS source_system
+        FROM (SELECT *, row_number() OVER (PARTITION BY n % 4 ORDER BY n, copy) - 1 AS place FROM payloads) WHERE place >= 100"""),
     "stream_metadata": sql("SELECT count(*) AS events, CAST(0 AS BIGINT) AS files_that_differ FROM payloads"),
     "stream_clean": _rows("good_events", _EVENTS),
     "stream_rejected": sql(f"""SELECT raw_event_payload, rejection_reason, '{AS_OF}' AS rejected_at, 'local_file_stream' AS source_system

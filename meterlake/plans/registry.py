@@ -17,7 +17,7 @@ from meterlake.operators import cleaning, dimensions, joins, quality, windows
 from meterlake.plans import batch, runlog, serving, stream_load, tables, warehouse
 from meterlake.plans.tables import AS_OF, REGIONS
 from meterlake.session import scratch_path
-from meterlake.sources import readers, sinks, versions
+from meterlake.sources import offset_log, readers, sinks, versions
 from meterlake.streaming import micro_batch, partials, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -795,6 +795,21 @@ def stream_resumed(s, d):
     return s.read.parquet(_once(s, d, "resumed", build)).select("raw_event_payload", "ingestion_timestamp", "source_system")
 
 
+@query
+def stream_offset_range(s, d):
+    """A landed log in four partitions, read from offset 100 of each to its middle, and after a restart from there to its end."""
+    def build():
+        root = scratch_path(s, "offsets")
+        log = tables.offset_log(s, d)
+        offset_log.land_log(log, f"{root}/log", 1_000)
+        middle = {str(r["partition"]): r["n"] // 2 for r in log.groupBy("partition").agg(F.count("*").alias("n")).collect()}
+        for ending in (middle, None):
+            stream = offset_log.offset_log_stream(s, f"{root}/log", dict.fromkeys(middle, 100), ending, 1_000)
+            sinks.capture_bronze(readers.kafka_to_envelope(stream, as_of=AS_OF), f"{root}/data", f"{root}/checkpoint").awaitTermination()
+        return f"{root}/data"
+    return s.read.parquet(_once(s, d, "offsets", build)).select("raw_event_payload", "partition_id", "offset", "source_system")
+
+
 @query
 def stream_invalid(s, d):
     """Dead-letter rows of the stateful path, as a stream of their own."""

@@ -17,6 +17,7 @@ from meterlake import schemas
 from meterlake.functions import choose_tariff, date_id, default_if_falsy, end_of_day, estimated_cost, pad_id
 from meterlake.operators.cleaning import detect_anomalies
 from meterlake.operators.dimensions import dim_date
+from meterlake.operators.windows import row_number_per_key
 from meterlake.plans.planned import Planned
 
 AS_OF = "2024-02-01 00:00:00"  # fixed audit time, so results repeat
@@ -159,6 +160,15 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("local_file_stream").alias("source_system"), *[F.lit(None).cast("string").alias(c) for c in ("partition_id", "offset", "producer_metadata")])
 
 
+def offset_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event texts as a topic of four partitions: within one, records are numbered by event and copy."""
+    return event_payloads(spark, sf_dir).select(
+        F.lit("meter-events").alias("topic"), (F.col("n") % 4).cast("int").alias("partition"),
+        (F.floor(F.col("n") / 4) * 2 + F.col("copy")).cast("bigint").alias("at"), F.col("raw_event_payload").alias("value"),
+    ).transform(lambda rows: row_number_per_key(rows, ["partition"], ["at"], "offset")).select(
+        "topic", "partition", (F.col("offset") - 1).cast("bigint").alias("offset"), F.lit(AS_OF).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"), "value")
+
+
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather text from events: gaps where nothing happened, and some faults."""
     hour = F.date_trunc("hour", "event_timestamp")
