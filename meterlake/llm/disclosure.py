@@ -5,9 +5,10 @@ how much seeing it tells about the entity: pointwise mutual information over the
 whole corpus. Terms at or above ``disclosure`` (1 would name the entity outright) are sanitised wherever the entity stands in the same text: generalised to
 a placeholder, or removed.
 
-Counts are of contexts: the words up to REACH before and after an entity. Contexts with the same CORE words on both sides count once, so copies of a text, edited ones too, prove
-nothing, and a pair needs ``support`` different contexts. Words stand at most 2 * REACH to an entity, so the number of pairs grows with the entities. How often a candidate
-term occurs at all is counted over all texts; a Bloom filter of fixed size keeps other words out of the shuffle, exact joins follow it.
+All counts are of different texts: a text counts once, however often it is copied. An entity counts with the texts that hold it, and a term stands by it wherever it is in such a text, next to it or far away. Edited copies
+prove nothing either: each text has a near-copy mark, the smallest hash of two neighbouring words away from its entities, and a pair needs ``support`` texts that are really different, counted as
+(sum of n)^2 / (sum of n^2) over the texts with each mark. Entities of fewer texts are put aside before terms are looked at; of the terms by the others, those too common to disclose
+anything go by a lower bound of their texts, so only rare ones are counted exactly. A term is taken to stand in one text more, without the entity, so that a few texts that agree by chance are not enough. Bloom filters of fixed size keep other words out of the shuffle, exact joins follow them.
 
 Nulls count as empty texts. Results depend on the text alone, so rows with equal texts get equal spans. An empty table gives none. Extra columns don't matter.
 """
@@ -16,7 +17,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +30,8 @@ from meterlake.llm.bitmaps import looked_up
 from meterlake.llm.common import full_text, kept, map_text, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, CORE = 8, 2
+REACH = 8  # words each side of an entity that are left out of the near-copy mark
+_LEAST_WORDS = 8  # a text of fewer words besides is marked by all its words
 SUPPORT = 3
 DISCLOSURE = 0.8
 FILTER_BITS = 1 << 23  # 1 MiB: the size bound of the filter each task holds
@@ -102,20 +105,29 @@ def _outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]
             yield m
 
 
-def contexts(text: str, reach: int = REACH) -> list[tuple[str, int, list[str]]]:
-    """(entity, hash of the words next to it, distinct terms around it) of every protected value."""
-    spans = base_spans(text)
-    if not spans:
-        return []
-    terms = [(m.start(), m[0].lower()) for m in _outside(text, spans)]
-    starts = [s for s, _ in terms]
-    out = []
-    for kind, a, b in spans:
+def _hash(words: list[str]) -> np.ndarray:
+    """64 bits of each pair of neighbouring words."""
+    h = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    x = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def text_hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def near_copy_mark(text: str, spans: list[tuple[str, int, int]]) -> int:
+    """A number that most edited copies of a text share and different texts don't, whatever stands around their entities."""
+    words = [(m.start(), m[0].lower()) for m in _outside(text, spans)]
+    starts, keep = [a for a, _ in words], np.ones(len(words), bool)
+    for _, a, _ in spans:
         k = int(np.searchsorted(starts, a))
-        near = [t for _, t in terms[max(0, k - reach) : k + reach]]
-        core = [t for _, t in terms[max(0, k - CORE) : k + CORE]]
-        out.append((entity_of(kind, text[a:b]), crc32(" ".join(core).encode("utf-8", "surrogatepass")), sorted(set(near))))
-    return out
+        keep[max(0, k - REACH) : k + REACH] = False
+    left = [w for (_, w), k in zip(words, keep) if k]
+    if len(left) < _LEAST_WORDS:
+        return text_hash(" ".join(w for _, w in words))
+    return int(_hash(left).min().astype(np.int64))
 
 
 def _bits(terms: DataFrame, size: int) -> np.ndarray | None:
@@ -131,71 +143,142 @@ def _bits(terms: DataFrame, size: int) -> np.ndarray | None:
     return out
 
 
-def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, share): terms that disclose an entity; share is information about it over the entity's own.
+def _filtered(spark: SparkSession, values: DataFrame):
+    """A function that makes, inside a task, a test for values of the frame's column ``term``; None if there are none."""
+    bits = _bits(values, FILTER_BITS)
+    if bits is None:
+        return None
+    shared = spark.sparkContext.broadcast(np.packbits(bits))
 
-    Probabilities are over all texts of the corpus; an entity counts with its different contexts.
-    """
+    def make() -> Callable[[str], bool]:
+        there = np.unpackbits(shared.value).astype(bool)
+        return lambda value: bool(there[crc32(value.encode("utf-8", "surrogatepass")) % len(there)])
+
+    return make
+
+
+def _columns(rows: set[tuple], schema: pa.Schema) -> dict:
+    return dict(zip(schema.names, map(list, zip(*rows)))) if rows else {c: [] for c in schema.names}
+
+
+def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(entity, term, share): terms that disclose an entity; share is information about it over the entity's own, by counts of different texts."""
     spark = docs.sparkSession
     texts = docs.select(full_text(text_col).alias("text"))
+    nothing = spark.createDataFrame([], "entity string, term string, share double")
+    effective = F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))
 
-    def around():
+    # entities of enough different texts
+    who = pa.schema([("entity", pa.string()), ("text", pa.int64()), ("mark", pa.int64())])
+
+    def holding():
         def run(part: pa.RecordBatch, texts: list[str]) -> dict:
-            rows = {(e, c, t) for text in texts for e, c, terms in contexts(text) for t in terms or [""]}
-            entity, context, term = zip(*rows) if rows else ((), (), ())
-            return {"entity": list(entity), "context": list(context), "term": list(term)}
+            rows = set()
+            for text in texts:
+                if spans := base_spans(text):
+                    key, mark = text_hash(text), near_copy_mark(text, spans)
+                    rows |= {(entity_of(k, text[a:b]), key, mark) for k, a, b in spans}
+            return _columns(rows, who)
 
         return run
 
-    schema = pa.schema([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string())])
-    seen = kept(map_text(texts, "text", schema, around).distinct())
-    entities = seen.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    pairs = seen.where("term != ''").groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    pairs = kept(pairs.join(entities, "entity"))
-    candidates = kept(pairs.select("term").distinct())
-    bits = _bits(candidates, FILTER_BITS)
-    if bits is None:
-        return pairs.select("entity", "term", F.lit(0.0).alias("share")).limit(0)
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
+    held = kept(map_text(texts, "text", who, holding).distinct())
+    entities = held.groupBy("entity", "mark").agg(F.count("*").alias("n")).groupBy("entity").agg(F.sum("n").alias("n_entity"), effective.alias("different")).where(F.col("different") >= support)
+    entities = kept(entities.select("entity", "n_entity"))
+    known = _filtered(spark, entities.select(F.col("entity").alias("term")))
+    if known is None:
+        return nothing
+
+    # words of the texts that hold one of them
+    both = pa.schema([("entity", pa.string()), ("term", pa.string()), ("text", pa.int64()), ("mark", pa.int64())])
+
+    def beside():
+        often = known()
+
+        def run(part: pa.RecordBatch, texts: list[str]) -> dict:
+            rows = set()
+            for text in texts:
+                spans = base_spans(text)
+                if mine := {e for k, a, b in spans if often(e := entity_of(k, text[a:b]))}:
+                    key, mark, terms = text_hash(text), near_copy_mark(text, spans), {m[0].lower() for m in _outside(text, spans)}
+                    rows |= {(e, t, key, mark) for e in mine for t in terms}
+            return _columns(rows, both)
+
+        return run
+
+    pairs = map_text(texts, "text", both, beside).distinct().groupBy("entity", "term", "mark").agg(F.count("*").alias("n"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), effective.alias("different")).where(F.col("different") >= support)
+    n_texts = docs.select(F.xxhash64(full_text(text_col)).alias("h")).distinct().count()
+    rate = F.col("n_both") / F.col("n_entity")
+    # share >= disclosure means n_term + 1 <= this; of all pairs of a term the greatest limit counts
+    limit = F.lit(float(n_texts)) * rate * F.pow(F.col("n_entity") / F.lit(float(n_texts)), F.lit(disclosure))
+    pairs = kept(pairs.join(entities, "entity").select("entity", "term", "n_both", "n_entity", limit.alias("most")))
+    limits = kept(pairs.groupBy("term").agg(F.max("most").alias("most")))
+    maybe = _filtered(spark, limits.select("term"))
+    if maybe is None:
+        return nothing
+
+    # texts of each term: at least as many as in any one slice of the corpus
+    counts = pa.schema([("term", pa.string()), ("n", pa.int64())])
+
+    def at_least():
+        candidate = maybe()
+
+        def run(part: pa.RecordBatch, texts: list[str]) -> dict:
+            n = Counter(t for text in {text_hash(t): t for t in texts}.values() for t in set(_TERM.findall(text.lower())))
+            found = [(t, k) for t, k in n.items() if k > 1 and candidate(t)]
+            return {"term": [t for t, _ in found], "n": [k for _, k in found]}
+
+        return run
+
+    common = map_text(texts, "text", counts, at_least).groupBy("term").agg(F.max("n").alias("least"))
+    rare = kept(limits.join(common, "term", "left").where(F.col("most") * (1 + 1e-9) >= F.coalesce("least", F.lit(1)) + 1).select("term"))
+    rarely = _filtered(spark, rare)
+    if rarely is None:
+        return nothing
+    where = pa.schema([("term", pa.string()), ("text", pa.int64())])
 
     def counting():
-        there = np.unpackbits(shared.value).astype(bool)
+        candidate = rarely()
 
         def run(part: pa.RecordBatch, texts: list[str]) -> dict:
-            n = Counter(t for text in texts for t in set(_TERM.findall(text.lower())) if there[crc32(t.encode("utf-8", "surrogatepass")) % len(there)])
-            return {"term": list(n), "n": list(n.values())}
+            known: dict[str, bool] = {}
+            rows = set()
+            for text in texts:
+                key = text_hash(text)
+                for t in set(_TERM.findall(text.lower())):
+                    if t not in known:
+                        known[t] = candidate(t)
+                    if known[t]:
+                        rows.add((t, key))
+            return _columns(rows, where)
 
         return run
 
-    each = map_text(texts, "text", pa.schema([("term", pa.string()), ("n", pa.int64())]), counting)
-    terms = each.groupBy("term").agg(F.sum("n").alias("n_term"))
-    n_texts = docs.count()
+    n_term = map_text(texts, "text", where, counting).join(rare, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     own = -F.log2(F.col("n_entity") / F.lit(float(n_texts)))
-    about = F.log2((F.col("n_both") / F.col("n_entity")) / (F.col("n_term") / F.lit(float(n_texts))))  # p(term | entity) against p(term)
+    about = F.log2(rate / ((F.col("n_term") + 1) / F.lit(float(n_texts))))  # p(term | entity) against p(term)
     share = F.when(own > 0, F.least(about / own, F.lit(1.0))).otherwise(F.lit(0.0))
-    return pairs.join(terms, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)
+    return pairs.join(n_term, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= disclosure)
 
 
 def _found_terms(docs: DataFrame, flagged: DataFrame, text_col: str) -> DataFrame:
     """(key, start, end) of flagged terms in texts that hold their entity; key is the text's sha256."""
     spark = docs.sparkSession
-    pair = F.concat_ws("\n", "entity", "term")
-    bits = _bits(flagged.select(pair.alias("term")).distinct(), FILTER_BITS)
-    packed = spark.sparkContext.broadcast(np.packbits(bits if bits is not None else np.zeros(8, bool)))
+    listed = _filtered(spark, flagged.select(F.concat_ws("\n", "entity", "term").alias("term")).distinct())
 
     def find():
-        there = np.unpackbits(packed.value).astype(bool)
+        there = listed() if listed else lambda pair: False
 
         def run(part: pa.RecordBatch, texts: list[str]) -> dict:
             out: dict[str, list] = {c: [] for c in ("key", "entity", "term", "start", "end")}
             for key, text in zip(part.column("key").to_pylist(), texts):
                 spans = base_spans(text)
                 held = {entity_of(k, text[a:b]) for k, a, b in spans}
-                places = [(m[0].lower(), m.start(), m.end()) for m in _outside(text, spans)] if held else []
+                places = [(m[0].lower(), m.start(), m.end()) for m in _outside(text, spans)] if held and listed else []
                 for e in held:
-                    start = crc32(f"{e}\n".encode("utf-8", "surrogatepass"))
                     for term, a, b in places:
-                        if there[crc32(term.encode("utf-8", "surrogatepass"), start) % len(there)]:
+                        if there(f"{e}\n{term}"):
                             for c, v in zip(out, (key, e, term, a, b)):
                                 out[c].append(v)
             return out

@@ -66,25 +66,90 @@ def test_terms_that_disclose(spark):
             assert not spans
 
 
-def test_shares_against_brute_force(spark):
-    """The same estimate, counted in one process."""
+def brute_shares(rows, support=disclosure.SUPPORT):
+    """The same estimate over different texts, counted in one process."""
     import math
     from collections import Counter
 
+    texts = sorted(set(rows))
+    held, terms, mark = {}, {}, {}
+    for t in texts:
+        spans = brute(t)
+        held[t] = {disclosure.entity_of(k, t[a:b]) for k, a, b in spans}
+        masked = "".join(" " if any(a <= i < b for _, a, b in spans) else c for i, c in enumerate(t))
+        terms[t] = set(re.findall(r"[^\W\d_]+", masked.lower()))
+        mark[t] = disclosure.near_copy_mark(t, spans)
+    everywhere = Counter(w for t in texts for w in set(re.findall(r"[^\W\d_]+", t.lower())))
+
+    def different(found):
+        n = Counter(mark[t] for t in found)
+        return sum(n.values()) ** 2 / sum(k * k for k in n.values())
+
+    out = {}
+    for e in set().union(*held.values()):
+        mine = [t for t in texts if e in held[t]]
+        for w in set().union(*(terms[t] for t in mine)):
+            both = [t for t in mine if w in terms[t]]
+            if different(mine) >= support and different(both) >= support:
+                own = -math.log2(len(mine) / len(texts))
+                share = min(1.0, math.log2(len(both) / len(mine) / ((everywhere[w] + 1) / len(texts))) / own) if own > 0 else 0.0
+                if share >= disclosure.DISCLOSURE:
+                    out[e, w] = share
+    return out
+
+
+def shares(spark, rows):
+    return {(r["entity"], r["term"]): r["share"] for r in disclosure.disclosing(plain(spark, list(enumerate(rows)))).collect()}
+
+
+def test_shares_against_brute_force(spark):
     rows = [t for _, t in planted()]
-    seen = {(e, c, t) for text in rows for e, c, terms in disclosure.contexts(text) for t in terms}
-    contexts = {(e, c) for text in rows for e, c, _ in disclosure.contexts(text)}
-    n_entity, both = Counter(e for e, _ in contexts), Counter((e, t) for e, _, t in seen)
-    n_term = Counter(t for text in rows for t in set(re.findall(r"[^\W\d_]+", text.lower())))
-    want = {}
-    for (e, t), n in both.items():
-        if n >= 3 and n_entity[e] >= 3:
-            own = -math.log2(n_entity[e] / len(rows))
-            share = min(1.0, math.log2((n / n_entity[e]) / (n_term[t] / len(rows))) / own) if own > 0 else 0.0
-            if share >= disclosure.DISCLOSURE:
-                want[e, t] = share
-    got = {(r["entity"], r["term"]): r["share"] for r in disclosure.disclosing(plain(spark, planted())).collect()}
-    assert got == pytest.approx(want) and want
+    got = shares(spark, rows)
+    assert got == pytest.approx(brute_shares(rows)) and got
+
+
+def random_words(rnd, n):
+    return " ".join("".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(3, 5))) for _ in range(n))
+
+
+def signatures(n=300, others=600):
+    """Different documents with one signature, among others."""
+    import random
+
+    rnd = random.Random(12)
+    signed = [f"{random_words(rnd, 40)}. Contact Johnx Smithy at js@mail.example.com or call" for _ in range(n)]
+    return signed + [f"{random_words(rnd, 40)} contact at or call" for _ in range(others)]
+
+
+def test_a_signature_discloses_its_names(spark):
+    got = {t for e, t in shares(spark, signatures()) if e == "email:js@mail.example.com"}
+    assert got == {"johnx", "smithy"}
+
+
+def test_copies_do_not_change_a_share(spark):
+    rows = signatures(5, 100)
+    assert shares(spark, rows + [rows[0]] * 3_000) == shares(spark, rows) == pytest.approx(brute_shares(rows))
+
+
+def test_edited_copies_of_one_text_prove_nothing(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = signatures(0, 400)
+    words = f"{random_words(rnd, 60)} write to Johnx Smithy at js@mail.example.com or call {random_words(rnd, 60)}".split()
+    for k in range(200):
+        at = rnd.randrange(50)
+        rows.append(" ".join([*words[:at], random_words(rnd, 1), *words[at + 1 :]]))
+    assert shares(spark, rows) == {}
+
+
+def test_names_far_from_the_address_disclose_too(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [f"Zebulon {random_words(rnd, 60)} js@mail.example.com {random_words(rnd, 20)}" for _ in range(30)] + [random_words(rnd, 80) for _ in range(300)]
+    got = shares(spark, rows)
+    assert set(got) == {("email:js@mail.example.com", "zebulon")} and got == pytest.approx(brute_shares(rows))
 
 
 def test_sanitised_texts(spark):
