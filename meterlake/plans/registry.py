@@ -801,10 +801,10 @@ def stream_offset_range(s, d):
     def build():
         root = scratch_path(s, "offsets")
         log = tables.offset_log(s, d)
-        offset_log.land_log(log, f"{root}/log", 1_000)
+        offset_log.land_log(log, f"{root}/log", 2_500)
         middle = {str(r["partition"]): r["n"] // 2 for r in log.groupBy("partition").agg(F.count("*").alias("n")).collect()}
         for ending in (middle, None):
-            stream = offset_log.offset_log_stream(s, f"{root}/log", dict.fromkeys(middle, 100), ending, 1_000)
+            stream = offset_log.offset_log_stream(s, f"{root}/log", dict.fromkeys(middle, 100), ending, 2_500)
             sinks.capture_bronze(readers.kafka_to_envelope(stream, as_of=AS_OF), f"{root}/data", f"{root}/checkpoint").awaitTermination()
         return f"{root}/data"
     return s.read.parquet(_once(s, d, "offsets", build)).select("raw_event_payload", "partition_id", "offset", "source_system")
