@@ -144,11 +144,9 @@ def _bits(terms: DataFrame, size: int) -> np.ndarray | None:
 
 
 def _filtered(spark: SparkSession, values: DataFrame):
-    """A function that makes, inside a task, a test for values of the frame's column ``term``; None if there are none."""
+    """A function that makes, inside a task, a test for values of the frame's column ``term``."""
     bits = _bits(values, FILTER_BITS)
-    if bits is None:
-        return None
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
+    shared = spark.sparkContext.broadcast(np.packbits(np.zeros(8, bool) if bits is None else bits))
 
     def make() -> Callable[[str], bool]:
         there = np.unpackbits(shared.value).astype(bool)
@@ -165,7 +163,6 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     """(entity, term, share): terms that disclose an entity; share is information about it over the entity's own, by counts of different texts."""
     spark = docs.sparkSession
     texts = docs.select(full_text(text_col).alias("text"))
-    nothing = spark.createDataFrame([], "entity string, term string, share double")
     effective = F.sum("n") * F.sum("n") / F.sum(F.col("n") * F.col("n"))
 
     # entities of enough different texts
@@ -186,8 +183,6 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     entities = held.groupBy("entity", "mark").agg(F.count("*").alias("n")).groupBy("entity").agg(F.sum("n").alias("n_entity"), effective.alias("different")).where(F.col("different") >= support)
     entities = kept(entities.select("entity", "n_entity"))
     known = _filtered(spark, entities.select(F.col("entity").alias("term")))
-    if known is None:
-        return nothing
 
     # words of the texts that hold one of them
     both = pa.schema([("entity", pa.string()), ("term", pa.string()), ("text", pa.int64()), ("mark", pa.int64())])
@@ -215,8 +210,6 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     pairs = kept(pairs.join(entities, "entity").select("entity", "term", "n_both", "n_entity", limit.alias("most")))
     limits = kept(pairs.groupBy("term").agg(F.max("most").alias("most")))
     maybe = _filtered(spark, limits.select("term"))
-    if maybe is None:
-        return nothing
 
     # texts of each term: at least as many as in any one slice of the corpus
     counts = pa.schema([("term", pa.string()), ("n", pa.int64())])
@@ -234,8 +227,6 @@ def disclosing(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     common = map_text(texts, "text", counts, at_least).groupBy("term").agg(F.max("n").alias("least"))
     rare = kept(limits.join(common, "term", "left").where(F.col("most") * (1 + 1e-9) >= F.coalesce("least", F.lit(1)) + 1).select("term"))
     rarely = _filtered(spark, rare)
-    if rarely is None:
-        return nothing
     where = pa.schema([("term", pa.string()), ("text", pa.int64())])
 
     def counting():
@@ -268,14 +259,14 @@ def _found_terms(docs: DataFrame, flagged: DataFrame, text_col: str) -> DataFram
     listed = _filtered(spark, flagged.select(F.concat_ws("\n", "entity", "term").alias("term")).distinct())
 
     def find():
-        there = listed() if listed else lambda pair: False
+        there = listed()
 
         def run(part: pa.RecordBatch, texts: list[str]) -> dict:
             out: dict[str, list] = {c: [] for c in ("key", "entity", "term", "start", "end")}
             for key, text in zip(part.column("key").to_pylist(), texts):
                 spans = base_spans(text)
                 held = {entity_of(k, text[a:b]) for k, a, b in spans}
-                places = [(m[0].lower(), m.start(), m.end()) for m in _outside(text, spans)] if held and listed else []
+                places = [(m[0].lower(), m.start(), m.end()) for m in _outside(text, spans)] if held else []
                 for e in held:
                     for term, a, b in places:
                         if there(f"{e}\n{term}"):
