@@ -50,7 +50,7 @@ def _read_csv(spark: SparkSession, files: Sequence[str], schema: T.StructType, m
     """CSV files as typed columns, each read by its own header with the engine's CSV reader: one scan for all files of a header.
 
     Columns a file lacks are NULL, columns the schema lacks are left out, a value that does not fit its type is NULL. A row with another number of fields than its header keeps its text in
-    ``corrupt_record`` and has no values; so does every row of a file whose header names no column of the schema.
+    ``corrupt_record`` and has no values; so does every row of a file whose header names no column of the schema. Fields are counted in every row, so the parser does not leave out columns.
     """
     frames = []
     for header, own in _by_header(spark, files).items():
@@ -60,7 +60,7 @@ def _read_csv(spark: SparkSession, files: Sequence[str], schema: T.StructType, m
             rows = spark.read.text(own).withColumnRenamed("value", schemas.CORRUPT)
         else:
             fields = [T.StructField(n, T.StringType()) for n in [*known, schemas.CORRUPT]]
-            rows = spark.read.schema(T.StructType(fields)).options(header=True, multiLine=multi_line, columnNameOfCorruptRecord=schemas.CORRUPT, recursiveFileLookup=True).csv(own)
+            rows = spark.read.schema(T.StructType(fields)).options(header=True, multiLine=multi_line, columnNameOfCorruptRecord=schemas.CORRUPT, recursiveFileLookup=True, columnPruning=False).csv(own)
         values = [F.when(corrupt.isNull(), F.col(f.name).try_cast(f.dataType)) if f.name in rows.columns else F.lit(None).cast(f.dataType) for f in schema]
         beside = next((f for f in schema.names if f in rows.columns), None)  # the reader gives the raw text only along with a column
         text = corrupt if beside is None else F.when(F.coalesce(F.length(beside), F.lit(0)) >= 0, corrupt)
