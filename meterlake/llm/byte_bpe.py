@@ -14,7 +14,7 @@ Null texts count as empty: no ids. Rows with equal ids or texts are rows of thei
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.common import full_text, map_text, table
 
-_CACHED_WORDS = 100_000  # words the library remembers in a worker
+_CACHED_WORDS = 200_000  # words the library remembers in a worker
 _AT_ONCE = 200  # texts in one call
 
 
@@ -68,19 +68,24 @@ class ByteBpe:
         self.token_bytes = [None if w is None else bytes(map(byte_of.__getitem__, w)) for w in names]
         self.lengths = np.array([len(t or b"") for t in self.token_bytes], np.int64)
 
+    def ids(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text."""
+        for k in range(0, len(texts), _AT_ONCE):
+            for e in self.library.encode_batch_fast(texts[k : k + _AT_ONCE], add_special_tokens=False):
+                yield e.ids
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
-        out = []
-        for k in range(0, len(texts), _AT_ONCE):
-            out += [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts[k : k + _AT_ONCE], add_special_tokens=False)]
-        return out
+        return [np.array(ids, "<u4") for ids in self.ids(texts)]
 
-    def decode(self, ids: Iterable[int]) -> bytes:
+    def decode(self, ids: Sequence[int]) -> bytes:
         """The bytes of the tokens. An id outside the vocabulary is an error."""
-        found = [self.token_bytes[i] if 0 <= i < len(self.token_bytes) else None for i in ids]
-        if None in found:
-            raise ValueError("an id is not in the vocabulary")
-        return b"".join(found)
+        try:
+            if ids and min(ids) < 0:
+                raise IndexError
+            return b"".join(map(self.token_bytes.__getitem__, ids))
+        except (IndexError, TypeError):  # beyond the table, or a gap in it
+            raise ValueError("an id is not in the vocabulary") from None
 
     def offsets(self, ids: np.ndarray, text: str) -> np.ndarray:
         """(start, end) in code points of each token of the text."""
@@ -151,10 +156,12 @@ def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
         tok = byte_bpe(tokenizer)
 
         def work(part: pa.RecordBatch, texts: list[str]) -> dict:
-            ids = tok.encode(texts)
-            return {
-                "doc_id": part.column("id"), "n_tokens": [len(x) for x in ids], "ids_sha256": [sha256(x.tobytes()).hexdigest() for x in ids],
-                "decoded_sha256": [sha256(tok.decode(x.tolist())).hexdigest() for x in ids]}
+            lengths, encoded, decoded = [], [], []
+            for ids in tok.ids(texts):
+                lengths.append(len(ids))
+                encoded.append(sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+                decoded.append(sha256(tok.decode(ids)).hexdigest())
+            return {"doc_id": part.column("id"), "n_tokens": lengths, "ids_sha256": encoded, "decoded_sha256": decoded}
 
         return work
 
