@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import full_text, held_out, labelled_sample, map_text, table
+from meterlake.llm.common import full_text, held_out, labelled_sample, map_text, slices, table
 
 BITS = 18
 MAX_ROWS = 8_000  # labelled texts the model is fitted on
@@ -32,7 +32,7 @@ class _Codes(dict):
     """crc32 and coarse form of the words last seen, at most a fixed number: word -> code * 4 + form."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 60_000:
             self.clear()
         form = 1 if len(word) > 1 and word.isupper() else 2 if word[0].isalpha() else 3 if word[0].isdigit() else 0
         value = self[word] = crc32(word.lower().encode("utf-8", "surrogatepass")) * 4 + form
@@ -133,7 +133,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for part in batches:
+        for part in slices(batches, f"c_{at}"):
             good = [model.score(t or "") >= threshold for t in part.column(at).to_pylist()]
             yield part.filter(pa.array(good, pa.bool_()))
 
