@@ -15,6 +15,7 @@ Three forms are used:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ from meterlake.functions import as_column
 _SPLIT, _RANK = "__split", "__rank"
 _SLICE, _GROUP = "__slice", "__group"
 _DRAWN, _SEED = 40, 7  # rows drawn for each slice
+_DECIMAL_DIGITS = 38
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -204,11 +206,10 @@ def running_sum(
     return placed.select(*df.columns, total.alias(name))
 
 
-def recent_average(
-    df: DataFrame, key: str, ts: str, value: str, n: int, tie_break: Sequence[str] = (),
-    name: str = "recent_average", slices: int | None = None,
+def _over_recent(
+    df: DataFrame, key: str, ts: str, value: str, n: int, tie_break: Sequence[str], aggregates: dict[str, Column], slices: int | None = None,
 ) -> DataFrame:
-    """Average of ``value`` over the ``n`` rows of the key before this one; NULL for the first row.
+    """``aggregates`` of ``value`` over the ``n`` rows of the key before each one.
 
     A slice borrows the last ``n`` rows of its key that lie in earlier slices; no window needs more than its own group.
     """
@@ -225,16 +226,33 @@ def recent_average(
     both = rows.withColumn("__at", F.lit(None).cast("int")).unionByName(lent, allowMissingColumns=True)
     own = F.col("__at").isNull()
     previous = W.partitionBy(*group).orderBy(own, "__at", *order).rowsBetween(-n, -1)
-    return both.withColumn(name, F.avg(value).over(previous)).where(own).select(*df.columns, name)
+    return both.withColumns({new: made.over(previous) for new, made in aggregates.items()}).where(own).select(*df.columns, *aggregates)
+
+
+def recent_average(
+    df: DataFrame, key: str, ts: str, value: str, n: int, tie_break: Sequence[str] = (),
+    name: str = "recent_average", slices: int | None = None,
+) -> DataFrame:
+    """Average of ``value`` over the ``n`` rows of the key before this one; NULL for the first row."""
+    return _over_recent(df, key, ts, value, n, tie_break, {name: F.avg(value)}, slices)
 
 
 def recent_avg_anomaly(
     df: DataFrame, key: str, ts: str, value: str, n: int, factor: float = 3, tie_break: Sequence[str] = (),
     name: str = "recent_average",
 ) -> DataFrame:
-    """Rows whose value exceeds ``factor`` times the positive average of the key's ``n`` rows before."""
-    averaged = recent_average(df, key, ts, value, n, tie_break, name)
-    return averaged.where((F.col(name) > 0) & (F.col(value) > F.col(name) * factor))
+    """Rows whose value exceeds ``factor`` times the positive average of the key's ``n`` rows before.
+
+    The average of decimals is rounded, so decimals are compared as ``value * rows > factor * sum``, where that fits a decimal.
+    """
+    total, rows = "__recent_total", "__recent_rows"
+    seen = _over_recent(df, key, ts, value, n, tie_break, {name: F.avg(value), total: F.sum(value), rows: F.count(value)})
+    above = F.col(value) > F.col(name) * factor
+    kind, times = df.schema[value].dataType, Decimal(str(factor))
+    width = max(len(times.as_tuple().digits), -times.as_tuple().exponent)
+    if isinstance(kind, T.DecimalType) and times.as_tuple().exponent <= 0 and kind.precision + 11 + width <= _DECIMAL_DIGITS:
+        above = F.col(value) * F.col(rows).cast(T.DecimalType(10, 0)) > F.col(total) * F.lit(times)
+    return seen.where((F.col(name) > 0) & above).drop(total, rows)
 
 
 # -- limits --------------------------------------------------------------------

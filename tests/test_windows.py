@@ -126,3 +126,12 @@ def test_limits(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(9)], "a int, b int")
     assert [tuple(r) for r in windows.top_k(df, "a", 2, ["b"]).collect()] == [(2, 2), (2, 5)]
     assert windows.newest(df.withColumn("t", F.col("b")), "t", 4).count() == 4
+
+
+def test_recent_average_anomaly_compares_decimals_exactly(spark):
+    """The average of three values is no decimal: a value of just three times it does not exceed it."""
+    rows = [("a", 1, "3.3333"), ("a", 2, "3.3333"), ("a", 3, "3.3334"), ("a", 4, "10.0000"), ("b", 1, "3.3333"), ("b", 2, "3.3333"), ("b", 3, "3.3334"), ("b", 4, "10.0001")]
+    df = spark.createDataFrame(rows, "key string, ts int, value string").withColumn("value", F.col("value").cast("decimal(12,4)"))
+    hits = windows.recent_avg_anomaly(df, "key", "ts", "value", n=5)
+    assert hits.columns == ["key", "ts", "value", "recent_average"]
+    assert [(r["key"], r["ts"]) for r in hits.collect()] == [("b", 4)]
