@@ -185,17 +185,20 @@ def rejected_metadata(customers: DataFrame, meters: DataFrame, tariffs: DataFram
 
 
 # -- events ---------------------------------------------------------------------
+_ENVELOPE = ("raw_event_payload", "ingestion_timestamp", "bronze_source_system", "partition_id", "offset", "producer_metadata")
+
+
 def parse_events(envelope: DataFrame, schema=schemas.EVENT) -> DataFrame:
     """Flatten the JSON payload beside the envelope.
 
     A permissive parse yields a struct of NULLs for broken text, so whether the text was a JSON object
     is kept as its own column, ``is_malformed``; such a row has no fields.
     """
-    return envelope.select(
-        "raw_event_payload", "ingestion_timestamp", F.col("source_system").alias("bronze_source_system"),
-        "partition_id", "offset", "producer_metadata",
-        is_malformed_json("raw_event_payload").alias("is_malformed"),
-    ).withColumn(
+    return _parsed(envelope.withColumn("bronze_source_system", F.col("source_system")).select(*_ENVELOPE), schema)
+
+
+def _parsed(envelope: DataFrame, schema=schemas.EVENT) -> DataFrame:
+    return envelope.withColumn("is_malformed", is_malformed_json("raw_event_payload")).withColumn(
         "parsed", F.when(~F.col("is_malformed"), F.from_json("raw_event_payload", schema))
     ).select("*", "parsed.*").drop("parsed").withColumns({
         "event_ts": event_timestamp("event_timestamp"),
@@ -206,11 +209,14 @@ def parse_events(envelope: DataFrame, schema=schemas.EVENT) -> DataFrame:
 def validate_events(
     envelope: DataFrame, regions: Sequence[str] = schemas.REGIONS, trim: bool = False,
 ) -> DataFrame:
-    """Parsed events with ``rejection_reason``; the first event per id by ingestion time, then payload, stays."""
+    """Parsed events with ``rejection_reason``; the first event per id by ingestion time, then payload, stays.
+
+    Only the envelope and the id are dealt out and sorted; the fields are parsed again behind the ranking.
+    """
     marked = mark_duplicates(
-        parse_events(envelope), ["event_id"], [F.asc_nulls_last("ingestion_timestamp"), "raw_event_payload"])
+        parse_events(envelope).select(*_ENVELOPE, F.col("event_id").alias("__id")), ["__id"], [F.asc_nulls_last("ingestion_timestamp"), "raw_event_payload"])
     rules = event_rules(regions, duplicate=F.col("is_duplicate"), trim=trim)
-    return marked.withColumn(REASON, rejection_reason(rules, STREAM_SEPARATOR)).drop("is_duplicate")
+    return _parsed(marked.drop("__id")).withColumn(REASON, rejection_reason(rules, STREAM_SEPARATOR)).drop("is_duplicate")
 
 
 def clean_events(validated: DataFrame, as_of: str | None = None) -> DataFrame:

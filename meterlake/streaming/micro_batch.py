@@ -55,6 +55,13 @@ def batch_metrics(validated: DataFrame, batch_id: int, as_of: str | None = None)
     ).withColumn("latest_processed_timestamp", now(as_of))
 
 
+def _needed(validated: DataFrame) -> DataFrame:
+    """What the six tables are made of. A valid row's raw text is in none of them, so only rejects keep theirs; what is left out here is not dealt out for the ranking either."""
+    raw = F.when(F.col(REASON) != "", F.col("raw_event_payload")).alias("raw_event_payload")
+    fields = ("event_id", "meter_id", "customer_id", "region_name", "event_ts", "kwh", "voltage", "event_type", "source_system", "producer_ts")
+    return validated.select(raw, "ingestion_timestamp", "bronze_source_system", *fields, REASON)
+
+
 def process_batch(
     batch: DataFrame, batch_id: int, sinks: Sinks, regions: Sequence[str] = schemas.REGIONS, as_of: str | None = None,
 ) -> None:
@@ -67,7 +74,7 @@ def process_batch(
     if batch.isEmpty():
         log.info("batch %s: no events", batch_id)
         return
-    validated = validate_events(batch, regions).persist()
+    validated = _needed(validate_events(batch, regions)).persist()
     try:
         clean = clean_events(validated, as_of)
         _, rejected = split_valid(validated)

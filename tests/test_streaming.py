@@ -186,3 +186,17 @@ def test_absurd_values_become_rejects(spark, tmp_path):
     batch = spark.createDataFrame([(event(n, kwh=k), START, "s", None, None, None) for n, k in enumerate([1.0, 1e300, 1e12, 99_999_999.5])], schemas.ENVELOPE)
     micro_batch.process_batch(batch, 0, sinks, schemas.REGIONS)
     assert micro_batch.read_batches(spark, sinks.clean).count() == 2 and micro_batch.read_batches(spark, sinks.rejected).count() == 2
+
+
+def test_only_what_the_tables_need_is_dealt_out_and_kept(spark):
+    """The ranking of repeats carries the raw text and the id, no parsed field and no metadata; a valid row's text is not cached."""
+    lines = [event(1), event(1), event(2, kwh=-1), "{broken"]
+    envelope = spark.createDataFrame([(line, "folder/file", AS_OF) for line in lines], "raw_event_payload string, producer_metadata string, at string").selectExpr(
+        "raw_event_payload", "timestamp(at) AS ingestion_timestamp", "'landing' AS source_system", "'0' AS partition_id", "'7' AS offset", "producer_metadata")
+    validated = micro_batch._needed(micro_batch.validate_events(envelope))
+    below = validated._jdf.queryExecution().optimizedPlan().toString().split("Window [")[-1]
+    assert "kwh" not in below and "producer_metadata AS" not in below
+    rows = {(r["event_id"], r["rejection_reason"]): r["raw_event_payload"] for r in validated.collect()}
+    assert rows == {("e0001", ""): None, ("e0001", "Duplicate event_id in micro-batch"): lines[0], ("e0002", "Negative kwh"): lines[2], (None, next(k for i, k in rows if i is None)): lines[3]}
+    whole = micro_batch.validate_events(envelope)
+    assert {(r["producer_metadata"], r["partition_id"], r["offset"], r["bronze_source_system"]) for r in whole.collect()} == {("folder/file", "0", "7", "landing")}
