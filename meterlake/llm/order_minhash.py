@@ -8,7 +8,8 @@ order. Candidates are aligned word by word in a band around the diagonal; they a
 
 No bucket is expanded into all its pairs: every text is aligned with the smallest of its bucket. Where some are unlike that one, all are sketched anew, from the shingles
 they do not share with it and, by other functions, from all they have, and meet in smaller buckets; LOOKS looks in all, or as many as there are new pairs (``looks=None``). Work is in proportion to the texts and looks, also where thousands of texts
-share a passage; no bucket and no number of partners is capped, and hot keys are joined with Spark's skew handling. A link between different texts is lost only if no key agrees in any look; README has the recall.
+share a passage; no bucket and no number of partners is capped, and hot keys are joined with Spark's skew handling. What is still of different classes in a bucket after the looks is then aligned pair by pair, which is as many pairs as there are,
+in blocks of fixed size. A link between different texts is lost only if no key agrees in any look.
 
 Nulls count as empty texts. Texts with the same words are one node of the graph (all texts without a word are one). The class id is the smallest
 id in the class, a null id only if all are null. Rows with equal ids and texts get equal results. Extra columns don't matter.
@@ -35,6 +36,8 @@ SKETCHES, PICKS = 32, 5
 REST_SKETCHES, REST_PICKS = 12, 2  # for texts unlike the smallest of their bucket: of what they have besides it,
 LOOKS = 3  # how often the texts of a bucket are looked at, anew sketched; recall in README
 _REST_FIRST = 1 << 20  # numbers of their functions
+_BLOCK = 256  # texts of a bucket that meet as many others in one task
+_COUNTS = 32  # classes of words whose counts are compared before an alignment
 WHOLE_PICKS = 10  # and SKETCHES of all they have, with more picks, so that a shared passage alone is less often enough
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -285,7 +288,10 @@ def linked(rows: DataFrame, least: float = SIMILARITY, looks: int | None = LOOKS
     First look: the nodes of a bucket are aligned with its smallest one. Where some are unlike it, all that were aligned with the same node, alike to it or not, are sketched anew, meet in new buckets
     and are looked at again, ``looks`` times in all. Nodes alike to the same node are linked and not paired again. ``looks=None`` goes on until no bucket holds a pair that was not looked at, with new functions each time. Each look is
     stored, so that plans do not grow.
+
+    Last, texts of different classes that met in a bucket of any look are aligned with each other (``_left_out``): no pair with a key in common goes unseen.
     """
+    met: list[DataFrame] = []
     pairs = kept(_with_heads(rows.select("node", F.explode("keys").alias("key")).distinct().withColumn("label", F.col("node"))))
     seen, at = None, 0
     while looks is None or at < looks:
@@ -299,8 +305,55 @@ def linked(rows: DataFrame, least: float = SIMILARITY, looks: int | None = LOOKS
             going_on = kept(seen.join(looked_at.select("a").distinct(), "a", "left_semi").join(unlike, "a", "left_semi"))
             labels = seen.where("alike").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("low"))
             members = _anew(going_on, _texts_of(_nodes(going_on), rows), at).join(labels, "node", "left").select("node", "key", F.least("node", F.coalesce("low", "node")).alias("label"))
-            pairs = kept(_with_heads(written(members, "members")).join(seen, ["a", "b"], "left_anti"))
-    return pairs if seen is None else seen.where("alike").select("a", "b")
+            met.append(written(members, "members"))
+            pairs = kept(_with_heads(met[-1]).join(seen, ["a", "b"], "left_anti"))
+    if seen is None:
+        return pairs
+    links = seen.where("alike").select("a", "b")
+    rest, texts = _left_out(seen, met, rows, least)
+    return links.unionAll(verify(rest, texts, least).where("alike").select("a", "b"))
+
+
+def _left_out(seen: DataFrame, met: list[DataFrame], rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs, texts): pairs (a, b) of different classes with a key in common that were not aligned, as a bucket's texts are aligned with its smallest one only, and the words of their texts.
+
+    Both were aligned with one that is unlike some text, so no other text is looked at. A bucket is cut into blocks, and two blocks meet in a task of their own. As many pairs are met as there are of different classes in a
+    bucket; of those only the ones whose lengths and counts of words allow the similarity go on to their texts.
+    """
+    unlike = seen.where(~F.col("alike")).select("a").distinct()
+    nodes = kept(seen.join(unlike, "a", "left_semi").select(F.col("b").alias("node")).distinct())
+    texts = _texts_of(nodes, rows)
+    keyed = tested(rows.select("node", "keys"), "node", filter_of(nodes, "node")).where("maybe").select("node", F.explode("keys").alias("key"))
+    for members in met:
+        keyed = keyed.unionAll(members.select("node", "key"))
+    roots = components(seen.where("alike").select("a", "b"))
+    own = texts.select("node", (F.length("words") / 4).alias("n")).join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("label"))
+    keyed = kept(keyed.distinct().join(own, "node"))
+    mixed = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")).where("low != high").select("key", "blocks")
+    cells = keyed.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    a, b = (cells.where(F.col("block") == F.col(side)).select("key", "x", "y", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]) for side in "xy")
+    fits = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * least
+    both = a.join(b, ["key", "x", "y"]).where((F.col("label_x") != F.col("label_y")) & fits & ((F.col("x") < F.col("y")) | (F.col("node_x") < F.col("node_y"))))
+    pairs = both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
+    return kept(_possible(pairs, texts, least)), texts
+
+
+def _possible(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs whose words, counted in a few classes of words, agree often enough for the similarity; no alignment has more equal words than these counts have in common."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _few_rows(batches):
+            counts = [np.bincount(np.frombuffer(x, np.uint32) % _COUNTS, minlength=_COUNTS).astype(np.uint32).tobytes() for x in part.column("words").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"node": part.column("node"), "words": counts}, schema=pa.schema([("node", pa.binary()), ("words", pa.binary())]))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, _COUNTS).astype(np.int64) for c in ("wa", "wb"))
+            able = np.minimum(x, y).sum(axis=1) >= least * np.maximum(x.sum(axis=1), y.sum(axis=1))
+            yield part.select(["a", "b"]).filter(pa.array(able))
+
+    counted = kept(texts.select("node", "words").mapInArrow(count, "node binary, words binary"))
+    return _with_texts(pairs, counted).mapInArrow(check, "a binary, b binary")
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:

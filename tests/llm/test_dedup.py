@@ -193,3 +193,17 @@ def test_near_edges(odd, none):
 def test_stages_keep_columns_of_any_name(spark):
     df = frame(spark, [(1, "one text"), (2, "another text")])
     assert order_minhash.deduplicate(exact_dedup.deduplicate(df)).columns == df.columns
+
+
+@pytest.mark.parametrize("block", [5, 256])  # a bucket in many blocks, or in one
+def test_texts_unlike_the_head_of_their_bucket_meet_each_other(spark, tmp_path, monkeypatch, block):
+    """All share one key, the smallest is unlike every other, and the others are alike two by two: one look at the head finds none of them."""
+    monkeypatch.setattr(order_minhash, "_BLOCK", block)
+    rows = [(bytes([0]), [7], np.arange(20, dtype=np.uint32).tobytes())]
+    for i in range(1, 41):
+        words = np.arange(20, dtype=np.uint32) + 1000 * ((i + 1) // 2)
+        words[-1] += i
+        rows.append((bytes([i]), [7, 100 + i], words.tobytes()))
+    spark.createDataFrame([(bytearray(n), k, bytearray(w)) for n, k, w in rows], "node binary, keys array<bigint>, words binary").write.parquet(f"{tmp_path}/rows")
+    got = {(r["a"][0], r["b"][0]) for r in order_minhash.linked(spark.read.parquet(f"{tmp_path}/rows"), looks=1).collect()}
+    assert got == {(i, i + 1) for i in range(1, 41, 2)}
