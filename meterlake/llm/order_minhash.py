@@ -8,8 +8,8 @@ order. Candidates are aligned word by word in a band around the diagonal; they a
 
 No bucket is expanded into all its pairs: every text is aligned with the smallest of its bucket. Where some are unlike that one, all are sketched anew, from the shingles
 they do not share with it and, by other functions, from all they have, and meet in smaller buckets; LOOKS looks in all, or as many as there are new pairs (``looks=None``). Work is in proportion to the texts and looks, also where thousands of texts
-share a passage; no bucket and no number of partners is capped, and hot keys are joined with Spark's skew handling. What is still of different classes in a bucket after the looks is then aligned pair by pair, which is as many pairs as there are,
-in blocks of fixed size. A link between different texts is lost only if no key agrees in any look.
+share a passage; no bucket and no number of partners is capped, and hot keys are joined with Spark's skew handling. What is still of different classes in a bucket after the looks is then met pair by pair,
+in blocks of fixed size; pairs whose lengths or counts of words rule the similarity out become no rows, the others are aligned. A link between different texts is lost only if no key agrees in any look.
 
 Nulls count as empty texts. Texts with the same words are one node of the graph (all texts without a word are one). The class id is the smallest
 id in the class, a null id only if all are null. Rows with equal ids and texts get equal results. Extra columns don't matter.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm.bitmaps import filter_of, looked_up, tested
-from meterlake.llm.common import full_text, kept, map_text, table, written
+from meterlake.llm.common import full_text, give_back, kept, map_text, table, written
 from meterlake.llm.graph import components
 
 SHINGLE = 5
@@ -36,8 +37,9 @@ SKETCHES, PICKS = 32, 5
 REST_SKETCHES, REST_PICKS = 12, 2  # for texts unlike the smallest of their bucket: of what they have besides it,
 LOOKS = 3  # how often the texts of a bucket are looked at, anew sketched; recall in README
 _REST_FIRST = 1 << 20  # numbers of their functions
-_BLOCK = 256  # texts of a bucket that meet as many others in one task
-_COUNTS = 32  # classes of words whose counts are compared before an alignment
+_BLOCK = 1_024  # texts of a bucket that meet as many others in one cell
+_GROUPS, _GROUP_BYTES = 24, 8 << 20  # groups of texts of pairs left over: their least number, words of one
+_COUNTS = 128  # classes of words whose counts are compared before an alignment
 WHOLE_PICKS = 10  # and SKETCHES of all they have, with more picks, so that a shared passage alone is less often enough
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -136,16 +138,16 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     if np.minimum(counts[i], more[j]).sum() < least * n:
         return 0.0
     widest = n - int(np.ceil(least * n)) + 1
-    band = min(32, widest)
+    band = min(64, widest)
     while True:
-        score = _banded(a, b, band) / n
+        score = _banded(a, b, band, least * n) / n
         if score >= least or band >= widest:
             return score
         band = min(2 * band, widest)
 
 
-def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Length of the longest common subsequence with pairs at most ``band`` apart, in blocks of rows that slide along the diagonal."""
+def _banded(a: np.ndarray, b: np.ndarray, band: int, need: float = 0) -> int:
+    """Length of the longest common subsequence with pairs at most ``band`` apart, in blocks of rows that slide along the diagonal. A number under ``need`` as soon as the rows left cannot reach it."""
     rows = max(64, band)
     seen = 0
     low = -band  # column of the vector's lowest bit
@@ -172,6 +174,8 @@ def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
         v = v >> rows | ((1 << rows) - 1) << (width - rows)
         low += rows
         if start + rows < len(left):
+            if (most := seen + width - v.bit_count() + len(left) - start - rows) < need:
+                return most
             places = {}
             for j in range(max(low, 0), min(len(right), low + width)):
                 places[right[j]] = places.get(right[j], 0) | 1 << (j - low)
@@ -244,6 +248,7 @@ def _few_rows(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+    give_back()
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -310,15 +315,14 @@ def linked(rows: DataFrame, least: float = SIMILARITY, looks: int | None = LOOKS
     if seen is None:
         return pairs
     links = seen.where("alike").select("a", "b")
-    rest, texts = _left_out(seen, met, rows, least)
-    return links.unionAll(verify(rest, texts, least).where("alike").select("a", "b"))
+    return links.unionAll(_alike(*_left_out(seen, met, rows, least), least))
 
 
 def _left_out(seen: DataFrame, met: list[DataFrame], rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """(pairs, texts): pairs (a, b) of different classes with a key in common that were not aligned, as a bucket's texts are aligned with its smallest one only, and the words of their texts.
 
-    Both were aligned with one that is unlike some text, so no other text is looked at. A bucket is cut into blocks, and two blocks meet in a task of their own. As many pairs are met as there are of different classes in a
-    bucket; of those only the ones whose lengths and counts of words allow the similarity go on to their texts.
+    Both were aligned with one that is unlike some text, so no other text is looked at. A bucket is cut into blocks, and two blocks meet in one cell, where lengths and counts of words are compared as arrays: only a
+    pair that allows the similarity becomes a row. What is compared grows with the square of the different classes in a bucket; rows and memory don't.
     """
     unlike = seen.where(~F.col("alike")).select("a").distinct()
     nodes = kept(seen.join(unlike, "a", "left_semi").select(F.col("b").alias("node")).distinct())
@@ -327,33 +331,94 @@ def _left_out(seen: DataFrame, met: list[DataFrame], rows: DataFrame, least: flo
     for members in met:
         keyed = keyed.unionAll(members.select("node", "key"))
     roots = components(seen.where("alike").select("a", "b"))
-    own = texts.select("node", (F.length("words") / 4).alias("n")).join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("label"))
-    keyed = kept(keyed.distinct().join(own, "node"))
+    counted = kept(_counted(texts).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "counts", "n"))
+    keyed = kept(keyed.distinct().join(counted.select("node", "label"), "node"))
     mixed = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")).where("low != high").select("key", "blocks")
-    cells = keyed.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
-    a, b = (cells.where(F.col("block") == F.col(side)).select("key", "x", "y", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]) for side in "xy")
-    fits = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * least
-    both = a.join(b, ["key", "x", "y"]).where((F.col("label_x") != F.col("label_y")) & fits & ((F.col("x") < F.col("y")) | (F.col("node_x") < F.col("node_y"))))
-    pairs = both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-    return kept(_possible(pairs, texts, least)), texts
+    placed = keyed.select("node", "key").join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(counted, "node")
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "label", "counts", "n")
+    possible = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_possible(least), "a binary, b binary")
+    return kept(possible.distinct().join(seen, ["a", "b"], "left_anti")), texts
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs that are alike, stored. Texts are dealt into groups and two groups meet in one cell, so a text travels once for each cell it has a pair in, however many pairs that is."""
+    groups = max(_GROUPS, -(-(texts.agg(F.sum(F.length("words")).alias("n")).first()["n"] or 0) // _GROUP_BYTES))
+    cell = [F.pmod(F.xxhash64(c), F.lit(groups)).alias(f"of_{c}") for c in "ab"]
+    placed = pairs.select("a", "b", *cell)
+    held = placed.select("of_a", "of_b", F.explode(F.array("a", "b")).alias("node")).distinct().join(texts.select("node", "words"), "node")
+    none = F.lit(None).cast("binary")
+    rows = held.select("of_a", "of_b", F.col("node").alias("a"), none.alias("b"), "words").unionAll(placed.select("of_a", "of_b", "a", "b", none.alias("words")))
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-
-def _possible(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs whose words, counted in a few classes of words, agree often enough for the similarity; no alignment has more equal words than these counts have in common."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, words = None, {}  # texts of one cell; they come before its pairs
         for part in _few_rows(batches):
-            counts = [np.bincount(np.frombuffer(x, np.uint32) % _COUNTS, minlength=_COUNTS).astype(np.uint32).tobytes() for x in part.column("words").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"node": part.column("node"), "words": counts}, schema=pa.schema([("node", pa.binary()), ("words", pa.binary())]))
+            found = []
+            for of_a, of_b, a, b, w in zip(*[part.column(c).to_pylist() for c in ("of_a", "of_b", "a", "b", "words")]):
+                if (of_a, of_b) != now:
+                    now, words = (of_a, of_b), {}
+                if b is None:
+                    words[a] = np.frombuffer(w, np.uint32)
+                elif aligned(words[a], words[b], least) >= least:
+                    found.append((a, b))
+            yield pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=schema)
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, _COUNTS).astype(np.int64) for c in ("wa", "wb"))
-            able = np.minimum(x, y).sum(axis=1) >= least * np.maximum(x.sum(axis=1), y.sum(axis=1))
-            yield part.select(["a", "b"]).filter(pa.array(able))
+    return written(rows.repartition("of_a", "of_b").sortWithinPartitions("of_a", "of_b", F.col("b").asc_nulls_first()).mapInArrow(check, "a binary, b binary"), "alike")
 
-    counted = kept(texts.select("node", "words").mapInArrow(count, "node binary, words binary"))
-    return _with_texts(pairs, counted).mapInArrow(check, "a binary, b binary")
+
+def _counted(texts: DataFrame) -> DataFrame:
+    """(node, counts, n): the words of a text counted in a few classes of words, one byte for each class, and their number."""
+    schema = pa.schema([("node", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _few_rows(batches):
+            words = [np.frombuffer(x, np.uint32) for x in part.column("words").to_pylist()]
+            counts = [np.minimum(np.bincount(w % _COUNTS, minlength=_COUNTS), 255).astype(np.uint8).tobytes() for w in words]
+            yield pa.RecordBatch.from_pydict({"node": part.column("node"), "counts": counts, "n": list(map(len, words))}, schema=schema)
+
+    return texts.select("node", "words").mapInArrow(count, "node binary, counts binary, n bigint")
+
+
+def _possible(least: float) -> Callable:
+    """(a, b): pairs of a cell, of different labels, whose lengths and counts of words allow the similarity. No alignment has more equal words than the counts have in common and the words beyond a full byte."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def compare(cell: pa.Table) -> Iterator[tuple[bytes, bytes]]:
+        n, block = (cell.column(c).to_numpy() for c in ("n", "block"))
+        label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        counts = np.frombuffer(b"".join(cell.column("counts").to_pylist()), np.uint8).reshape(-1, _COUNTS)
+        beyond = n - counts.sum(axis=1, dtype=np.int64)
+        node = cell.column("node").to_pylist()
+        one = cell.column("x")[0].as_py() == cell.column("y")[0].as_py()
+        for i in range(len(n)):
+            j = np.arange(i + 1, len(n))
+            j = j[(label[j] != label[i]) & (one | (block[j] != block[i])) & (np.minimum(n[j], n[i]) >= np.maximum(n[j], n[i]) * least)]
+            if len(j):
+                common = np.minimum(counts[j], counts[i]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[j], beyond[i])
+                j = j[common >= least * np.maximum(n[j], n[i])]
+                for k in j.tolist():
+                    yield min(node[i], node[k]), max(node[i], node[k])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
+        open_cell: pa.Table | None = None  # rows of the last cell, which may go on in the next batch
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if open_cell is None else pa.concat_tables([open_cell, part])
+            at = [part.column(c).to_numpy() for c in ("key", "x", "y")]
+            starts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in at], axis=0)) + 1).tolist()] if part.num_rows else []
+            for start, end in zip(starts, starts[1:]):
+                yield from compare(part.slice(start, end - start))
+            open_cell = part.slice(starts[-1]) if starts else None
+        if open_cell is not None:
+            yield from compare(open_cell)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pairs(batches)
+        while some := list(islice(found, 10_000)):
+            yield pa.RecordBatch.from_pydict({"a": [a for a, _ in some], "b": [b for _, b in some]}, schema=schema)
+
+    return run
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:

@@ -207,3 +207,38 @@ def test_texts_unlike_the_head_of_their_bucket_meet_each_other(spark, tmp_path,
     spark.createDataFrame([(bytearray(n), k, bytearray(w)) for n, k, w in rows], "node binary, keys array<bigint>, words binary").write.parquet(f"{tmp_path}/rows")
     got = {(r["a"][0], r["b"][0]) for r in order_minhash.linked(spark.read.parquet(f"{tmp_path}/rows"), looks=1).collect()}
     assert got == {(i, i + 1) for i in range(1, 41, 2)}
+
+
+def test_alignment_ends_early_only_below_the_similarity():
+    rnd = random.Random(11)
+    for _ in range(150):
+        n = rnd.randint(60, 700)
+        a = [rnd.randrange(400) for _ in range(n)]
+        b = edited(rnd, a, int(n * rnd.choice([0.05, 0.15, 0.25, 0.4])))
+        code: dict = {}
+        x, y = (np.array([code.setdefault(w, len(code)) for w in t], np.uint32) for t in (a, b))
+        most = max(len(x), len(y))
+        whole = order_minhash._banded(x, y, most)
+        for band in (64, most):
+            exact, got = order_minhash._banded(x, y, band), order_minhash._banded(x, y, band, 0.8 * most)
+            assert got == exact or exact <= got < 0.8 * most
+        assert (order_minhash.aligned(x, y) >= 0.8) == (whole >= 0.8 * most)
+
+
+@pytest.mark.parametrize("block", [7, 1_024])
+def test_pairs_without_enough_common_words_become_no_rows(spark, tmp_path, monkeypatch, block):
+    """300 texts share a key and a passage, and two of them are alike: the bucket has 44,850 pairs, of which only that one is left to be aligned."""
+    monkeypatch.setattr(order_minhash, "_BLOCK", block)
+    passage = np.arange(100, dtype=np.uint32)
+    texts = [np.concatenate([passage, np.random.default_rng(i).integers(1 << 20, 1 << 31, 160).astype(np.uint32)]) for i in range(300)]
+    texts[7] = texts[200].copy()
+    texts[7][-20:] = np.arange(5_000, 5_020, dtype=np.uint32)
+    texts += [np.full(1_000, 9, np.uint32), np.concatenate([np.full(900, 9, np.uint32), np.arange(100, 200, dtype=np.uint32)])]  # counts beyond a byte
+    node = lambda i: i.to_bytes(4, "big")
+    spark.createDataFrame([(bytearray(node(i)), [1], bytearray(w.tobytes())) for i, w in enumerate(texts)], "node binary, keys array<bigint>, words binary").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    seen = spark.createDataFrame([(bytearray(node(0)), bytearray(node(i)), False) for i in range(1, len(texts))], "a binary, b binary, alike boolean")
+    pairs, words = order_minhash._left_out(seen, [], rows, 0.8)
+    want = {(7, 200), (300, 301)}
+    read = lambda df: {tuple(int.from_bytes(r[c], "big") for c in "ab") for r in df.collect()}
+    assert read(pairs) == want and read(order_minhash._alike(pairs, words, 0.8)) == want
