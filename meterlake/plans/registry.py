@@ -22,6 +22,7 @@ from meterlake.streaming import micro_batch, partials, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+_LANDED = 8  # files of a landed batch, each written by a task of its own
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -747,8 +748,8 @@ def stream_fact_incremental(s, d):
         payloads = tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value"))
         half = F.xxhash64("value") % 2 == 0
         for load, rows in (("load_1", payloads.where(half)), ("load_2", payloads.where(~half))):
-            sinks.write_events(rows.repartition(2), f"{root}/landing")
-            stream = readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=1)
+            sinks.write_events(rows.repartition(2 * _LANDED), f"{root}/landing")
+            stream = readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=_LANDED)
             micro_batch.run_medallion(stream, out, f"{root}/checkpoint", REGIONS, AS_OF)
             stream_load.load_new(s, out, known, f"{root}/readings", f"{root}/anomalies", f"{root}/processed", load)
         assert stream_load.load_new(s, out, known, f"{root}/readings", f"{root}/anomalies", f"{root}/processed", "load_3") is None
@@ -860,9 +861,9 @@ def stream_hourly_merged(s, d):
             clean = cleaning.clean_events(cleaning.validate_events(batch, REGIONS), AS_OF)
             partials.add_hours(clean, batch_id, where, numbers)
 
-        # six files in three batches: a repeat of an event often lies in another batch
-        sinks.write_events(tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value")).repartition(6), f"{root}/landing")
-        micro_batch.run_stream(readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=2), add, f"{root}/checkpoint")
+        # three batches of files that many tasks write: a repeat of an event often lies in another batch
+        sinks.write_events(tables.event_payloads(s, d).select(F.col("raw_event_payload").alias("value")).repartition(3 * _LANDED), f"{root}/landing")
+        micro_batch.run_stream(readers.text_event_stream(s, f"{root}/landing", as_of=AS_OF, max_files=_LANDED), add, f"{root}/checkpoint")
         return where
     return _without_audit(partials.merged_hours(s, _once(s, d, "hour_parts", build), AS_OF))
 

@@ -60,13 +60,20 @@ def add_hours(clean: DataFrame, batch_id: int, where: HourParts, numbers: DataFr
     and a batch that is retried sees only batches before it, so it makes the same part again.
     """
     spark = clean.sparkSession
-    fresh = latest_per_key(clean, ["event_id"], "record_hash", ["event_timestamp"]).withColumn("event_day", F.to_date("event_timestamp"))
-    if batch_id and exists(spark, where.seen):
-        before = spark.read.schema(_SEEN).parquet(where.seen).where(F.col("batch_id") < batch_id)
-        days = fresh.select("event_day").distinct()
-        fresh = fresh.join(before.join(days, "event_day", "left_semi").select("event_id", "event_day"), ["event_id", "event_day"], "left_anti")
-    write_batch(fresh.select("event_id", "event_day"), where.seen, batch_id, partition_by=["event_day"])
-    write_batch(hour_parts(fresh, numbers), where.parts, batch_id)
+    once = latest_per_key(clean, ["event_id"], "record_hash", ["event_timestamp"]).withColumn("event_day", F.to_date("event_timestamp"))
+    # events are parsed, judged and ranked once, for the days, the ids and the parts
+    first = once.select("event_id", "event_day", "event_timestamp", "event_type", "region_name", "meter_id", "kwh").persist()
+    fresh = first
+    try:
+        if batch_id and exists(spark, where.seen):
+            before = spark.read.schema(_SEEN).parquet(where.seen).where(F.col("batch_id") < batch_id)
+            days = first.select("event_day").distinct()
+            fresh = first.join(before.join(days, "event_day", "left_semi").select("event_id", "event_day"), ["event_id", "event_day"], "left_anti").persist()
+        write_batch(fresh.select("event_id", "event_day"), where.seen, batch_id, partition_by=["event_day"])
+        write_batch(hour_parts(fresh, numbers), where.parts, batch_id)
+    finally:
+        fresh.unpersist()
+        first.unpersist()
 
 
 def merged_hours(spark: SparkSession, where: HourParts, as_of: str | None = None) -> DataFrame:

@@ -45,6 +45,23 @@ def test_parts_of_batches_merge_exactly(spark, tmp_path, numbers):
     assert plain(partials.merged_hours(spark, where)) == plain(hourly_region(once))
 
 
+def test_a_batch_of_hours_is_worked_out_once(spark, tmp_path):
+    """Days, ids and parts come from one pass over the batch, not from one each."""
+    passes = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        passes.add(1)
+        return value
+
+    numbers = partials.meter_numbers(spark.createDataFrame([("m1",), ("m2",)], "meter_id string"))
+    where = partials.HourParts.under(str(tmp_path))
+    for n, rows in enumerate(BATCHES[:2]):
+        before = passes.value
+        batch = events(spark, rows)
+        partials.add_hours(batch.withColumn("event_id", F.udf(counted, "string")("event_id")), n, where, numbers)
+        assert passes.value - before == len(rows)
+
+
 def test_merged_hours_read_the_parts_only(spark, tmp_path, numbers):
     where = partials.HourParts.under(str(tmp_path))
     partials.add_hours(events(spark, BATCHES[0]), 0, where, numbers)
@@ -164,3 +181,22 @@ def test_an_idle_meter_leaves_the_state(spark, tmp_path):
     assert {r["meter_id"] for r in sinks.read_buckets(spark, path).collect()} == {"m2"}
     kept = spark.read.format("statestore").option("path", check).option("stateVarName", "latest").load()
     assert [r["key"]["meter_id"] for r in kept.collect()] == ["m2"]
+
+
+@pytest.mark.parametrize("name", ["stream_hourly_merged", "stream_fact_incremental"])
+def test_landed_events_are_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    from meterlake.plans import registry
+
+    class Landed(Exception):
+        pass
+
+    def write_events(rows, path):
+        assert rows.rdd.getNumPartitions() >= 16
+        raise Landed
+
+    monkeypatch.setattr(registry.sinks, "write_events", write_events)
+    monkeypatch.setattr(registry.tables, "event_payloads", lambda s, d: s.createDataFrame([(str(i),) for i in range(99)], "raw_event_payload string"))
+    monkeypatch.setattr(registry.tables, "dim_meter", lambda s, d: s.createDataFrame([("m1",)], "meter_id string"))
+    monkeypatch.setattr(registry.tables, "dim_region", lambda s, d: s.createDataFrame([("ASIA",)], "region_name string"))
+    with pytest.raises(Landed):
+        registry.QUERIES[name](spark, str(tmp_path))
