@@ -9,7 +9,7 @@ order. Candidates are aligned word by word in a band around the diagonal; they a
 No bucket is expanded into all its pairs: every text is aligned with the smallest of its bucket. Where some are unlike that one, all are sketched anew, from the shingles
 they do not share with it and, by other functions, from all they have, and meet in smaller buckets; LOOKS looks in all, or as many as there are new pairs (``looks=None``). Work is in proportion to the texts and looks, also where thousands of texts
 share a passage; no bucket and no number of partners is capped, and hot keys are joined with Spark's skew handling. What is still of different classes in a bucket after the looks is then met pair by pair,
-in blocks of fixed size; pairs whose lengths or counts of words rule the similarity out become no rows, the others are aligned. A link between different texts is lost only if no key agrees in any look.
+in blocks of fixed size; pairs whose lengths or counts of words rule the similarity out are left, the others are aligned where they meet, and only links become rows. A link between different texts is lost only if no key agrees in any look.
 
 Nulls count as empty texts. Texts with the same words are one node of the graph (all texts without a word are one). The class id is the smallest
 id in the class, a null id only if all are null. Rows with equal ids and texts get equal results. Extra columns don't matter.
@@ -37,8 +37,7 @@ SKETCHES, PICKS = 32, 5
 REST_SKETCHES, REST_PICKS = 12, 2  # for texts unlike the smallest of their bucket: of what they have besides it,
 LOOKS = 3  # how often the texts of a bucket are looked at, anew sketched; recall in README
 _REST_FIRST = 1 << 20  # numbers of their functions
-_BLOCK = 1_024  # texts of a bucket that meet as many others in one cell
-_GROUPS, _GROUP_BYTES = 24, 8 << 20  # groups of texts of pairs left over: their least number, words of one
+_BLOCK, _BLOCK_BYTES = 1_024, 8 << 20  # texts of a bucket that meet as many others in one cell, and their words
 _COUNTS = 128  # classes of words whose counts are compared before an alignment
 WHOLE_PICKS = 10  # and SKETCHES of all they have, with more picks, so that a shared passage alone is less often enough
 _WORD = re.compile(r"\w+")
@@ -315,14 +314,15 @@ def linked(rows: DataFrame, least: float = SIMILARITY, looks: int | None = LOOKS
     if seen is None:
         return pairs
     links = seen.where("alike").select("a", "b")
-    return links.unionAll(_alike(*_left_out(seen, met, rows, least), least))
+    return links.unionAll(_left_out(seen, met, rows, least)[0])
 
 
 def _left_out(seen: DataFrame, met: list[DataFrame], rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """(pairs, texts): pairs (a, b) of different classes with a key in common that were not aligned, as a bucket's texts are aligned with its smallest one only, and the words of their texts.
+    """(links, texts): links (a, b) that connect the alike ones among texts of different classes with a key in common, as a bucket's texts are aligned with its smallest one only, and the words of these texts.
 
-    Both were aligned with one that is unlike some text, so no other text is looked at. A bucket is cut into blocks, and two blocks meet in one cell, where lengths and counts of words are compared as arrays: only a
-    pair that allows the similarity becomes a row. What is compared grows with the square of the different classes in a bucket; rows and memory don't.
+    Both were aligned with one that is unlike some text, so no other text is looked at. A bucket is cut into blocks, and two blocks meet in one cell, where lengths and counts of words are compared as arrays and what they allow is
+    aligned at once: no pair becomes a row before it is a link. A pair is aligned in the bucket of the smallest key it has in common, so once, and not where links of the cell connect it already. What is compared grows with the square of
+    the different classes in a bucket; rows and memory don't.
     """
     unlike = seen.where(~F.col("alike")).select("a").distinct()
     nodes = kept(seen.join(unlike, "a", "left_semi").select(F.col("b").alias("node")).distinct())
@@ -331,76 +331,54 @@ def _left_out(seen: DataFrame, met: list[DataFrame], rows: DataFrame, least: flo
     for members in met:
         keyed = keyed.unionAll(members.select("node", "key"))
     roots = components(seen.where("alike").select("a", "b"))
-    counted = kept(_counted(texts).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "counts", "n"))
-    keyed = kept(keyed.distinct().join(counted.select("node", "label"), "node"))
-    mixed = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks")).where("low != high").select("key", "blocks")
-    placed = keyed.select("node", "key").join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(counted, "node")
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "label", "counts", "n")
-    possible = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_possible(least), "a binary, b binary")
-    return kept(possible.distinct().join(seen, ["a", "b"], "left_anti")), texts
+    labels = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("label"))
+    sizes = texts.select("node", F.length("words").alias("size"))
+    own = written(keyed.groupBy("node").agg(F.collect_set("key").alias("keys")).join(labels, "node").join(sizes, "node"), "left_out")
+    keys = own.select("node", "label", "size", F.explode("keys").alias("key"))
+    blocks = F.greatest(F.ceil(F.count("*") / _BLOCK), F.ceil(F.sum("size") / _BLOCK_BYTES)).cast("int")
+    mixed = kept(keys.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), blocks.alias("blocks")).where("low != high").select("key", "blocks"))
+    placed = kept(keys.join(mixed, "key").select("node", "key", "blocks"))
+    held = kept(placed.groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("shared")))
+    cells = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node").join(own.select("node", "label").join(held, "node").join(texts, "node"), "node")
+    found = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_cell_links(least), "a binary, b binary")
+    return written(found.distinct(), "links_left_out"), texts
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs that are alike, stored. Texts are dealt into groups and two groups meet in one cell, so a text travels once for each cell it has a pair in, however many pairs that is."""
-    groups = max(_GROUPS, -(-(texts.agg(F.sum(F.length("words")).alias("n")).first()["n"] or 0) // _GROUP_BYTES))
-    cell = [F.pmod(F.xxhash64(c), F.lit(groups)).alias(f"of_{c}") for c in "ab"]
-    placed = pairs.select("a", "b", *cell)
-    held = placed.select("of_a", "of_b", F.explode(F.array("a", "b")).alias("node")).distinct().join(texts.select("node", "words"), "node")
-    none = F.lit(None).cast("binary")
-    rows = held.select("of_a", "of_b", F.col("node").alias("a"), none.alias("b"), "words").unionAll(placed.select("of_a", "of_b", "a", "b", none.alias("words")))
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words = None, {}  # texts of one cell; they come before its pairs
-        for part in _few_rows(batches):
-            found = []
-            for of_a, of_b, a, b, w in zip(*[part.column(c).to_pylist() for c in ("of_a", "of_b", "a", "b", "words")]):
-                if (of_a, of_b) != now:
-                    now, words = (of_a, of_b), {}
-                if b is None:
-                    words[a] = np.frombuffer(w, np.uint32)
-                elif aligned(words[a], words[b], least) >= least:
-                    found.append((a, b))
-            yield pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=schema)
-
-    return written(rows.repartition("of_a", "of_b").sortWithinPartitions("of_a", "of_b", F.col("b").asc_nulls_first()).mapInArrow(check, "a binary, b binary"), "alike")
+    """The pairs that are alike."""
+    return verify(pairs, texts, least).where("alike").select("a", "b")
 
 
-def _counted(texts: DataFrame) -> DataFrame:
-    """(node, counts, n): the words of a text counted in a few classes of words, one byte for each class, and their number."""
-    schema = pa.schema([("node", pa.binary()), ("counts", pa.binary()), ("n", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _few_rows(batches):
-            words = [np.frombuffer(x, np.uint32) for x in part.column("words").to_pylist()]
-            counts = [np.minimum(np.bincount(w % _COUNTS, minlength=_COUNTS), 255).astype(np.uint8).tobytes() for w in words]
-            yield pa.RecordBatch.from_pydict({"node": part.column("node"), "counts": counts, "n": list(map(len, words))}, schema=schema)
-
-    return texts.select("node", "words").mapInArrow(count, "node binary, counts binary, n bigint")
+def _counts(words: list[np.ndarray]) -> np.ndarray:
+    """The words of each text counted in a few classes of words, one byte for each class."""
+    return np.array([np.minimum(np.bincount(w % _COUNTS, minlength=_COUNTS), 255) for w in words], np.uint8)
 
 
-def _possible(least: float) -> Callable:
-    """(a, b): pairs of a cell, of different labels, whose lengths and counts of words allow the similarity. No alignment has more equal words than the counts have in common and the words beyond a full byte."""
+def _cell_links(least: float) -> Callable:
+    """(a, b): links of a cell that connect its alike texts of different labels, of pairs whose smallest shared key is the cell's and whose lengths and counts of words allow the similarity. No alignment has more equal words than the
+    counts have in common and the words beyond a full byte."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def compare(cell: pa.Table) -> Iterator[tuple[bytes, bytes]]:
-        n, block = (cell.column(c).to_numpy() for c in ("n", "block"))
-        label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        counts = np.frombuffer(b"".join(cell.column("counts").to_pylist()), np.uint8).reshape(-1, _COUNTS)
-        beyond = n - counts.sum(axis=1, dtype=np.int64)
-        node = cell.column("node").to_pylist()
+        key, block, label = cell.column("key")[0].as_py(), cell.column("block").to_numpy(), cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
         one = cell.column("x")[0].as_py() == cell.column("y")[0].as_py()
+        words = [np.frombuffer(w, np.uint32) for w in cell.column("words").to_pylist()]
+        n, counts = np.array(list(map(len, words))), _counts(words)
+        beyond = n - counts.sum(axis=1, dtype=np.int64)
+        node, shared = cell.column("node").to_pylist(), [frozenset(k) for k in cell.column("shared").to_pylist()]
+        linked_to = label.copy()  # labels that links of this cell have joined are one
         for i in range(len(n)):
             j = np.arange(i + 1, len(n))
-            j = j[(label[j] != label[i]) & (one | (block[j] != block[i])) & (np.minimum(n[j], n[i]) >= np.maximum(n[j], n[i]) * least)]
+            j = j[(linked_to[j] != linked_to[i]) & (one | (block[j] != block[i])) & (np.minimum(n[j], n[i]) >= np.maximum(n[j], n[i]) * least)]
             if len(j):
                 common = np.minimum(counts[j], counts[i]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[j], beyond[i])
-                j = j[common >= least * np.maximum(n[j], n[i])]
-                for k in j.tolist():
-                    yield min(node[i], node[k]), max(node[i], node[k])
+                for k in j[common >= least * np.maximum(n[j], n[i])].tolist():
+                    if linked_to[k] != linked_to[i] and min(shared[i] & shared[k]) == key and aligned(words[i], words[k], least) >= least:
+                        linked_to[linked_to == linked_to[k]] = linked_to[i]
+                        yield min(node[i], node[k]), max(node[i], node[k])
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
         open_cell: pa.Table | None = None  # rows of the last cell, which may go on in the next batch
         for batch in batches:
             part = pa.Table.from_batches([batch])
@@ -414,9 +392,10 @@ def _possible(least: float) -> Callable:
             yield from compare(open_cell)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = pairs(batches)
+        found = links(batches)
         while some := list(islice(found, 10_000)):
             yield pa.RecordBatch.from_pydict({"a": [a for a, _ in some], "b": [b for _, b in some]}, schema=schema)
+        give_back()
 
     return run
 

@@ -242,3 +242,18 @@ def test_pairs_without_enough_common_words_become_no_rows(spark, tmp_path, monke
     want = {(7, 200), (300, 301)}
     read = lambda df: {tuple(int.from_bytes(r[c], "big") for c in "ab") for r in df.collect()}
     assert read(pairs) == want and read(order_minhash._alike(pairs, words, 0.8)) == want
+
+
+@pytest.mark.parametrize("block", [7, 1_024])
+def test_pairs_left_over_become_rows_only_as_links(spark, tmp_path, monkeypatch, block):
+    """80 texts of the same words share two keys, four times twenty of them in an order of their own; the bucket has 3,160 pairs that counts of words allow, and 760 that are alike; 76 links connect them."""
+    monkeypatch.setattr(order_minhash, "_BLOCK", block)
+    order = [np.random.default_rng(i).permutation(200).astype(np.uint32) for i in range(4)]
+    texts = [np.arange(900, 1_100, dtype=np.uint32), *[np.roll(order[i % 4], i // 4) for i in range(80)]]
+    node = lambda i: i.to_bytes(4, "big")
+    spark.createDataFrame([(bytearray(node(i)), [1, 2], bytearray(w.tobytes())) for i, w in enumerate(texts)], "node binary, keys array<bigint>, words binary").write.parquet(f"{tmp_path}/rows")
+    seen = spark.createDataFrame([(bytearray(node(0)), bytearray(node(i)), False) for i in range(1, len(texts))], "a binary, b binary, alike boolean")
+    found, _ = order_minhash._left_out(seen, [], spark.read.parquet(f"{tmp_path}/rows"), 0.8)
+    links = [tuple(int.from_bytes(r[c], "big") for c in "ab") for r in found.collect()]
+    assert len(links) == 76 if block > 80 else len(links) < 760
+    assert brute_components(range(1, 81), links) == {i: (i - 1) % 4 + 1 for i in range(1, 81)}
