@@ -18,12 +18,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = kept(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct())
     while True:
         both = edges.select("x", "y").unionAll(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        near = kept(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")).withColumnRenamed("x", "y"))
+        near = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m")).withColumnRenamed("x", "y")
         large = kept(edges.join(near, "y").select("x", F.col("m").alias("y")).distinct())
-        low = kept(large.groupBy("x").agg(F.min("y").alias("m")))
+        low = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low, "x").where("y > m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         edges = kept(small.unionAll(low.select("x", F.col("m").alias("y"))).distinct())
-        several = edges.groupBy("x").agg(F.count("*").alias("n")).where("n > 1")
-        if several.isEmpty() and edges.join(edges.select(F.col("y").alias("x")), "x", "left_semi").isEmpty():
+        ends = edges.select(F.col("x").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select(F.col("y").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or up > 0 and down > 0").isEmpty():
             roots = edges.select("y").distinct()
             return edges.select(F.col("x").alias("node"), F.col("y").alias("root")).unionAll(roots.select(F.col("y").alias("node"), F.col("y").alias("root")))
