@@ -1,7 +1,8 @@
 """Landed logs as a stream by partition and offset: where a broker's topic was copied to files, it is read as the topic itself would be.
 
 A log lies below one folder as Parquet: ``partition=K/segment=S`` holds the offsets from S * segment_rows on (``land_log``). The stream's position is one next offset for each partition, kept in Spark's checkpoint, so a restart goes on
-exactly where the last batch ended. The driver looks at folder names and the footers of each partition's last segment; records are read by the tasks, one for each segment that a batch touches.
+exactly where the last batch ended. The driver looks at folder names and the footers of each partition's last segment; records are read by the tasks: one for each segment
+that a batch touches, or, where those are many and small, one for several that follow each other.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ FORMAT = "offset_log"
 SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp, timestampType int, value string"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 SEGMENT_ROWS = 100_000
+_MANY = 128  # pieces of a batch above which small ones share a task
 
 
 def land_log(records: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS) -> None:
@@ -32,7 +34,7 @@ def land_log(records: DataFrame, path: str, segment_rows: int = SEGMENT_ROWS) ->
 
 
 class Piece(NamedTuple):
-    """Offsets from ``start`` up to but not including ``end`` of one segment."""
+    """Offsets from ``start`` up to but not including ``end``: those of one segment, or (``shared``) of several from ``segment`` on."""
 
     partition: int
     segment: int
@@ -53,6 +55,19 @@ def pieces(start: Mapping[str, int], end: Mapping[str, int], segment_rows: int)
     return found
 
 
+def shared(found: Sequence[Piece], segment_rows: int) -> list[Piece]:
+    """Pieces as tasks: neighbours of one partition together, so that few segments have a task each and many small ones don't pay for one each. A task gets ``SEGMENT_ROWS`` offsets at most, or one segment."""
+    together = max(1, min(-(-len(found) // _MANY), SEGMENT_ROWS // segment_rows))
+    tasks: list[Piece] = []
+    for piece in found:
+        last = tasks[-1] if tasks else None
+        if last and last.partition == piece.partition and last.end == piece.start and piece.segment - last.segment < together:
+            tasks[-1] = last._replace(end=piece.end)
+        else:
+            tasks.append(piece)
+    return tasks
+
+
 class OffsetLog(DataSource):
     """Options: ``path``, ``segmentRows``, ``startingOffsets`` (``earliest``, ``latest`` or JSON such as {"0": 17}: the first offset to read) and ``endingOffsets`` (JSON: the first one not to read)."""
 
@@ -105,18 +120,19 @@ class OffsetLogReader(DataSourceStreamReader):
         return {p: min(n, self.ending.get(p, n)) for p, n in self._next().items()}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [InputPartition(tuple(piece)) for piece in pieces(start, end, self.segment_rows)]
+        return [InputPartition(tuple(piece)) for piece in shared(pieces(start, end, self.segment_rows), self.segment_rows)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         piece = Piece(*partition.value)
         fs, top = self._folder()
-        rows = pads.dataset(f"{top}/partition={piece.partition}/segment={piece.segment}", filesystem=fs, format="parquet", exclude_invalid_files=True)
-        wanted = (pads.field("offset") >= piece.start) & (pads.field("offset") < piece.end)
         stored = [c for c in _COLUMNS if c != "partition"]
-        for batch in rows.to_batches(columns=stored, filter=wanted):
-            columns = {c: batch.column(c) for c in stored} | {"partition": pa.array([piece.partition] * batch.num_rows, pa.int32())}
-            columns["timestamp"] = columns["timestamp"].cast(pa.timestamp("us", "UTC"))
-            yield pa.RecordBatch.from_arrays([columns[c] for c in _COLUMNS], names=_COLUMNS)
+        for part in pieces({str(piece.partition): piece.start}, {str(piece.partition): piece.end}, self.segment_rows):
+            rows = pads.dataset(f"{top}/partition={part.partition}/segment={part.segment}", filesystem=fs, format="parquet", exclude_invalid_files=True)
+            wanted = (pads.field("offset") >= part.start) & (pads.field("offset") < part.end)
+            for batch in rows.to_batches(columns=stored, filter=wanted):
+                columns = {c: batch.column(c) for c in stored} | {"partition": pa.array([piece.partition] * batch.num_rows, pa.int32())}
+                columns["timestamp"] = columns["timestamp"].cast(pa.timestamp("us", "UTC"))
+                yield pa.RecordBatch.from_arrays([columns[c] for c in _COLUMNS], names=_COLUMNS)
 
     def commit(self, end: dict) -> None: ...
 
