@@ -97,6 +97,16 @@ def test_numbers_follow_the_order_of_any_type(spark, order, slices):
     assert [r["number"] for r in numbered.orderBy("number").collect()] == list(range(1, 301))
 
 
+def test_a_thousand_slices_make_a_short_plan(spark):
+    """Cuts are constants that an expression looks into: neither the plan nor the generated code, both of which the driver holds, has a branch for each."""
+    rows = spark.range(5_000).selectExpr("concat('it''s \\\\ ', id * 7919 % 5000) as a", "if(id % 5 = 0, null, id % 30) as b", "id as c")
+    sliced = windows._sliced(rows, ["a"], [windows.descending("b"), "c"], 1_000)
+    code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(sliced._jdf.queryExecution(), "codegen")
+    assert len(code) < 250 * 1_000 and code.count("CASE WHEN") < 100
+    places = [r["__slice"] for r in sliced.orderBy("a", F.desc("b"), "c").collect()]
+    assert places == sorted(places) and len(set(places)) > 900 and places[-1] < 1_000
+
+
 def test_windows_do_not_store_their_input(spark, tmp_path):
     from pathlib import Path
 
