@@ -137,6 +137,37 @@ def test_centuries_make_few_rows(spark):
     assert (length >> (length.bit_length() - 3)) + 2 < 100
 
 
+def test_a_time_becomes_text_once_for_each_reading_not_for_each_pair(spark, tmp_path):
+    from meterlake.plans import registry
+
+    at = datetime(2024, 1, 1)
+    events = [(i, at + timedelta(seconds=i * 37 % 7_200) if i % 19 else None, i % 4, "signup" if i % 3 == 0 else "view", 1.0, None) for i in range(120)]
+    tables = {
+        "events": spark.createDataFrame(events, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string").withColumn("ts", F.col("ts").cast("timestamp_ntz")),
+        "customer": spark.createDataFrame([(k, f"c{k}", k % 2, 1.0, "BUILDING") for k in range(3)], "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "nation": spark.createDataFrame([(0, "N", 0), (1, "M", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(0, "ASIA"), (1, "EUROPE")], "r_regionkey int, r_name string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    seen = registry.QUERIES["range_join_times"](spark, str(tmp_path))
+    known = [e for e in events if e[1] and e[2] < 3]
+    want = [(f"evt_{h[0]:08}", f"evt_{r[0]:08}", f"{r[1]:%Y-%m-%d %H:%M:%S}") for h in known for r in known
+            if h[3] == "signup" and r[3] != "signup" and h[2] % 2 == r[2] % 2 and h[1] <= r[1] <= h[1] + timedelta(minutes=h[0] % 7 * 10)]
+    assert sorted(map(tuple, seen.select("heartbeat_id", "event_id", "event_timestamp").collect())) == sorted(want) and len(want) > 100
+    above, below = seen._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)
+    assert "date_format" in below and "date_format" not in above
+
+
+def test_rows_of_a_time_join_are_sorted_by_block_first(spark):
+    """Nearly all rows differ in the block, a number; sorted by the keys first they would be told apart by a whole comparison each."""
+    left = spark.createDataFrame([(1, "a", datetime(2024, 1, 1), datetime(2024, 1, 2))], "i int, g string, low timestamp, high timestamp")
+    seen = joins.range_join_times(left.hint("merge"), spark.createDataFrame([("a", datetime(2024, 1, 1))], "g string, at timestamp"), "at", "low", "high", ["g"])
+    assert seen.count() == 1 and seen.columns == ["g", "i", "low", "high", "at"]
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [__block" in plan
+
+
 # -- own-run check -------------------------------------------------------------------------------
 def test_the_gate_wants_the_record_of_its_own_run(spark):
     fact = spark.createDataFrame([(1.0, "m", datetime(2024, 1, 1), 1, "c", "t", 1)], "kwh double, meter_id string, reading_timestamp timestamp, region_id int, customer_id string, tariff_id string, date_id int")
